@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import bpe, neardup
+from quire.llm import bpe, nearest, neardup
 from quire.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,32 @@ def chunk_texts(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "doc_chunks").select("id", F.col("chunk_text").alias("text"))
 
 
+VECTORS = ("doc_chunks", "lightrag_entities")
+
+
+@query
+def p2_found(spark: SparkSession, folder: str) -> DataFrame:
+    def of(name: str) -> DataFrame:
+        best = nearest.most_similar(table(spark, folder, name).select("id", "embedding"), k=5, cosine=0.90)
+        pair = best.select(F.lit(name).alias("src"), F.least("id", "other").alias("id_a"), F.greatest("id", "other").alias("id_b"))
+        return pair.distinct()
+
+    return of(VECTORS[0]).unionByName(of(VECTORS[1]))
+
+
+@query
+def p2_topk(spark: SparkSession, folder: str) -> DataFrame:
+    """The five most similar rows of every row whose id is divisible by 20, against all rows."""
+
+    def of(name: str) -> DataFrame:
+        v = table(spark, folder, name).select("id", "embedding")
+        asked = F.col("id") % 20 == 0
+        best = nearest.most_similar(v, k=5, queries=asked, bucket_rows=8000, probes=8, least_tables=8)
+        return best.select(F.lit(name).alias("src"), "id", "other", "similarity")
+
+    return of(VECTORS[0]).unionByName(of(VECTORS[1]))
+
+
 @query
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.similar_pairs(chunk_texts(spark, folder), 0.75, 200)

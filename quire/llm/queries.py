@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import bpe, nearest, neardup
+from quire.llm import bpe, nearest, neardup, sentences
 from quire.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -49,6 +49,16 @@ def p2_topk(spark: SparkSession, folder: str) -> DataFrame:
     return of(VECTORS[0]).unionByName(of(VECTORS[1]))
 
 
+@query
+def p3_found(spark: SparkSession, folder: str) -> DataFrame:
+    return sentences.sentences(chunk_texts(spark, folder)).select("id", "start_pos", "end_pos")
+
+
+@query
+def p3_sentences(spark: SparkSession, folder: str) -> DataFrame:
+    return sentences.sentences(chunk_texts(spark, folder))
+
+
 @query
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.similar_pairs(chunk_texts(spark, folder), 0.75, 200)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import bpe, nearest, neardup, sentences
+from quire.llm import bpe, nearest, neardup, pieces, sentences
 from quire.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,10 +19,35 @@ def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession
     return f
 
 
+ORACLES["p1_found"] = """
+SELECT 'chunks' AS src, row_id AS item_id FROM chunks WHERE length(content) > 1000
+UNION ALL SELECT 'doc_chunks', id FROM doc_chunks WHERE length(chunk_text) > 1000"""
+
+
 def chunk_texts(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "doc_chunks").select("id", F.col("chunk_text").alias("text"))
 
 
+def _pieces(spark: SparkSession, folder: str) -> DataFrame:
+    of = (("chunks", "row_id", "content"), ("doc_chunks", "id", "chunk_text"))
+    parts = [
+        pieces.split_oversized(table(spark, folder, n).select(F.lit(n).alias("src"), F.col(i).alias("item_id"), F.col(t).alias("text")), "item_id", "text", others=["src"])
+        for n, i, t in of
+    ]
+    return parts[0].unionByName(parts[1])
+
+
+@query
+def p1_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Items cut into more than one piece."""
+    return _pieces(spark, folder).filter("piece_no = 1").select("src", "item_id")
+
+
+@query
+def p1_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    return _pieces(spark, folder)
+
+
 VECTORS = ("doc_chunks", "lightrag_entities")
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import bpe, nearest, neardup, pieces, sentences
+from quire.llm import bpe, nearest, neardup, pieces, pii, sentences
 from quire.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -84,6 +84,22 @@ def p3_sentences(spark: SparkSession, folder: str) -> DataFrame:
     return sentences.sentences(chunk_texts(spark, folder))
 
 
+def _personal(spark: SparkSession, folder: str) -> DataFrame:
+    of = (("doc_chunks", "chunk_text"), ("lightrag_entities", "description"))
+    parts = [table(spark, folder, n).select(F.lit(n).alias("src"), F.col("id").alias("row_id"), F.col(t).alias("text")) for n, t in of]
+    return parts[0].unionByName(parts[1])
+
+
+@query
+def p4_found(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.mentions(_personal(spark, folder))
+
+
+@query
+def p4_redacted(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.redacted(_personal(spark, folder))
+
+
 @query
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.similar_pairs(chunk_texts(spark, folder), 0.75, 200)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import bpe, nearest, neardup, pieces, pii, sentences
+from quire.llm import bpe, nearest, neardup, pieces, pii, residue, sentences
 from quire.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -114,3 +114,13 @@ def p6_groups(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def p7_ids(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.encode_corpus(table(spark, folder, "documents"))
+
+
+@query
+def p9_found(spark: SparkSession, folder: str) -> DataFrame:
+    return residue.residue(table(spark, folder, "documents"))
+
+
+@query
+def p9_clean(spark: SparkSession, folder: str) -> DataFrame:
+    return residue.without_residue(table(spark, folder, "documents"))

@@ -1,0 +1,167 @@
+"""Records that hold template residue, filler, an error page or a script notice in place of content.
+
+Lines are normalised and counted by host; a line that recurs over a host's documents is boilerplate, and so are
+headings and navigation.  A record is residue if what is left holds error, filler or script evidence and no content of
+its own, or if any sentence outside code holds an unfilled placeholder that it does not explain.  A phrase that only
+takes up a small part of its sentence is a mention, which is content.  Recurrent evidence lines stay evidence: error
+pages recur by nature, so subtracting them would hide what is sought.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+#: A line is boilerplate if it is in this share of its host's documents, and in so many at least.
+SHARE, LEAST = 0.001, 10
+#: Share of a sentence's letters that evidence must cover.
+COVER = 0.6
+
+# Evidence phrases, by what they tell.  Each alternative of a group holds one of its keywords.
+_SCRIPT = (
+    r"(?:to (?:continue|view this page|proceed)[, ]+)?(?:please )?(?:enable|activate|allow|turn on) (?:java ?script|scripts?|scripting|cookies)(?: and (?:cookies|scripts|reload))?(?: in your (?:browser|settings))?(?: to [a-z ]{3,40})?",
+    r"java ?script (?:is|has been|must be|needs to be) (?:disabled|required|not enabled|turned off|switched off|enabled|blocked)[a-z ]{0,30}",
+    r"(?:this|the) (?:app|application|site|website|page)(?: [a-z]+)? (?:requires|needs) (?:java ?script|scripts)(?: to be enabled)?[a-z ]{0,20}",
+    r"you need to (?:enable|turn on|allow) (?:java ?script|scripts)[a-z ]{0,40}",
+    r"your browser (?:does not|doesn't) support (?:java ?script|scripts|scripting)(?:,? or it has been (?:switched|turned) off)?",
+    r"checking your browser[a-z ]{0,30}", r"cookies and scripts must be allowed", r"some parts of this site (?:will|may) not work", r"turn (?:it|them) on and (?:reload|refresh)[a-z ]{0,14}",
+    r"请?(?:先)?(?:在(?:设置|浏览器)中)?(?:启用|开启|打开|允许)(?:浏览器的?|您的浏览器)? ?(?:java ?script|脚本|cookie)s?[^。，,；]{0,14}(?:[，,]?[^。，,；]{0,8}(?:刷新|访问|继续|重试))?",
+    r"(?:本|此|该)(?:页面?|网站|应用)(?:需要|要求|必须)(?:启用|开启|打开|允许) ?(?:java ?script|脚本)[^。，；]{0,14}",
+    r"您?的?浏览器(?:不支持|已禁用|禁用了|未启用) ?(?:java ?script|脚本)[，,]?[^。；]{0,16}", r"检测到(?:您的浏览器)?(?:java ?script|脚本)(?:已被|被|已)禁用[^。；]{0,24}", r"正在检查您的浏览器[^。；]{0,24}",
+    r"bitte aktivieren sie (?:java ?script|skripte)[^.;]{0,50}", r"(?:diese|die) (?:seite|anwendung) (?:benötigt|erfordert) (?:java ?script|skripte)[^.;]{0,30}", r"(?:java ?script|skripte) (?:ist|sind) (?:deaktiviert|erforderlich)[^.;]{0,30}",
+    r"(?:active|habilite|activa) (?:java ?script|los scripts)[^.;]{0,50}", r"(?:esta|la) (?:página|aplicación) (?:requiere|necesita) (?:java ?script|scripts)[^.;]{0,30}",
+    r"(?:この|本)?ページを(?:表示|利用)するには ?(?:java ?script|スクリプト)を有効にしてください", r"(?:java ?script|スクリプト)を有効にし[^。]{0,14}", r"(?:java ?script|スクリプト)が無効[^。]{0,20}",
+    r"(?:कृपया )?[^।.]{0,24}(?:java ?script|जावास्क्रिप्ट|स्क्रिप्ट)[^।.]{0,12}(?:सक्षम|चालू) क[^।.]{0,14}", r"(?:يرجى|الرجاء)? ?(?:تفعيل|تمكين) (?:java ?script|جافا ?سكريبت|البرامج النصية|النصوص البرمجية)[^.،]{0,40}", r"(?:กรุณา|โปรด)เปิด(?:ใช้งาน)? ?(?:java ?script|จาวาสคริปต์|สคริปต์)[^.]{0,40}",
+)
+_ERROR = (
+    r"(?:error:? |http |status )?[45]\d\d:? ?(?:-|–)? ?(?:bad gateway|gateway time-?out|forbidden|(?:page )?not found|internal server error|service (?:temporarily )?unavailable|unauthorized|bad request|too many requests|gone|method not allowed)",
+    r"error \d{3}:?(?: (?:the )?page[a-z ]{0,40})?", r"(?:access|permission|request) (?:is |was )?denied", r"you (?:do not|don't) have (?:permission|access)[a-z ]{0,40}", r"(?:your )?(?:session|link|login) (?:has )?(?:expired|timed out)", r"please (?:sign|log) in(?: again)?",
+    r"(?:the |this )?(?:requested )?page (?:could not be|was not|cannot be|not) found", r"(?:the )?page you (?:asked for|requested|are looking for|were looking for)[a-z' ]{0,40}", r"this (?:document|page|file|link) (?:has (?:been )?|is )(?:deleted|moved|removed|expired|no longer available)(?: or (?:moved|deleted))?",
+    r"(?:sorry,? )?something went wrong(?: on our (?:side|end))?", r"(?:please )?try again (?:later|in [a-z0-9 ]{1,20})", r"too many requests", r"slow down and retry[a-z ]{0,20}", r"we (?:can't|cannot|could not|couldn't) (?:seem to )?find (?:that|this|the) page", r"(?:oops|whoops|sorry)[!,.]?",
+    r"traceback \(most recent call last\):?(?: ?\w+)?", r"(?:request|trace|incident|error) id:? ?[0-9a-f\-]{6,}", r"(?:an )?(?:unexpected|internal|unknown|server) (?:server )?error(?: has)?(?: occurred)?", r"(?:failed to load|loading failed|export failed|the file (?:could not|cannot) be (?:rendered|opened|displayed))[a-z :]{0,40}", r"service (?:is )?(?:temporarily )?unavailable",
+    r"(?:系统|服务器?|网络|程序)(?:内部)?(?:错误|异常|繁忙|开小差了?|出错了?)[^。；]{0,16}", r"[（(]?错误码?[:：] ?\w+[）)]?", r"(?:该|此|您访问的)?页面(?:不存在|走丢了|找不到|无法访问|已(?:被)?(?:删除|移动|下线)[^。；]{0,8})", r"(?:很)?(?:抱歉|对不起)[，,]?(?:您访问的页面[^。；]{0,8})?", r"您访问的页面[^。；]{0,10}",
+    r"网关(?:超时|错误)[，,]?(?:请刷新(?:页面)?)?", r"请刷新(?:页面)?(?:重试|后重试)?", r"请?稍后(?:再试|重试)", r"(?:加载|导出|渲染|打开|下载)失败[，,:：]?(?:点击重试|文件无法渲染|请[^。；]{0,8}|文件[^。；]{0,8})?", r"点击重试", r"(?:该|此)?(?:文档|文件|链接|内容)(?:已被?|已经)(?:删除|移动|失效|过期|下架)(?:或(?:移动|删除))?", r"您?(?:没有|无)权限?(?:访问|查看|打开)[^。，；]{0,10}(?:[，,]请联系管理员)?", r"请联系管理员",
+    r"(?:登录|会话|链接)(?:状态)?(?:已|已经)(?:过期|失效|超时)[，,]?(?:请重新登录)?", r"请(?:重新|先)登录", r"(?:访问|请求)(?:被拒绝|过于频繁|太频繁)[^。；]{0,12}", r"(?:ошибка|erreur) \d{3}",
+    r"(?:die )?seite (?:wurde )?nicht gefunden", r"zugriff verweigert", r"bitte melden sie sich (?:erneut|wieder)? ?an", r"(?:ihre )?(?:sitzung|anmeldung) ist abgelaufen", r"ein (?:interner |unerwarteter )?fehler ist aufgetreten", r"bitte versuchen sie es (?:später )?(?:erneut|noch einmal)",
+    r"página no encontrada", r"(?:no tiene|usted no tiene) permiso para [a-záéíóú ]{3,40}", r"acceso denegado", r"(?:su |la )?sesión (?:ha )?(?:expirado|caducado)", r"(?:se ha producido|ha ocurrido) un error[a-z ]{0,20}", r"(?:inténtelo|intente) (?:de nuevo|más tarde)[a-z áé]{0,16}",
+    r"(?:お探しの)?ページ(?:は|が)見つかりません(?:でした)?", r"アクセス(?:が)?(?:拒否|できません|権限)[^。]{0,14}", r"(?:セッション|ログイン)の?(?:有効期限|期限)?が?切れ[^。]{0,10}", r"エラーが発生しました", r"(?:もう一度|再度)(?:ログイン|お試し)[^。]{0,10}",
+    r"ไม่พบหน้า[^ ]{0,30}", r"คุณไม่มีสิทธิ์[^ ]{0,40}", r"เกิดข้อผิดพลาด[^ ]{0,30}", r"(?:यह )?पृष्ठ (?:नहीं मिला|उपलब्ध नहीं)[^।.]{0,14}", r"आपको [^।.]{0,24}अनुमति नहीं[^।.]{0,8}", r"(?:الصفحة غير موجودة|لم يتم العثور على الصفحة|تم رفض الوصول|ليس لديك (?:إذن|صلاحية)[^.،]{0,30}|انتهت صلاحية الجلسة|حدث خطأ[^.،]{0,24})",
+)
+_FILLER = (
+    r"(?:请?(?:在此|此处|点击此处|单击此处)(?:处)?(?:输入|添加|插入|编辑)(?:文本|文字|标题|内容|正文)|(?:测试){2,}|([一-鿿]{2,6})\1+)+",
+    r"(?:正文内容|(?:这里是|此处为)?示例(?:文字|段落|内容)|占位(?:文字|内容|符)?|测试(?:文字|内容)|内容内容|文字文字|此处省略|待编辑|敬请期待)+",
+    r"(?:asdf|qwer|zxcv|qwerty)(?:[ ,]+(?:asdf|qwer|zxcv|qwerty))*", r"content coming soon", r"(?:your|insert|add) (?:text|content) (?:goes )?here", r"(?:sample|dummy|placeholder|test) (?:text|paragraph|content)(?: (?:here|only))?", r"(?:blah[ ,]*){2,}", r"(?:test[ ,]+){2,}test", r"text to be added", r"to be (?:written|completed|announced)", r"coming soon",
+    r"(?:ダミーテキスト|サンプルテキスト|ここに(?:文章|テキスト)が入ります)+", r"(?:platzhaltertext|beispieltext|blindtext)", r"(?:texto de (?:ejemplo|relleno|muestra))",
+)
+_LOREM = (
+    "lorem|ipsum|dolor|sit|amet|consectetur|adipiscing|adipisicing|elit|sed|eiusmod|tempor|tempora|incididunt|labore|dolore|magna|aliqua|aliquid|enim|minim|veniam|quis|nostrud|exercitation|ullamco|laboris|nisi|"
+    "aliquip|commodo|consequat|duis|aute|irure|reprehenderit|voluptate|velit|esse|cillum|fugiat|fugit|nulla|nullam|pariatur|excepteur|sint|occaecat|cupidatat|proident|sunt|culpa|officia|deserunt|mollit|"
+    "laborum|cursus|lectus|posuere|semper|porta|praesent|gravida|gravis|vestibulum|pellentesque|curabitur|suspendisse|vivamus|mauris|donec|etiam|integer|aenean|phasellus|morbi|nunc|vitae|tellus|augue|"
+    "tincidunt|faucibus|ultrices|viverra|turpis|egestas|malesuada|habitant|senectus|netus|modus|novem|utima|ultima|quorem|verita|veritatis|vexat|sintel|magnar|praes"
+)
+_KEYWORDS = (
+    "javascript", "java script", "scripts", "scripting", "脚本已", "允许脚本", "启用脚本", "开启脚本", "不支持脚本", "用 脚本", "检查您的浏览器", "checking your browser", "will not work", "may not work", "on and reload", "on and refresh", "enable cookies", "allow cookies", "许 cookie", "skripte", "スクリプト", "स्क्रिप्ट", "سكريبت", "البرامج النصية", "النصوص البرمجية", "สคริปต์",
+    "bad gateway", "time-out", "timeout", "forbidden", "not found", "server error", "unavailable", "unauthorized", "bad request", "too many requests", "error 4", "error 5", "denied", "have permission", "have access", "expired", "timed out", "sign in again", "log in again", "please sign in", "please log in", "page you", "that page", "find the page", "find this page", "been deleted", "been moved", "been removed", "has expired", "no longer available", "went wrong", "try again", "retry in", "oops", "sorry", "traceback", "error occurred", "unexpected error", "failed to load", "export failed", "be rendered",
+    "系统错误", "系统异常", "系统繁忙", "服务器错误", "服务器异常", "服务器繁忙", "服务器开小差", "服务器出错", "网络错误", "网络异常", "错误码", "页面不存在", "页面走丢", "页面找不到", "页面已", "抱歉", "对不起", "您访问的页面", "网关超时", "网关错误", "请刷新", "稍后再试", "稍后重试", "加载失败", "导出失败", "渲染失败", "点击重试", "已被删除", "已删除", "已失效", "已过期", "没有权限", "无权", "请联系管理员", "重新登录", "请先登录", "被拒绝", "过于频繁",
+    "nicht gefunden", "verweigert", "abgelaufen", "fehler ist", "melden sie sich", "no encontrada", "permiso para", "denegado", "expirado", "caducado", "un error", "見つかりません", "アクセス", "期限", "エラーが", "ไม่พบหน้า", "ไม่มีสิทธิ์", "ข้อผิดพลาด", "नहीं मिला", "उपलब्ध नहीं", "अनुमति नहीं", "الصفحة", "الوصول", "ليس لديك", "الجلسة", "حدث خطأ",
+    "正文内容", "示例文字", "示例段落", "示例内容", "占位", "测试测试", "此处添加", "此处输入", "在此输入", "在此添加", "测试文字", "测试内容", "内容内容", "文字文字", "敬请期待", "asdf", "qwer", "coming soon", "goes here", "text here", "content here", "sample text", "dummy text", "placeholder text", "test text", "blah", "test test", "to be written", "to be completed", "ダミー", "サンプルテキスト", "platzhaltertext", "blindtext", "beispieltext", "texto de",
+    "lorem", "ipsum", " amet", " elit ", "posuere", "lectus", "nullam", "consectetur", "vestibulum",
+)
+_NAME = r"[A-Za-z][A-Za-z0-9_.\- ]{0,40}"
+_TAG = "a|b|i|p|u|br|hr|div|span|table|tr|td|th|ul|ol|li|img|h[1-6]|em|strong|code|pre|html|head|body|script|style|link|meta|form|input|button|label|nav|section|article|footer|header|main|sup|sub|small|center|font|title|svg|path"
+#: No alternative begins otherwise; tried only there.
+_PLACEHOLDER = r"(?=[{$<%\[«@#_&【（(〈《X:：])(?:" + "|".join(
+    (
+        rf"\{{\{{\s*{_NAME}\s*\}}\}}", rf"\$\{{\s*{_NAME}\s*\}}", rf"\{{%\s*{_NAME}\s*%\}}", rf"<%=?\s*{_NAME}\s*%>", r"%\([A-Za-z_]\w*\)[sd]", rf"\[\[\s*{_NAME}\s*\]\]", rf"\[:\s*{_NAME}\s*:\]", rf"«\s*{_NAME}\s*»", r"\$\$[A-Za-z]\w{2,}\$\$",
+        r"@@[A-Za-z]\w{2,}@@", r"#[A-Z][A-Z0-9]*(?:_[A-Z0-9]+)*#", r"(?<!\w)__[A-Za-z][A-Za-z0-9]*(?:_[A-Za-z0-9]+)*__(?!\w)", r"(?<![\w{}$])\{[A-Za-z_]{3,40}\}(?!\})",
+        rf"<(?!/)(?!(?i:{_TAG})\b)[A-Za-z][A-Za-z_]{{2,30}}(?: [A-Za-z_]{{2,20}}){{0,3}}>", r"&lt;[A-Za-z_][A-Za-z_ ]{2,40}&gt;", r"\[\s*(?i:your|insert|enter|add|fill in|todo|tbd|tba|xxx)\b[^\]\n]{0,60}\]", r"\[(?:Client |Company |Customer |Project )?(?:Name|Date|Title|Address|Company|Customer|Owner|Version|Email|Phone)\]",
+        r"[\[【（(<〈《][^\]】）)>〉》\n]{0,12}(?:待补充|待填写?|待定|待完善)[\]】）)>〉》]", r"[\[【（(<〈《](?:请|此处|在此)(?:处)?(?:填写|填入|输入|插入|补充)[^\]】）)>〉》\n]{0,16}[\]】）)>〉》]", r"XX[^\sX]{1,12}XX", r"_{3,}\s*[（(][^）)\n]{1,16}[）)]\s*_{3,}", r"[:：]\s*_{4,}",
+    )
+) + ")"
+_EXPLAINED = r"(?i)写入|替换|渲染|变量|占位符|模板语法|语法|命令|格式为|字段名|replac|render|variable|placeholder|syntax|command|\btemplate|escap|interpolat|logger|printf|for example|e\.g\.|例如|比如|ersetz|platzhalter|reemplaz|marcador|変数|置換|プレースホルダ"
+_CODE = r"```[\s\S]*?```|~~~[\s\S]*?~~~|`[^`\n]+`|(?m)^(?:    |\t)[^\n]*$"
+_BAR = r"search|sign in|log in|login|sign up|register|help(?: cent(?:er|re))?|docs|contact(?: us)?|about(?: us)?|products|pricing|account|settings|blog|support"
+_NAVIGATION = "|".join(
+    (
+        r"(?:©|\(c\)|copyright)\s*(?:\d{4}\s*)?[\p{L}\d.\-]{1,24}(?: (?:docs|documentation|inc\.?|ltd\.?|文档中心|帮助中心))?", rf"\b(?:home|start)(?:\s*[|>»/]\s*(?:{_BAR}))+", r"(?:首页|主页)(?:\s*[|>»/]\s*[一-鿿]{1,6})*", r"返回(?:上一页|首页|上页)", r"联系我们", r"帮助中心",
+        r"back to (?:the )?(?:previous page|home(?: ?page)?|top)", r"\bcontact us\b", r"\bhelp cent(?:er|re)\b", r"\bcode\s*=\s*\d+", r"\bref\.? [a-z]{1,5}-?\d+", r"\[[\w\-]+/\d[\d.]*\]", r"(?:request|trace|incident) id:? ?[0-9a-f\-]{6,}", r"图片：\S+",
+    )
+)
+_UNIT_END = r"([。！？!?।؟…]+[”」』\"'»)）]*|\.(?=\s|$))"
+
+
+def _any(text: Column, words: tuple[str, ...]) -> Column:
+    # the outer lambda binds the text, or its expression would be computed for each word
+    keys = F.array(*[F.lit(w) for w in words])
+    return F.exists(F.array(text), lambda t: F.exists(keys, lambda w: F.contains(t, w)))
+
+
+def plain(text: Column) -> Column:
+    """Lower-case, with odd white space and zero-width characters made plain; line feeds stay."""
+    t = F.translate(F.regexp_replace(text, "\r\n?", "\n"), "        　\t​‌‍﻿", " " * 10)
+    return F.lower(F.regexp_replace(t, " {2,}", " "))
+
+
+def units(text: Column) -> Column:
+    """Sentences and lines of a text, trimmed, without blank ones."""
+    cut = F.split(F.regexp_replace(text, _UNIT_END, "$1\n"), "\n+")
+    return F.filter(F.transform(cut, lambda x: F.trim(x)), lambda x: x != "")
+
+
+def letters(x: Column) -> Column:
+    return F.length(F.regexp_replace(x, r"[^\p{L}\p{M}]", ""))
+
+
+def normal_line(x: Column) -> Column:
+    return F.trim(F.regexp_replace(F.regexp_replace(x, r"\d+", "0"), r"[^\p{L}\p{M}0]+", " "))
+
+
+def unfilled(text: Column) -> Column:
+    """Whether some sentence outside code holds a placeholder that it does not explain."""
+    clean = F.regexp_replace(F.regexp_replace(text, _CODE, " "), "[   ]+", " ")
+    held = F.exists(units(clean), lambda u: u.rlike(_PLACEHOLDER) & ~u.rlike(_EXPLAINED))
+    return F.when(text.rlike(_PLACEHOLDER), held).otherwise(False)
+
+
+def evidence(unit: Column) -> Column:
+    """Whether error, filler or script phrases make up most of a lower-case unit without navigation."""
+    rest = F.regexp_replace(unit, "|".join((*_SCRIPT, *_ERROR, *_FILLER)), "")
+    words = F.size(F.split(F.trim(unit), r"[^\p{L}]+"))
+    latin = F.size(F.regexp_extract_all(unit, F.lit(rf"\b({_LOREM})\b"), F.lit(1)))
+    return _any(unit, _KEYWORDS) & (letters(unit) > 0) & ((letters(rest) <= (1 - COVER) * letters(unit)) | ((words >= 4) & (latin >= 0.5 * words)))
+
+
+def residue(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", url_col: str = "source_url") -> DataFrame:
+    """Ids of the records that are residue, each once.
+
+    Null, empty and blank texts are none, and a null id never comes out.  A null or unreadable URL counts as one host.
+    """
+    d = docs.filter(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(
+        F.col(id_col).alias("doc"),
+        F.col(text_col).alias("text"),
+        F.coalesce(F.lower(F.regexp_extract(url_col, r"^[a-zA-Z][\w+.\-]*://([^/:?#]+)", 1)), F.lit("")).alias("host"),
+    )
+    open_ones = d.filter(unfilled(F.col("text"))).select("doc")
+    t = d.select("doc", "host", plain(F.col("text")).alias("text"))
+    suspect = t.filter(_any(F.col("text"), _KEYWORDS))
+    hashed = F.transform(F.split(F.col("text"), "\n+"), lambda x: F.xxhash64(F.col("host"), normal_line(x)))
+    lines = t.select("host", F.explode(F.array_distinct(hashed)).alias("line"))
+    seen = lines.groupBy("line").agg(F.count("*").alias("n"), F.first("host").alias("host"))
+    size = t.groupBy("host").agg(F.count("*").alias("docs"))
+    common = seen.filter(F.col("n") >= LEAST).join(size, "host").filter(F.col("n") >= SHARE * F.col("docs")).select("line", F.lit(True).alias("common"))
+    line = suspect.select("doc", "host", F.explode(F.split("text", "\n+")).alias("l"))
+    line = line.select("doc", F.xxhash64("host", normal_line(F.col("l"))).alias("line"), "l")
+    one = line.select("doc", "line", F.explode(units(F.col("l"))).alias("whole"))
+    one = one.select("doc", "line", F.trim(F.regexp_replace("whole", _NAVIGATION, " ")).alias("u")).filter("u <> ''")
+    title = ~F.col("u").rlike(r"[。！？!?।؟…；;.][”」』\"'»)）]*$") & (letters(F.col("u")) <= 40) & (F.size(F.split("u", " ")) <= 8)
+    judged = one.select("doc", "line", evidence(F.col("u")).alias("told"), (~title & (letters(F.col("u")) >= 8)).alias("solid"))
+    own = ~F.col("told") & F.col("solid")
+    marked = judged.select("doc", "line", "told", own.alias("own"))
+    per = marked.join(common, "line", "left").groupBy("doc").agg(F.max("told").alias("told"), F.max(F.col("own") & F.col("common").isNull()).alias("own"))
+    return open_ones.unionByName(per.filter("told and not own").select("doc")).distinct().select(F.col("doc").alias(id_col))
+
+
+def without_residue(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", url_col: str = "source_url") -> DataFrame:
+    """The records that are no residue, all columns kept; those with null ids or texts stay."""
+    gone = residue(docs, id_col, text_col, url_col).select(F.col(id_col).alias("_gone"))
+    return docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")

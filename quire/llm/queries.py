@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import bpe, nearest, neardup, pieces, pii, residue, sentences
+from quire.llm import bpe, names, nearest, neardup, pieces, pii, residue, sentences
 from quire.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -100,6 +100,17 @@ def p4_redacted(spark: SparkSession, folder: str) -> DataFrame:
     return pii.redacted(_personal(spark, folder))
 
 
+@query
+def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+    return names.same_pairs(table(spark, folder, "lightrag_entities"))
+
+
+@query
+def p5_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    """Every spelling of a person or organisation with its cluster."""
+    return names.linked(table(spark, folder, "lightrag_entities"))
+
+
 @query
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.similar_pairs(chunk_texts(spark, folder), 0.75, 200)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import bpe, names, nearest, neardup, pieces, pii, residue, sentences
+from quire.llm import bpe, mix, names, nearest, neardup, pieces, pii, residue, sentences
 from quire.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -127,6 +127,28 @@ def p7_ids(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.encode_corpus(table(spark, folder, "documents"))
 
 
+def _mixture(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    targets = table(spark, folder, "mix_targets")
+    return mix.mixture(table(spark, folder, "documents"), targets), targets
+
+
+@query
+def p8_mix(spark: SparkSession, folder: str) -> DataFrame:
+    """The chosen documents with their repeat counts."""
+    return _mixture(spark, folder)[0].select("doc_id", "source", "n_tokens", "repeats", "first_position")
+
+
+@query
+def p8_shares(spark: SparkSession, folder: str) -> DataFrame:
+    return mix.shares(*_mixture(spark, folder))
+
+
+@query
+def p8_order(spark: SparkSession, folder: str) -> DataFrame:
+    """Every copy at its training position."""
+    return mix.ordered(_mixture(spark, folder)[0])
+
+
 @query
 def p9_found(spark: SparkSession, folder: str) -> DataFrame:
     return residue.residue(table(spark, folder, "documents"))

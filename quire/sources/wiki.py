@@ -60,23 +60,24 @@ def from_list(spark: SparkSession, documents: list[dict[str, str]]) -> DataFrame
     return p.select("p.token", "p.doc_type", F.coalesce("ext", "p.ext").alias("ext"), "name", "url")
 
 
-class Pages(DataSource):
-    """A paged listing as a table: spark.read.format("wiki_pages") with a `client` registered under its name.
+def paged(client: Callable[[str, str | None], tuple[list[tuple], str | None]], as_name: str = "wiki_pages") -> type[DataSource]:
+    """A paged listing as a data source to register; client(space, cursor) gives rows and the next cursor.
 
-    One partition per space; each reads its pages by cursor until none is left.
+    The option `spaces` lists the spaces; each is one partition and reads its pages until there is no cursor.
     """
 
-    clients: dict[str, Callable[[str, str | None], tuple[list[tuple], str | None]]] = {}
+    class Pages(DataSource):
+        @classmethod
+        def name(cls) -> str:
+            return as_name
 
-    @classmethod
-    def name(cls) -> str:
-        return "wiki_pages"
+        def schema(self) -> str:
+            return "node_token string, parent_node_token string, obj_token string, obj_type string, title string, space_id string, obj_edit_time string"
 
-    def schema(self) -> str:
-        return "node_token string, parent_node_token string, obj_token string, obj_type string, title string, space_id string, obj_edit_time string"
+        def reader(self, schema) -> DataSourceReader:  # noqa: ANN001
+            return _PageReader(client, self.options["spaces"].split(","))
 
-    def reader(self, schema) -> DataSourceReader:  # noqa: ANN001
-        return _PageReader(self.clients[self.options["client"]], self.options["spaces"].split(","))
+    return Pages
 
 
 class _PageReader(DataSourceReader):

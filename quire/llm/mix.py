@@ -59,10 +59,11 @@ def plan(docs: DataFrame, targets: DataFrame, total_tokens: int | None = None) -
         before = rank.rowsBetween(Window.unboundedPreceding, -1)
         after = rank.rowsBetween(0, Window.unboundedFollowing)
         level = (F.lit(float(total_tokens)) - F.coalesce(F.sum("most").over(before), F.lit(0.0))) / F.sum("share").over(after)
-        t = t.withColumn("level", level)
-        fits = F.max(F.when(F.col("share") > 0, F.when(F.col("level") <= F.col("most") / F.col("share"), F.col("level")))).over(every)
-        low = F.min(F.when((F.col("share") > 0) & (F.col("level") <= F.col("most") / F.col("share")), F.col("level"))).over(every)
-        t = t.withColumn("demand", F.when(fits.isNull(), F.col("most")).otherwise(F.least(F.col("most"), low * F.col("share"))))
+        # the first source that is not full at its level sets it for all that come after
+        open_ = (F.col("share") > 0) & (level * F.col("share") <= F.col("most"))
+        t = t.withColumn("at", F.row_number().over(rank)).withColumn("level", F.when(open_, F.struct("at", level.alias("level"))))
+        first = F.min("level").over(every)["level"]
+        t = t.withColumn("demand", F.least(F.col("most"), F.coalesce(first * F.col("share"), F.col("most"))))
     again = (F.col("demand") > F.col("have")).cast("double")
     part = F.when(F.sum("demand").over(every) > 0, F.col("demand") / F.sum("demand").over(every)).otherwise(0.0)
     t = t.withColumn("again", again).withColumn("part", part)

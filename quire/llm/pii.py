@@ -271,8 +271,9 @@ def _names(t: str, add) -> None:  # noqa: ANN001
             best = (m.end(), False, False)
         if best and (strong or (weak and best[1])):
             b, cue, stop = best
-            role = t[b - 1] in ROLE_ENDS or t[b : b + 1] in ROLE_ENDS
-            add(a, b, "NAME", (1, 1, int(strong), int(cue or stop), 0, -int(role)), "zh")
+            if t[b - 1] in ROLE_ENDS or t[b : b + 1] in set(ROLE_ENDS):  # a team or a role, as in 管理员
+                continue
+            add(a, b, "NAME", (1, 1, int(strong), int(cue or stop), 0, 0), "zh")
     if "様" in t or "さん" in t or "の" in t:
         for m in _JA_NAME.finditer(t):
             add(*m.span(), "NAME", (1, 0, 0, 1 if _JA_RIGHT.match(t, m.end()) or _JA_RIGHT.search(t[m.end() : m.end() + 8]) else 0, 0, -int(t[m.end() - 1] in ROLE_ENDS)), "ja")
@@ -332,7 +333,7 @@ def likelihoods(counts: list[tuple[str, str, int]], rounds: int = 30) -> dict[tu
         if not own:
             continue
         votes, n = np.array([v for v, _, _ in own]), np.array([c for _, _, c in own], dtype=float)
-        p = 1 / (1 + np.exp(-(votes.sum(axis=1) - 0.5 + votes.min(axis=1))))
+        p = 1 / (1 + np.exp(-(votes.sum(axis=1) - 0.5 + 3 * np.minimum(votes.min(axis=1), 0))))
         for _ in range(rounds):
             prior = ((p * n).sum() + 2) / (n.sum() + 3)
             logit = np.full(len(own), np.log(prior / (1 - prior)))
@@ -345,7 +346,7 @@ def likelihoods(counts: list[tuple[str, str, int]], rounds: int = 30) -> dict[tu
                     yes = ((p * n)[here].sum() + 1 + (said > 0)) / ((p * n).sum() + 4)
                     no = (((1 - p) * n)[here].sum() + 1 + (said < 0)) / (((1 - p) * n).sum() + 4)
                     ratio = np.log(yes / no)
-                    logit[here] += max(ratio, 0.0) if said > 0 else min(ratio, -1.0) if said < 0 else np.clip(ratio, -1.0, 1.0)
+                    logit[here] += max(ratio, 0.0) if said > 0 else min(ratio, -3.0) if said < 0 else np.clip(ratio, -1.0, 1.0)
             p = 1 / (1 + np.exp(-np.clip(logit, -12, 12)))
         out |= {(kind, v): float(x) for (_, v, _), x in zip(own, p)}
     return out

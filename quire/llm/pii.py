@@ -135,7 +135,8 @@ _ZH_AFTER = re.compile(
 _JA_NAME = re.compile(r"(?<![一-鿿々])[一-鿿々]{1,3}[ 　\n]?[一-鿿々ぁ-んァ-ヴ]{1,3}?(?=さん|様|氏|殿|の宛先|の登録番号|の住所|の電話|の連絡先)")
 _JA_RIGHT = re.compile(r"^(?:さん|様|氏|殿|の宛先|の登録番号|の住所|の電話|の連絡先)")
 _DEV = "ऀ-ॣॱ-ॿ"
-_HI_NAME = re.compile(rf"(?:(?:डॉ\.|श्री|श्रीमती|कृपया|कुमारी)\s+|(?<=\d)\s|(?<=[A-Z])\s)(?P<n>[{_DEV}]{{2,}}\s[{_DEV}]{{2,}})(?=\s(?:ने|से|को|का|की|के|जी))")
+_HI_NAME = re.compile(rf"(?:(?:डॉ\.|श्री|श्रीमती|कृपया|कुमारी)\s+|(?<=\d)\s|(?<=[A-Z])\s)(?P<n>[{_DEV}]{{2,}}\s[{_DEV}]{{2,}})(?=\s(?:ने|से|को|का|की|के|जी)(?![{_DEV}]))")
+_HI_ID = re.compile(r"(?:पहचान|आधार|पासपोर्ट)[^।]{0,16}\d[A-Z]?\s$")
 _AR = "؀-ؿف-ي"
 _AR_NAME = re.compile(r"(?:(?<![\w])د\.\s+|السيدة?\s+|الاتصال بـ\s*|الاتصال ب|يخص\s+|إلى السيدة?\s+|المهندسة?\s+)(?P<n>[ء-يً-ْ]{2,}\s[ء-يً-ْ]{2,})(?=\s(?:أن|على|في|عن)|[.،؟!]|$|\n)")
 _TH_NAME = re.compile(r"(?<![ก-๎])(?:คุณ|นางสาว|นาย|นาง|ดร\.\s?)(?P<n>[ก-๎]{2,15}\s[ก-๎]{2,15})(?=\s|$)")
@@ -279,7 +280,10 @@ def _names(t: str, add) -> None:  # noqa: ANN001
             add(*m.span(), "NAME", (1, 0, 0, 1 if _JA_RIGHT.match(t, m.end()) or _JA_RIGHT.search(t[m.end() : m.end() + 8]) else 0, 0, -int(t[m.end() - 1] in ROLE_ENDS)), "ja")
     for pattern, kind in ((_HI_NAME, "hi"), (_AR_NAME, "ar"), (_TH_NAME, "th")):
         for m in pattern.finditer(t):
-            add(m.start("n"), m.end("n"), "NAME", (1, 0, 1, 1, 0, 0), kind)
+            a = m.start("n")
+            if kind == "hi" and m.start("n") - m.start() < 2 and not _HI_ID.search(t[max(0, a - 40) : a]):
+                continue
+            add(a, m.end("n"), "NAME", (1, 0, 1, 1, 0, 0), kind)
 
 
 def features(text: str, a: int, b: int, kind: str, votes: tuple[int, ...], shape: str) -> list[int]:

@@ -53,7 +53,7 @@ _ERROR = (
 _FILLER = (
     r"(?:请?(?:在此|此处|点击此处|单击此处)(?:处)?(?:输入|添加|插入|编辑)(?:文本|文字|标题|内容|正文)|(?:测试){2,}|([一-鿿]{2,6})\1+)+",
     r"(?:正文内容|(?:这里是|此处为)?示例(?:文字|段落|内容)|占位(?:文字|内容|符)?|测试(?:文字|内容)|内容内容|文字文字|此处省略|待编辑|敬请期待)+",
-    r"(?:asdf|qwer|zxcv|qwerty)(?:[ ,]+(?:asdf|qwer|zxcv|qwerty))*", r"content coming soon", r"(?:your|insert|add) (?:text|content) (?:goes )?here", r"(?:sample|dummy|placeholder|test) (?:text|paragraph|content)(?: (?:here|only))?", r"(?:blah[ ,]*){2,}", r"(?:test[ ,]+){2,}test", r"text to be added", r"to be (?:written|completed|announced)", r"coming soon",
+    r"(?:asdf|qwer|zxcv|qwerty)(?:[ ,]+(?:asdf|qwer|zxcv|qwerty))*", r"content coming soon", r"click (?:here )?to (?:add|edit|insert|enter|type)(?: an?| the| your| some)? (?:title|subtitle|heading|text|content|name|description)", r"(?:your|insert|add) (?:text|content) (?:goes )?here", r"(?:sample|dummy|placeholder|test|filler) (?:text|paragraph|content)(?: (?:here|only))?", r"(?:blah[ ,]*){2,}", r"(?:test[ ,]+){2,}test", r"text to be added", r"to be (?:written|completed|announced)", r"coming soon",
     r"(?:ダミーテキスト|サンプルテキスト|ここに(?:文章|テキスト)が入ります)+", r"(?:platzhaltertext|beispieltext|blindtext)", r"(?:texto de (?:ejemplo|relleno|muestra))",
 )
 _LOREM = (
@@ -67,7 +67,7 @@ _KEYWORDS = (
     "bad gateway", "time-out", "timeout", "forbidden", "not found", "server error", "unavailable", "unauthorized", "bad request", "too many requests", "error 4", "error 5", "denied", "have permission", "have access", "expired", "timed out", "sign in again", "log in again", "please sign in", "please log in", "page you", "that page", "find the page", "find this page", "been deleted", "been moved", "been removed", "has expired", "no longer available", "went wrong", "try again", "retry in", "oops", "sorry", "traceback", "error occurred", "unexpected error", "failed to load", "export failed", "be rendered",
     "系统错误", "系统异常", "系统繁忙", "服务器错误", "服务器异常", "服务器繁忙", "服务器开小差", "服务器出错", "网络错误", "网络异常", "错误码", "页面不存在", "页面走丢", "页面找不到", "页面已", "抱歉", "对不起", "您访问的页面", "网关超时", "网关错误", "请刷新", "稍后再试", "稍后重试", "加载失败", "导出失败", "渲染失败", "点击重试", "已被删除", "已删除", "已失效", "已过期", "没有权限", "无权", "请联系管理员", "重新登录", "请先登录", "被拒绝", "过于频繁",
     "nicht gefunden", "verweigert", "abgelaufen", "fehler ist", "melden sie sich", "no encontrada", "permiso para", "denegado", "expirado", "caducado", "un error", "見つかりません", "アクセス", "期限", "エラーが", "ไม่พบหน้า", "ไม่มีสิทธิ์", "ข้อผิดพลาด", "नहीं मिला", "उपलब्ध नहीं", "अनुमति नहीं", "الصفحة", "الوصول", "ليس لديك", "الجلسة", "حدث خطأ",
-    "正文内容", "示例文字", "示例段落", "示例内容", "占位", "测试测试", "此处添加", "此处输入", "在此输入", "在此添加", "测试文字", "测试内容", "内容内容", "文字文字", "敬请期待", "asdf", "qwer", "coming soon", "goes here", "text here", "content here", "sample text", "dummy text", "placeholder text", "test text", "blah", "test test", "to be written", "to be completed", "ダミー", "サンプルテキスト", "platzhaltertext", "blindtext", "beispieltext", "texto de",
+    "正文内容", "示例文字", "示例段落", "示例内容", "占位", "测试测试", "此处添加", "此处输入", "在此输入", "在此添加", "测试文字", "测试内容", "内容内容", "文字文字", "敬请期待", "asdf", "qwer", "coming soon", "goes here", "text here", "content here", "sample text", "dummy text", "placeholder text", "placeholder paragraph", "placeholder content", "paragraph here", "filler text", "test text", "blah", "click to", "click here to", "test test", "to be written", "to be completed", "ダミー", "サンプルテキスト", "platzhaltertext", "blindtext", "beispieltext", "texto de",
     "lorem", "ipsum", " amet", " elit ", "posuere", "lectus", "nullam", "consectetur", "vestibulum",
 )
 _NAME = r"[A-Za-z][A-Za-z0-9_.\- ]{0,40}"
@@ -150,7 +150,8 @@ def evidence(unit: Column) -> Column:
     rest = F.regexp_replace(unit, "|".join((*_SCRIPT, *_ERROR, *_FILLER)), "")
     words = F.size(F.split(F.trim(unit), r"[^\p{L}]+"))
     latin = F.size(F.regexp_extract_all(unit, F.lit(rf"\b({_LOREM})\b"), F.lit(1)))
-    return _any(unit, _KEYWORDS) & (letters(unit) > 0) & ((letters(rest) <= (1 - COVER) * letters(unit)) | ((words >= 4) & (latin >= 0.5 * words)))
+    phrases = _any(unit, _KEYWORDS) & (letters(unit) > 0) & (letters(rest) <= (1 - COVER) * letters(unit))
+    return phrases | ((words >= 4) & (latin >= 0.5 * words))
 
 
 def residue(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", url_col: str = "source_url") -> DataFrame:

@@ -114,8 +114,8 @@ def bucket_keys(x: np.ndarray, depth: int, tables: int, probes: int) -> np.ndarr
     return keys.view(np.int64)
 
 
-def sign_sketch(x: np.ndarray) -> np.ndarray:
-    a = np.random.default_rng(SEED + 1).standard_normal((x.shape[1], BITS)).astype(np.float32)
+def sign_sketch(x: np.ndarray, bits: int = BITS) -> np.ndarray:
+    a = np.random.default_rng(SEED + 1).standard_normal((x.shape[1], bits)).astype(np.float32)
     return np.packbits(x @ a > 0, axis=1)
 
 
@@ -124,7 +124,7 @@ _HASHED = StructType(
 )
 
 
-def hashed(units: Column, dims: int, depth: int, tables: int, probes: int) -> Column:
+def hashed(units: Column, dims: int, depth: int, tables: int, probes: int, bits: int = BITS) -> Column:
     """struct<key of the direction, sign sketch, bucket keys> of a unit vector."""
 
     @F.arrow_udf(_HASHED)
@@ -134,7 +134,7 @@ def hashed(units: Column, dims: int, depth: int, tables: int, probes: int) -> Co
             x = floats(column.slice(i, 2000), dims)
             grid = np.rint(x * np.float32(1e5)).astype(np.int32)
             keys += [hashlib.md5(g.tobytes(), usedforsecurity=False).digest() for g in grid]
-            sketches += [s.tobytes() for s in sign_sketch(x)]
+            sketches += [s.tobytes() for s in sign_sketch(x, bits)]
             cells.append(bucket_keys(x, depth, tables, probes).reshape(len(x), -1))
         per = tables * (1 + probes)
         flat = np.concatenate(cells).ravel() if cells else np.zeros(0, dtype=np.int64)
@@ -152,14 +152,14 @@ def most_bits(cosine: float, bits: int) -> int:
     return math.ceil(bits * p + 4.5 * math.sqrt(bits * p * (1 - p)))
 
 
-def _met(batches: Iterator[pa.RecordBatch], cosine: float | None, best: int) -> Iterator[pa.RecordBatch]:
+def _met(batches: Iterator[pa.RecordBatch], cosine: float | None, best: int, bits: int) -> Iterator[pa.RecordBatch]:
     """Pairs (visitor, home, bits) met in a bucket: those within reach of `cosine`, else each visitor's `best`.
 
     role 0: home only, 1: visitor only, 2: both."""
-    few, all_bits = (most_bits(cosine, 128), most_bits(cosine, BITS)) if cosine is not None else (0, 0)
+    few, all_bits = (most_bits(cosine, 128), most_bits(cosine, bits)) if cosine is not None else (0, 0)
     for table, starts in whole_runs(batches, "cell"):
         ids, role = table.column("id").to_numpy(), table.column("role").to_numpy()
-        words = np.frombuffer(b"".join(table.column("sketch").to_pylist()), dtype=np.uint64).reshape(len(ids), BITS // 64)
+        words = np.frombuffer(b"".join(table.column("sketch").to_pylist()), dtype=np.uint64).reshape(len(ids), bits // 64)
         seen: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         for s, e in zip(starts[:-1], starts[1:]):
             home, visitor = s + np.flatnonzero(role[s:e] != 1), s + np.flatnonzero(role[s:e] != 0)
@@ -175,23 +175,23 @@ def _met(batches: Iterator[pa.RecordBatch], cosine: float | None, best: int) ->
                     a, b = v[a], home[b]
                     keep = ids[a] != ids[b]
                     a, b = a[keep], b[keep]
-                    bits = np.bitwise_count(words[a] ^ words[b]).sum(axis=1)
-                    near = bits <= all_bits
-                    seen.append((ids[a[near]], ids[b[near]], bits[near]))
+                    differ = np.bitwise_count(words[a] ^ words[b]).sum(axis=1)
+                    near = differ <= all_bits
+                    seen.append((ids[a[near]], ids[b[near]], differ[near]))
                 else:
                     x = np.zeros((len(v), len(home)), dtype=np.int16)
-                    for w in range(BITS // 64):
+                    for w in range(bits // 64):
                         x += np.bitwise_count(words[v, w][:, None] ^ h[:, w])
                     x[ids[v][:, None] == ids[home]] = 32000
                     n = min(best, len(home))
                     top = np.argpartition(x, n - 1, axis=1)[:, :n]
-                    bits = np.take_along_axis(x, top, axis=1).ravel()
+                    differ = np.take_along_axis(x, top, axis=1).ravel()
                     a, b = np.repeat(ids[v], n), ids[home][top.ravel()]
-                    real = bits < 32000
-                    seen.append((a[real], b[real], bits[real]))
+                    real = differ < 32000
+                    seen.append((a[real], b[real], differ[real]))
         if seen:
-            a, b, bits = (np.concatenate(x) for x in zip(*seen))
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(bits.astype(np.int64))], names=["a", "b", "bits"])
+            a, b, differ = (np.concatenate(x) for x in zip(*seen))
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(differ.astype(np.int64))], names=["a", "b", "bits"])
 
 
 def exact(a: Column, b: Column, dims: int) -> Column:
@@ -231,12 +231,14 @@ def most_similar(
     bucket_rows: int = 1000,
     probes: int = 4,
     least_tables: int = 4,
-    rerank: int = 12,
+    rerank: int = 24,
+    bits: int = BITS,
 ) -> DataFrame:
     """(id, other, similarity): up to k most similar other rows of each row, or of those where `queries` holds.
 
     vectors has `id` and `embedding`.  With `cosine` only partners at or above it come out, which also makes the
-    search cheaper.  Rows with a null id or an unusable vector take no part.  Ties go to the smaller id; a repeated id
+    search cheaper.  Without it each visit keeps its `rerank` best by sketch, and the 8 k + rerank best of a row are
+    ranked exactly; longer sketches (`bits`) tell weaker similarities apart.  Rows with a null id or an unusable vector take no part.  Ties go to the smaller id; a repeated id
     counts once.
     """
     asked = F.coalesce(queries, F.lit(False)) if queries is not None else F.lit(True)
@@ -244,7 +246,7 @@ def most_similar(
     rows = vectors.filter("id is not null and embedding is not null").count()
     depth = depth_for(rows, bucket_rows)
     tables = tables_for(depth, least_tables)
-    base = cut(units.select("id", "asked", hashed(F.col("u"), dims, depth, tables, probes).alias("h")).select("id", "asked", "h.*"))
+    base = cut(units.select("id", "asked", hashed(F.col("u"), dims, depth, tables, probes, bits).alias("h")).select("id", "asked", "h.*"))
     first = base.groupBy("key").agg(F.min("id").alias("rep"), F.max("asked").alias("wanted"))
     member = cut(base.select("id", "asked", "key").join(first.select("key", "rep"), "key").select("id", "asked", "rep").distinct())
     reps = base.join(first.select("key", F.col("rep").alias("id"), "wanted"), ["key", "id"]).dropDuplicates(["id"])
@@ -265,7 +267,7 @@ def most_similar(
         spread = spread.select("id", "sketch", "cell", "role", mine.alias("mine"), F.explode(to).alias("part"))
         role = F.when((F.col("role") == 2) & (F.col("mine") != F.col("part")), 0).otherwise(F.col("role"))
         visits = spread.select("id", "sketch", F.xxhash64("cell", "part").alias("cell"), role.cast("long").alias("role"))
-    met = visits.repartition("cell").sortWithinPartitions("cell").mapInArrow(lambda b: _met(b, cosine, rerank), "a long, b long, bits long")
+    met = visits.repartition("cell").sortWithinPartitions("cell").mapInArrow(lambda b: _met(b, cosine, rerank, bits), "a long, b long, bits long")
     if cosine is not None:
         found = cut(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     else:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from quire.functions import text as T
 from quire.functions import vectors as V
-from quire.operators import changes, chunks, documents, graph, search, tree
+from quire.operators import changes, chunks, documents, graph, naming, search, tree
 from quire.sources import wiki
 from quire.sources.tables import table
 
@@ -463,6 +463,8 @@ def w9_latest_chunks(spark, d):
 
 # ---- scalar functions
 
+_WS = r"\s\p{Z}\x0b\x1c-\x1f\x85"
+
 _SAFE = r"""regexp_replace(regexp_replace(regexp_replace(regexp_replace(CASE WHEN coalesce(title, '') = '' THEN node_token ELSE title END, '[\\/:*?"<>|\s\p{Z}#%&+()\[\]{}]', '_', 'g'), '[（）【】｛｝＃％＆＋　]', '_', 'g'), '_+', '_', 'g'), '^[._ ]+|[._ ]+$', '', 'g')"""
 
 
@@ -556,9 +558,33 @@ def t23_weights(spark, d):
     return table(spark, d, "lightrag_relations").select("id", T.weight_or_one("weight").alias("weight"))
 
 
+@query()
+def t9_image_names_by_client(spark, d):
+    a = _around(spark, d)
+    a = a.withColumn("context", documents.prompt_context(F.col("segments_before"), F.col("segments_after"))).select("doc_id", "elem_idx", "context", "context_before", "context_after")
+    # a stand-in for a model: it answers with the start of the nearest segment
+    return naming.named(a, lambda: lambda prompt: prompt.split("】 ")[-1]).select("doc_id", "elem_idx", "name")
+
+
+@query(f"SELECT node_token, CASE WHEN t = '' THEN obj_token WHEN s = '' THEN obj_token ELSE s END AS name FROM (SELECT node_token, obj_token, coalesce(title, '') AS t, {_SAFE.replace('node_token', 'obj_token')} AS s FROM (SELECT node_token, obj_token, regexp_replace(title, '^[{_WS}]+|[{_WS}]+$', '', 'g') AS title FROM wiki_nodes))")
+def t15_title_names(spark, d):
+    return table(spark, d, "wiki_nodes").select("node_token", T.title_name("title", "obj_token").alias("name"))
+
+
+@query("SELECT doc_id, coalesce(len(list_filter(string_split(text, ' '), lambda x: x <> '')), 0) AS words FROM documents")
+def t20_sizes(spark, d):
+    return table(spark, d, "documents").select("doc_id", T.size_udf("text", lambda: lambda t: sum(1 for w in t.split(" ") if w)).alias("words"))
+
+
 # ---- replace, upsert, schema
 
 
+@query("SELECT source_entity AS name FROM lightrag_relations UNION ALL SELECT target_entity FROM lightrag_relations UNION ALL SELECT entity_name FROM lightrag_entities")
+def u1_union(spark, d):
+    r, e = table(spark, d, "lightrag_relations"), table(spark, d, "lightrag_entities")
+    return r.select(F.col("source_entity").alias("name")).unionByName(r.select(F.col("target_entity").alias("name"))).unionByName(e.select(F.col("entity_name").alias("name")))
+
+
 @query("""SELECT id AS row_id, doc_name FROM doc_chunks WHERE doc_name IS NULL OR doc_name NOT IN (SELECT doc_name FROM chunks WHERE doc_name IS NOT NULL) UNION ALL SELECT row_id, doc_name FROM chunks""")
 def u2_replace_documents(spark, d):
     return changes.replaced(table(spark, d, "doc_chunks").select(F.col("id").alias("row_id"), "doc_name"), table(spark, d, "chunks").select("row_id", "doc_name"), "doc_name")
@@ -634,9 +660,6 @@ def q7_edges(spark, d):
     return table(spark, d, "lightrag_relations").filter("source_entity is not null and target_entity is not null").select("source_entity", "target_entity", "relation_type").distinct()
 
 
-_WS = r"\s\p{Z}\x0b\x1c-\x1f\x85"
-
-
 @query(rf"""SELECT count(*) AS chunks, count_if(coalesce(regexp_matches(regexp_replace(chunk_text, '[{_WS}]+$', ''), '[。！？.!?…।؟]["”’」』）)]*$'), false)) AS ends_in_mark, count_if(NOT coalesce(regexp_matches(chunk_text, '[^{_WS}]'), false)) AS blank,
 min(length(chunk_text)) AS least, max(length(chunk_text)) AS most, CAST(sum(length(chunk_text)) AS BIGINT) AS chars, count_if(coalesce(source_file, '') = '') AS no_source, count_if(coalesce(processed_at, '') = '') AS no_time, count_if(embedding IS NULL) AS no_vector FROM doc_chunks""")
 def q9_quality(spark, d):

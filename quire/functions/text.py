@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType
+from pyspark.sql.types import ArrayType, LongType, StringType
 
 from quire.core import splitting, tidying
 
@@ -119,3 +121,20 @@ def image_name_udf(before: Column, after: Column, length: int = tidying.NAME_LEN
         return pa.array([tidying.image_name(x, y, length) for x, y in zip(b.to_pylist(), a.to_pylist())], pa.string())
 
     return run(before, after)
+
+
+def title_name(title: Column | str, name: Column | str) -> Column:
+    """The file name a document gets from its title; its own name where it has no title."""
+    title, name = strip(title), _col(name)
+    return F.when(F.coalesce(title, F.lit("")) == "", name).otherwise(safe_filename(title, name))
+
+
+def size_udf(text: Column | str, load: Callable[[], Callable[[str], int]]) -> Column:
+    """Size of a text by any counter, such as a tokenizer's; 0 for null.  `load` makes it once in each batch."""
+
+    @F.arrow_udf(LongType())
+    def run(column: pa.Array) -> pa.Array:
+        count = load()
+        return pa.array([count(t) if t else 0 for t in column.to_pylist()], pa.int64())
+
+    return run(_col(text))

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable, Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.functions import text as T
 from quire.functions import vectors as V
+from quire.plans.snapshots import Store
 
 
 def nearest(rows: DataFrame, vector: list[float], k: int = 10, embedding: str = "embedding", order: str = "id", where: Column | None = None) -> DataFrame:
@@ -62,3 +65,24 @@ def quality(chunks: DataFrame, text: str = "chunk_text") -> DataFrame:
         F.count_if(F.coalesce(F.col("processed_at"), F.lit("")) == "").alias("no_time"),
         F.count_if(F.col("embedding").isNull()).alias("no_vector"),
     )
+
+
+class Client:
+    """Searches over the published chunks of a store; each call sees the snapshot of that moment."""
+
+    def __init__(self, spark: SparkSession, store: Store, embed: Callable[[list[str]], Sequence[Sequence[float]]]) -> None:
+        self.spark, self.store, self.embed = spark, store, embed
+
+    def chunks(self) -> DataFrame:
+        rows = self.store.read(self.spark, "doc_chunks")
+        if rows is None:
+            raise LookupError("nothing is published yet")
+        return rows
+
+    def search(self, text: str, k: int = 10, doc_name: str | None = None, space_id: str | None = None) -> DataFrame:
+        """The k chunks nearest to a text, of one document or space if named."""
+        where = F.lit(True)
+        for column, value in (("doc_name", doc_name), ("space_id", space_id)):
+            if value is not None:
+                where = where & (F.col(column) == value)
+        return nearest(self.chunks(), list(self.embed([text])[0]), k, order="chunk_id", where=where)

@@ -115,3 +115,29 @@ def images(spark: SparkSession, folder: str) -> DataFrame:
 
     found = files(spark, folder, "*.docx").select("doc_name", "content")
     return found.mapInPandas(run, "doc_name string, image_no int, media string, original_filename string")
+
+
+def write_images(spark: SparkSession, folder: str, names: DataFrame, out: str) -> DataFrame:
+    """Write media under their final names (doc_name, image_no, smart_filename) to out/<doc>/images, a folder that all
+    executors share; (doc_name, smart_filename, bytes) of what was written."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = []
+            for doc, data, wanted in zip(b["doc_name"], b["content"], b["names"]):
+                found = media(data)
+                with zipfile.ZipFile(io.BytesIO(data)) as z:
+                    for n in wanted:
+                        if n["image_no"] < len(found):
+                            at = os.path.join(out, doc, "images", n["smart_filename"])
+                            os.makedirs(os.path.dirname(at), exist_ok=True)
+                            content = z.read(found[n["image_no"]])
+                            with open(at + ".part", "wb") as f:
+                                f.write(content)
+                            os.replace(at + ".part", at)
+                            rows.append((doc, n["smart_filename"], len(content)))
+            yield pd.DataFrame(rows, columns=["doc_name", "smart_filename", "bytes"])
+
+    lists = names.groupBy("doc_name").agg(F.collect_list(F.struct("image_no", "smart_filename")).alias("names"))
+    f = files(spark, folder, "*.docx").select("doc_name", "content").join(lists, "doc_name")
+    return f.mapInPandas(run, "doc_name string, smart_filename string, bytes long")

@@ -9,7 +9,10 @@ from pyspark.sql import functions as F
 
 from quire import schemas
 from quire.config import Options
+from quire.operators import naming, search
+from quire.operators.embedding import hashing_model
 from quire.plans.pipeline import Pipeline, doctor, report
+from quire.plans.retry import retried
 from quire.plans.snapshots import Store, lock
 from quire.sources import layout, sheets, wiki, word
 from quire.streaming import ingest
@@ -52,6 +55,9 @@ def test_word_files(spark, tmp_path):
     assert [(r.elem_type, r.content, r.has_image, r.heading_level) for r in got if r.doc_name == "a_b"] == [("paragraph", "Title", False, 2), ("paragraph", "Some text", False, 0), ("paragraph", "", True, 0), ("table", "a | b", False, 0)]
     assert [bool(r.error) for r in got if r.doc_name == "bad"] == [True]
     assert [r.original_filename for r in word.images(spark, str(tmp_path)).collect()] == ["img_000_image1.png"]
+    names = spark.createDataFrame([("a_b", 0, "x.png"), ("a_b", 7, "y.png")], "doc_name string, image_no int, smart_filename string")
+    assert [(r.smart_filename, r.bytes) for r in word.write_images(spark, str(tmp_path), names, str(tmp_path / "out")).collect()] == [("x.png", 1)]
+    assert (tmp_path / "out/a_b/images/x.png").read_bytes() == b"x"
 
 
 def test_sheets(spark, tmp_path):
@@ -135,6 +141,11 @@ def test_pipeline_is_incremental(spark, tmp_path):
     assert sorted((r.doc_name, r.chunk_text) for r in now.collect()) == [("a", "short"), ("b", "Gamma")]
     assert p.store.read(spark, "entities") is not None
     assert report(docs(spark, [("a", ""), ("c", "")]), now).first().asDict() == {"total": 2, "success": 1, "skipped": 1, "chunks": 1}
+    client = search.Client(spark, p.store, lambda texts: hashing_model()(texts))
+    assert client.search("short", 1).first().doc_name == "a"
+    assert client.search("short", 5, doc_name="b").count() == 1
+    with pytest.raises(LookupError):
+        search.Client(spark, Store(str(tmp_path / "none")), hashing_model()).search("x")
     with pytest.raises(ValueError, match="unknown"):
         p.run(docs(spark, []), steps=["nothing"])
     assert all(x.startswith(("warn", "fatal")) for x in doctor(str(tmp_path)))
@@ -162,3 +173,34 @@ def test_windowed_stream(spark, data, tmp_path):
     q = ingest.windowed_counts(stream, "ts", "event_type").writeStream.format("memory").queryName("w").outputMode("append").trigger(availableNow=True).option("checkpointLocation", str(tmp_path / "c")).start()
     q.awaitTermination(120)
     assert 0 < spark.table("w").agg(F.sum("n")).first()[0] <= e.count()
+
+
+def test_image_names_fall_back(spark):
+    df = spark.createDataFrame([("good", "系统架构", ""), ("bad", "系统架构", ""), ("short", "系统架构", "")], "context string, context_before string, context_after string")
+
+    def load():
+        def client(prompt):
+            if prompt == "bad":
+                raise TimeoutError
+            return "“登录 界面！”\nbecause" if prompt == "good" else "x"
+
+        return client
+
+    assert {r.context: r.name for r in naming.named(df, load).collect()} == {"good": "登录界面", "bad": "系统架构", "short": "系统架构"}
+    assert {r.name for r in naming.named(df).collect()} == {"系统架构"}
+
+
+def test_retries():
+    calls, pauses = [], []
+
+    def call():
+        calls.append(1)
+        if len(calls) < 3:
+            raise ConnectionError
+        return 7
+
+    assert retried(call, sleep=pauses.append) == 7 and pauses == [2.0, 4.0]
+    with pytest.raises(KeyError):
+        retried(lambda: {}["x"], sleep=pauses.append)
+    with pytest.raises(ConnectionError):
+        retried(lambda: (_ for _ in ()).throw(ConnectionError()), tries=2, sleep=pauses.append)

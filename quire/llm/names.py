@@ -20,8 +20,9 @@ from pyspark.sql.types import ArrayType, BooleanType, StringType, StructField, S
 from quire.operators.components import connected
 from quire.plans.lineage import cut
 
-#: Shortest suffix, in letters and in ideographs; forms in a block before it is refined, and after.
-SUFFIX, SUFFIX_HAN, COMMON, MOST = 4, 2, 40, 200
+#: Shortest suffix, in letters and in ideographs; forms in a block before it is refined, and after the last of LEVELS
+#: refinements, each of which takes one letter more of the other tokens.
+SUFFIX, SUFFIX_HAN, COMMON, MOST, LEVELS = 4, 2, 40, 200, 5
 
 # Words that carry no identity, and short forms.
 TITLES = frozenset("mr mrs ms miss mx dr prof professor eng ing sir dame rev hon herr frau sr sra srta dra don dona mme mlle m".split()) - {"m"}
@@ -201,13 +202,13 @@ def suffixes(token: str, han: bool) -> list[str]:
 
 
 def block_keys(kind: str, tokens: list[str], refine: int) -> list[str]:
-    """Suffix keys of a form; refine 1 adds the first, or the last, letters of its other tokens (or of the token's
-    own start), refine 2 more of them."""
+    """Suffix keys of a form; refine n adds the first, or the last, n + 1 letters of its other tokens (of the token
+    itself if it has none)."""
     out = set()
     han = kind.startswith("han")
     for i, t in enumerate(tokens):
         others = [x for j, x in enumerate(tokens) if j != i] or [t]
-        n = 2 if refine == 1 else 3
+        n = refine + 1
         for s in suffixes(t, han):
             if refine == 0:
                 out.add(f"{kind}|{s}")
@@ -236,20 +237,22 @@ def compared(kind: Column, a: Column, b: Column, fa: Column, fb: Column) -> Colu
 
 def _met(forms: DataFrame) -> DataFrame:
     """Pairs (a < b) of forms that share a block."""
-    parts, level = [], forms
-    for refine, most in ((0, COMMON), (1, COMMON), (2, MOST)):
-        keyed = level.select("form", "kind", "tokens", F.explode(keys(F.col("kind"), F.col("tokens"), refine)).alias("key"))
+    pairs = None
+    for refine in range(LEVELS + 1):
+        keyed = forms.select("form", "kind", "tokens", F.explode(keys(F.col("kind"), F.col("tokens"), refine)).alias("key"))
+        suffix = F.array_join(F.slice(F.split("key", r"\|"), 1, 2), "|")
         if refine:  # only keys whose suffix was too common before
-            keyed = keyed.withColumn("suffix", F.array_join(F.slice(F.split("key", r"\|"), 1, 2), "|")).join(wide, "suffix", "left_semi")
-        count = keyed.groupBy("key").count()
-        fit = count.filter(F.col("count").between(2, most)).select("key")
-        block = keyed.select("form", "key").join(fit, "key", "left_semi").groupBy("key").agg(F.sort_array(F.collect_set("form")).alias("f"))
-        pair = block.select(F.explode(F.expr("flatten(transform(f, (x, i) -> transform(slice(f, i + 2, size(f)), y -> struct(x as a, y as b))))")).alias("p"))
-        parts.append(pair.select("p.a", "p.b"))
-        over = count.filter(F.col("count") > most)
-        wide = over.select(F.array_join(F.slice(F.split("key", r"\|"), 1, 2), "|").alias("suffix")).distinct()
-        wide = cut(wide)
-    return parts[0].unionByName(parts[1]).unionByName(parts[2]).distinct()
+            keyed = keyed.withColumn("suffix", suffix).join(wide, "suffix", "left_semi")  # noqa: F821
+        count = cut(keyed.groupBy("key").count().filter("count > 1"))
+        most = COMMON if refine < LEVELS else MOST
+        block = keyed.select("form", "key").join(count.filter(F.col("count") <= most).select("key"), "key", "left_semi")
+        block = block.groupBy("key").agg(F.sort_array(F.collect_set("form")).alias("f"))
+        pair = block.select(F.explode(F.expr("flatten(transform(f, (x, i) -> transform(slice(f, i + 2, size(f)), y -> struct(x as a, y as b))))")).alias("p")).select("p.a", "p.b")
+        pairs = pair if pairs is None else pairs.unionByName(pair)
+        wide = cut(count.filter(F.col("count") > most).select(suffix.alias("suffix")).distinct())
+        if wide.isEmpty():
+            break
+    return pairs.distinct()
 
 
 def linked(names: DataFrame, name_col: str = "entity_name", type_col: str | None = "entity_type") -> DataFrame:

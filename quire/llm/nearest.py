@@ -216,6 +216,12 @@ def tables_for(depth: int, least: int = 4) -> int:
     return max(least, math.ceil(math.log(0.005) / math.log(1 - met)))
 
 
+def _without(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows whose id is not in ids, which are broadcast if a count shows that they are few."""
+    ids = ids.distinct()
+    return rows.join(F.broadcast(ids) if ids.limit(SMALL + 1).count() <= SMALL else ids, "id", "left_anti")
+
+
 def _only(rows: DataFrame, ids: DataFrame) -> DataFrame:
     """Rows whose id is in ids; ids is broadcast if a count shows that it is small."""
     ids = ids.distinct()
@@ -247,9 +253,14 @@ def most_similar(
     depth = depth_for(rows, bucket_rows)
     tables = tables_for(depth, least_tables)
     base = cut(units.select("id", "asked", hashed(F.col("u"), dims, depth, tables, probes, bits).alias("h")).select("id", "asked", "h.*"))
-    first = base.groupBy("key").agg(F.min("id").alias("rep"), F.max("asked").alias("wanted"))
-    member = cut(base.select("id", "asked", "key").join(first.select("key", "rep"), "key").select("id", "asked", "rep").distinct())
-    reps = base.join(first.select("key", F.col("rep").alias("id"), "wanted"), ["key", "id"]).dropDuplicates(["id"])
+    first = base.groupBy("key").agg(F.min("id").alias("rep"), F.max("asked").alias("wanted"), F.count("*").alias("n"))
+    member = cut(base.select("id", "asked", "key").join(first, "key").select("id", "asked", "rep", "wanted", "n").distinct())
+    # mostly few rows are copies: taking these out needs no exchange of the sketches
+    reps = _without(base.drop("key"), member.filter("id <> rep").select("id"))
+    if queries is not None:
+        reps = reps.join(member.filter("id = rep and n > 1 and wanted").select("id", F.lit(True).alias("w")), "id", "left").withColumn("wanted", F.col("asked") | F.coalesce("w", F.lit(False)))
+    if base.count() > member.count():  # some id comes twice
+        reps = reps.dropDuplicates(["id"])
     one = F.col("pos") % (1 + probes) == 0
     if queries is None:
         visits = reps.select("id", "sketch", F.posexplode("cells").alias("pos", "cell"))
@@ -290,6 +301,7 @@ def _expanded(member: DataFrame, scored: DataFrame, k: int) -> DataFrame:
     scored = scored.withColumn("n", F.row_number().over(best)).filter(F.col("n") <= k).drop("n")
     head = member.select("rep", F.col("id").alias("other")).distinct()
     head = head.withColumn("n", F.row_number().over(Window.partitionBy("rep").orderBy("other"))).filter(F.col("n") <= k + 1).drop("n")
+    member = member.select("id", "asked", "rep")
     asking = member.filter("asked").select("id", "rep")
     copies = asking.join(head, "rep").filter("id <> other").select("id", "other", F.lit(1.0).alias("similarity"))
     beside = asking.join(scored.withColumnRenamed("a", "rep"), "rep").select("id", "b", "similarity")

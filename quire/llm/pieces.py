@@ -22,11 +22,16 @@ LIMIT, OVERLAP = 1000, 200
 
 HARD, WORD, CLAUSE, SENTENCE, LINE, PARAGRAPH = range(6)
 _BOUNDARY = re.compile(
-    r"(?P<p>\s*\n\s*\n\s*|\s*\r\n\s*\r\n\s*|\s* \s*)|(?P<l>[^\S\n]*(?:\r\n|[\n\r\x0b\x0c\x85 ])\s*)"
-    r"|(?P<s>[.!?।॥؟۔…][\"'”’»)\]]*\s+|[。！？｡．…]+[”’」』）)》】]*\s*)"
-    r"|(?P<c>[,;:،؛]\s+|[，；：、]\s*)|(?P<w>\s+)"
+    r"(?:(?P<s>[.!?।॥؟۔…][\"'”’»)\]]*(?=\s)|[。！？｡．…]+[”’」』）)》】]*)|(?P<c>[,;:،؛](?=\s)|[，；：、]))\s*|\s+"
 )
-_STRENGTH = {"p": PARAGRAPH, "l": LINE, "s": SENTENCE, "c": CLAUSE, "w": WORD}
+_BREAK = re.compile("\r\n|[\n\r\x0b\x0c\x85  ]")
+
+
+def _strength(m: re.Match) -> int:
+    breaks = _BREAK.findall(m.group())
+    if len(breaks) > 1 or "\u2029" in breaks:
+        return PARAGRAPH
+    return LINE if breaks else SENTENCE if m.group("s") else CLAUSE if m.group("c") else WORD
 
 
 def _safe(text: str, at: int, low: int) -> int:
@@ -40,7 +45,7 @@ def _safe(text: str, at: int, low: int) -> int:
 def cores(text: str, limit: int = LIMIT, overlap: int = OVERLAP) -> tuple[list[int], dict[int, int]]:
     """Starts of the segments that are left, and every boundary with its strength."""
     room, n = limit - overlap, len(text)
-    strength = {m.end(): _STRENGTH[m.lastgroup] for m in _BOUNDARY.finditer(text) if m.end() < n}
+    strength = {m.end(): _strength(m) for m in _BOUNDARY.finditer(text) if m.end() < n}
     starts = [0]
     for b in [*strength, n]:
         a = starts[-1]

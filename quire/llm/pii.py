@@ -8,6 +8,7 @@ a bounded sample of candidates with those likelihoods as soft labels, takes the
 
 from __future__ import annotations
 
+import bisect
 import re
 import zlib
 
@@ -147,11 +148,14 @@ def candidates(text: str) -> list[tuple[int, int, str, tuple[int, ...], str]]:
     t = text.translate(_FULL) if _NEEDS_FULL.search(text) else text
     out: list[tuple[int, int, str, tuple[int, ...], str]] = []
 
-    def free(a: int, b: int) -> bool:
-        return all(b <= x[0] or a >= x[1] for x in out)
+    starts: list[int] = []
+    ends: list[int] = []
 
     def add(a: int, b: int, kind: str, votes: tuple[int, ...], shape: str) -> None:
-        if a < b and free(a, b):
+        i = bisect.bisect_left(starts, b)  # spans so far do not overlap, so only the one before b can meet [a, b)
+        if a < b and (not i or ends[i - 1] <= a):
+            starts.insert(i, a)
+            ends.insert(i, b)
             out.append((a, b, kind, votes, shape))
 
     if _EMAIL_HINT.search(t):

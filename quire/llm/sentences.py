@@ -61,7 +61,7 @@ _INNER_POINT = "".join(
 _LEADING_NUMBER = rf"(?md)^( *(?:#+ *)?\d{{1,2}}(?:[.{MASK}]\d{{1,3}})*)\.(?=[ \p{{L}}])"
 _URL_MARK = r"((?:https?|ftp)://[A-Za-z0-9\-._~:/#\[\]@$&'()*+,;=%]*|(?!^)\G[A-Za-z0-9\-._~:/#\[\]@$&'()*+,;=%]*)[?!](?=[A-Za-z0-9\-_~/#=%&])"
 _CLOSERS = rf"(?:[{_CLOSE}]|[“‘«](?=[\s{_COMMA}{_MARKS}]|$))"
-_END = rf"((?:[{_MARKS}]++{_CLOSERS}*+)++)(?! ?[{_COMMA}\[])(?!(?<=[{_CLOSE}“‘«])\s*(?:\p{{Ll}}|と))(?!(?<=(?:\.\.|…|‥))\s*\p{{Ll}})"
+_END = rf"((?:[{_MARKS}]++{_CLOSERS}*+){{1,40}}+)(?! ?[{_COMMA}\[])(?!(?<=[{_CLOSE}“‘«])\s*(?:\p{{Ll}}|と))(?!(?<=(?:\.\.|…|‥))\s*\p{{Ll}})"
 
 
 def working_copy(text: Column) -> Column:

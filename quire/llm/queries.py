@@ -24,6 +24,28 @@ SELECT 'chunks' AS src, row_id AS item_id FROM chunks WHERE length(content) > 10
 UNION ALL SELECT 'doc_chunks', id FROM doc_chunks WHERE length(chunk_text) > 1000"""
 
 
+# brute force over all pairs of each table
+_COSINE = """SELECT * FROM (WITH v AS MATERIALIZED (SELECT id, CAST(CAST(embedding AS DOUBLE[]) AS DOUBLE[512]) AS e FROM {0} WHERE id IS NOT NULL AND len(embedding) = 512
+AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+p AS MATERIALIZED (SELECT a.id AS a, b.id AS b, array_cosine_similarity(a.e, b.e) AS s FROM v a JOIN v b ON a.id < b.id WHERE array_cosine_similarity(a.e, b.e) >= 0.9),
+r AS (SELECT a, b, row_number() OVER (PARTITION BY a ORDER BY round(s, 9) DESC, b) AS n FROM (SELECT a, b, s FROM p UNION ALL SELECT b, a, s FROM p))
+SELECT DISTINCT '{0}' AS src, least(a, b) AS id_a, greatest(a, b) AS id_b FROM r WHERE n <= 5)"""
+ORACLES["p2_found"] = " UNION ALL ".join(_COSINE.format(t) for t in ("doc_chunks", "lightrag_entities"))
+
+# exact set similarity; two sets at 0.75 share one of the rarest quarter of either's members
+ORACLES["p6_found"] = r"""WITH t AS (SELECT id, trim(regexp_replace(lower(chunk_text), '[\s\p{Z}\x0b\x1c-\x1f\x85]+', ' ', 'g')) AS t FROM doc_chunks WHERE length(chunk_text) >= 200),
+c AS MATERIALIZED (SELECT t, min(id) AS rep FROM t GROUP BY t),
+g AS MATERIALIZED (SELECT rep, unnest(list_distinct(list_transform(range(1, length(t) - 3), lambda i: substr(t, i, 5)))) AS g FROM c),
+f AS (SELECT g, count(*) AS n FROM g GROUP BY 1), z AS MATERIALIZED (SELECT rep, count(*) AS n FROM g GROUP BY 1),
+o AS (SELECT g.rep, g.g, row_number() OVER (PARTITION BY g.rep ORDER BY f.n, g.g) AS k FROM g JOIN f USING (g)),
+x AS MATERIALIZED (SELECT o.rep, o.g FROM o JOIN z USING (rep) WHERE o.k <= z.n - ceil(0.75 * z.n) + 1),
+p AS MATERIALIZED (SELECT DISTINCT a.rep AS a, b.rep AS b FROM x a JOIN x b ON a.g = b.g AND a.rep < b.rep),
+i AS (SELECT p.a, p.b, count(*) AS n FROM p JOIN g u ON u.rep = p.a JOIN g w ON w.rep = p.b AND w.g = u.g GROUP BY 1, 2),
+s AS (SELECT a, b FROM i JOIN z y ON y.rep = a JOIN z q ON q.rep = b WHERE i.n >= 0.75 * (y.n + q.n - i.n) UNION ALL SELECT rep, rep FROM c),
+m AS (SELECT t.id, c.rep FROM t JOIN c USING (t))
+SELECT DISTINCT least(u.id, w.id) AS id_a, greatest(u.id, w.id) AS id_b FROM s JOIN m u ON u.rep = s.a JOIN m w ON w.rep = s.b WHERE u.id <> w.id"""
+
+
 def chunk_texts(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "doc_chunks").select("id", F.col("chunk_text").alias("text"))
 

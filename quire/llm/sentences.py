@@ -40,9 +40,10 @@ _BREAKS = "\r\x0b\x0c\x1c\x1d\x1e\x85  "
 _INNER_POINT = "".join(
     [
         r"\.(?:",
-        # the next character carries on: a word, number, path; but a capital straight after an ideograph begins anew
-        rf"(?<![{_IDEO}]\.)(?=[\p{{IsLatin}}\p{{IsGreek}}\p{{IsCyrillic}}\p{{N}}_/\\@#%&=+*$~^|<`\-])",
-        rf"|(?<=[{_IDEO}]\.)(?=[\p{{Ll}}&&\p{{IsLatin}}]|[\p{{N}}_/\\@#%&=+*$~^|<`\-]|[A-Z]{{2,5}}\d?(?![A-Za-z]))",
+        # the next character carries on: a word, number, path; straight after an ideograph only a file ending does, and
+        # between two names in ideographic text a new sentence begins
+        rf"(?<![{_IDEO}]\.)(?!(?<=(?:[{_IDEO}][A-Z][a-z]{{1,24}}|[%‰°)）》”’」』])\.)[A-Z][a-z]+[{_IDEO}])(?=[\p{{IsLatin}}\p{{IsGreek}}\p{{IsCyrillic}}\p{{N}}_/\\@#%&=+*$~^|<`\-])",
+        rf"|(?<=[{_IDEO}]\.)(?=[a-z][a-z0-9]{{0,4}}(?![A-Za-z0-9_\-])|[\p{{N}}_/\\@#%&=+*$~^|<`\-]|[A-Z]{{2,5}}\d?(?![A-Za-z\-]))",
         rf"|(?= ?[{_COMMA}])",
         rf"|(?<=[{_THAI}]\.)",
         rf"|(?<={_NOT_IN_WORD}(?i:{TITLES})\.)(?=\s*\S)",
@@ -58,7 +59,9 @@ _INNER_POINT = "".join(
         r")",
     ]
 )
-_LEADING_NUMBER = rf"(?md)^( *(?:#+ *)?\d{{1,2}}(?:[.{MASK}]\d{{1,3}})*)\.(?=[ \p{{L}}])"
+# A number of any depth begins a paragraph; a line inside one only a plain number (a wrapped line may begin with a version).
+_LEADING_NUMBER = rf"(^ *|\n *\n *)((?:#+ *)?\d{{1,2}}(?:[.{MASK}]\d{{1,3}})*)\.(?=[ \p{{L}}])"
+_LINE_NUMBER = rf"(?md)^( *(?:#+ *)?\d{{1,2}})\.(?=[ \p{{L}}])"
 _URL_MARK = r"((?:https?|ftp)://[A-Za-z0-9\-._~:/#\[\]@$&'()*+,;=%]*|(?!^)\G[A-Za-z0-9\-._~:/#\[\]@$&'()*+,;=%]*)[?!](?=[A-Za-z0-9\-_~/#=%&])"
 _CLOSERS = rf"(?:[{_CLOSE}]|[“‘«](?=[\s{_COMMA}{_MARKS}]|$))"
 _END = rf"((?:[{_MARKS}]++{_CLOSERS}*+){{1,40}}+)(?! ?[{_COMMA}\[])(?!(?<=[{_CLOSE}“‘«])\s*(?:\p{{Ll}}|と))(?!(?<=(?:\.\.|…|‥))\s*\p{{Ll}})"
@@ -69,7 +72,8 @@ def working_copy(text: Column) -> Column:
     m = F.regexp_replace(text, "\r\n", " \n")
     m = F.translate(m, _SPACES + _BREAKS + CUT, " " * len(_SPACES) + "\n" * len(_BREAKS) + MASK)
     m = F.regexp_replace(m, _URL_MARK, f"$1{MASK}")
-    m = F.regexp_replace(m, _LEADING_NUMBER, f"$1{MASK}")
+    m = F.regexp_replace(m, _LEADING_NUMBER, f"$1$2{MASK}")
+    m = F.regexp_replace(m, _LINE_NUMBER, f"$1{MASK}")
     return F.regexp_replace(m, _INNER_POINT, MASK)
 
 

@@ -68,10 +68,12 @@ MARKED = [
     "Am 21. Oktober kam z. B. Herr Dr. Vogt, d. h. ca. 3 Leute.| „Gut?“ und weiter.| Ende.",
     "Según la Sra. Ruiz, art. 5 y pág. 7.| ¿Sí?| «¡No!», dijo.| p. ej. esto.",
     "他问：“能按期吗？”，没有回答。|“好了！”|随后离开……|然后见附录A.2和.pdf文件。|结束.|Next项目。",
+    "下降6.7%.|跟进Temceze.|Marcedak项目.|INC-40837号.|norhin_1.v0.pdf已归档到.pdf和.DOCX、a.b.txt里.|结束",
     "「もう安定？」と尋ねた。|至急！|止めた｡|終わり",
     "रुकिए! |डॉ. मीरा आईं।| ठीक है।",
     "انتبه! |ذكر د. سامي ذلك؟| نعم.",
     "ฝ่ายคุณภาพ |ทำงาน 3 ครั้ง |เวลา 10.30 น. ที่นี่",
+    "la versión\n1.14.20.| Una. |El\n7. punto.|\n\n1.2. Next",
     "# 1. Title|\n \n3. Heading one|\n\nline one\nline two. |Three|\r\n\r\nfour",
 ]
 

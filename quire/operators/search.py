@@ -15,10 +15,9 @@ from quire.plans.snapshots import Store
 def nearest(rows: DataFrame, vector: list[float], k: int = 10, embedding: str = "embedding", order: str = "id", where: Column | None = None) -> DataFrame:
     """The k rows of highest cosine similarity to a query vector, ties by `order`.  An exact scan of one pass: each
     task keeps k rows.  Null, zero, non-finite and odd-length vectors take no part."""
-    query = F.array(*[F.lit(float(x)) for x in vector])
     r = rows if where is None else rows.filter(where)
-    r = r.filter(V.finite(F.col(embedding), len(vector)))
-    return r.withColumn("similarity", V.cosine(F.col(embedding), query)).orderBy(F.desc("similarity"), order).limit(k)
+    scored = r.withColumn("similarity", V.cosine_to(F.col(embedding), [float(x) for x in vector]))
+    return scored.filter("similarity is not null").orderBy(F.desc("similarity"), order).limit(k)
 
 
 def words(text: Column) -> Column:

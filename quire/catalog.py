@@ -489,6 +489,13 @@ def t4_chunks(spark, d):
     return chunks.chunked(table(spark, d, "documents"), "doc_id", "text")
 
 
+@query("""SELECT doc_id, t AS content, length(t) AS char_count, substr(md5(left(t, 100) || '0'), 1, 12) AS chunk_id FROM (SELECT doc_id, regexp_replace(text, '^[\\s\\p{Z}\\x0b\\x1c-\\x1f\\x85]+|[\\s\\p{Z}\\x0b\\x1c-\\x1f\\x85]+$', '', 'g') AS t FROM documents WHERE length(text) < 1000) WHERE t <> ''""")
+def t4_single_chunks(spark, d):
+    """Documents under the size limit, which are one chunk each."""
+    c = chunks.chunked(table(spark, d, "documents").filter(F.length("text") < 1000), "doc_id", "text")
+    return c.select("doc_id", "content", "char_count", "chunk_id")
+
+
 @query()
 def t4_chunk_stats(spark, d):
     """Chunks, characters and longest chunk per language of re-split documents."""
@@ -686,7 +693,9 @@ def g1_extracted(spark, d):
     return graph.extracted(c)
 
 
-@query()
+@query("""WITH w AS (SELECT doc_id, list_filter(string_split_regex(lower(text), '[^\\p{L}\\p{M}\\p{N}]+'), lambda x: x <> '') AS w FROM documents WHERE text IS NOT NULL),
+k AS (SELECT doc_id, w, unnest(range(0, CAST(greatest(ceil((len(w) - 10) / 50.0), 1) AS BIGINT))) AS i FROM w WHERE len(w) > 0)
+SELECT doc_id, i AS window_no, len(w[i * 50 + 1 : i * 50 + 60]) AS tokens, array_to_string(w[i * 50 + 1 : i * 50 + 60], ' ') AS content FROM k""")
 def g3_token_windows(spark, d):
     t = table(spark, d, "documents").filter("text is not null")
     w = chunks.token_windows(search.words(F.col("text")), 60, 10)

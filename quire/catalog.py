@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from quire.functions import text as T
 from quire.functions import vectors as V
 from quire.operators import changes, chunks, documents, graph, naming, search, tree
+from quire.plans.order import numbered
 from quire.sources import wiki
 from quire.sources.tables import table
 
@@ -452,7 +453,7 @@ def w4_page_segments(spark, d):
 
 @query("SELECT id, row_number() OVER (PARTITION BY doc_name ORDER BY chunk_index, id) AS number FROM doc_chunks")
 def w7_numbering(spark, d):
-    return changes.numbered(table(spark, d, "doc_chunks").select("id", "doc_name", "chunk_index"), "doc_name", ["chunk_index", "id"]).select("id", F.col("number").cast("long").alias("number"))
+    return numbered(table(spark, d, "doc_chunks").select("id", "doc_name", "chunk_index"), "doc_name", ["chunk_index", "id"]).select("id", F.col("number").cast("long").alias("number"))
 
 
 @query("SELECT doc_name, chunk_index, max(id) AS id FROM (SELECT *, rank() OVER (PARTITION BY doc_name, chunk_index ORDER BY doc_timestamp DESC) AS r FROM doc_chunks) WHERE r = 1 GROUP BY 1, 2")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quire.functions import text as T
+from quire.plans.order import beside, numbered
 
 #: Elements looked at before and after an image, and code points kept of its context.
 BACK, AHEAD, CONTEXT = 8, 5, 600
@@ -85,14 +86,11 @@ def page_contexts(pages: DataFrame, key: str = "doc_name") -> DataFrame:
 
     Blocks 1.2 times the document's mean size are headings, 1.5 times of level 1.
     """
-    w = Window.partitionBy(key).orderBy("page_num")
     sizes = F.filter(F.transform("text_blocks", lambda b: b["font_size"]), lambda s: s > 0)
     total = F.aggregate(sizes, F.lit(0.0), lambda s, x: s + x)
-    p = pages.withColumn("_n", F.size(sizes)).withColumn("_s", total)
-    every = Window.partitionBy(key)
-    p = p.withColumn("mean_size", F.coalesce(F.sum("_s").over(every) / F.nullif(F.sum("_n").over(every), F.lit(0)), F.lit(12.0)))
-    p = p.withColumn("_prev", F.lag("text_blocks").over(w)).withColumn("_next", F.lead("text_blocks").over(w))
-    p = p.withColumn("_pt", F.lag("text").over(w)).withColumn("_nt", F.lead("text").over(w))
+    mean = pages.groupBy(F.col(key).alias("_doc")).agg(F.coalesce(F.sum(total) / F.nullif(F.sum(F.size(sizes)), F.lit(0)), F.lit(12.0)).alias("mean_size"))
+    p = beside(pages, key, ["page_num"], F.struct("text", "text_blocks"), "page_before", "page_after").filter(F.size("images") > 0)
+    p = p.join(mean, F.col(key).eqNullSafe(F.col("_doc")))
 
     def seg(b: Column, d: Column) -> Column:
         head = b["font_size"] > 1.2 * F.col("mean_size")
@@ -102,14 +100,14 @@ def page_contexts(pages: DataFrame, key: str = "doc_name") -> DataFrame:
     half = (F.size("text_blocks") / 2).cast("int")
     first, second = F.slice("text_blocks", F.lit(1), half), F.slice("text_blocks", half + 1, F.size("text_blocks"))
     none = F.expr("cast(array() as array<struct<text:string,font_size:double>>)")
-    prev, after = F.coalesce("_prev", none), F.coalesce("_next", none)
+    prev, after = F.coalesce("page_before.text_blocks", none), F.coalesce("page_after.text_blocks", none)
     tail = F.when(F.size(prev) > PAGE_BLOCKS, F.slice(prev, -PAGE_BLOCKS, PAGE_BLOCKS)).otherwise(prev)
     before = F.concat(F.transform(tail, lambda b: seg(b, F.lit(PAGE_DISTANCE))), F.transform(first, lambda b, i: seg(b, half - 1 - i)))
     behind = F.concat(F.transform(second, lambda b, i: seg(b, i)), F.transform(F.slice(after, 1, PAGE_BLOCKS), lambda b, i: seg(b, F.lit(PAGE_DISTANCE) + i)))
     text = lambda bs: F.array_join(F.transform(bs, lambda b: b["text"]), " ")
-    cb = F.right(F.concat_ws(" ", F.right("_pt", F.lit(PAGE_TEXT)), text(first)), F.lit(CONTEXT))
-    ca = F.left(F.concat_ws(" ", text(second), F.left("_nt", F.lit(PAGE_TEXT))), F.lit(CONTEXT))
-    return p.filter(F.size("images") > 0).select(key, "page_num", "mean_size", before.alias("segments_before"), behind.alias("segments_after"), F.trim(cb).alias("context_before"), F.trim(ca).alias("context_after"))
+    cb = F.right(F.concat_ws(" ", F.right("page_before.text", F.lit(PAGE_TEXT)), text(first)), F.lit(CONTEXT))
+    ca = F.left(F.concat_ws(" ", text(second), F.left("page_after.text", F.lit(PAGE_TEXT))), F.lit(CONTEXT))
+    return p.select(key, "page_num", "mean_size", before.alias("segments_before"), behind.alias("segments_after"), F.trim(cb).alias("context_before"), F.trim(ca).alias("context_after"))
 
 
 def titles(elems: DataFrame, key: str) -> DataFrame:
@@ -121,6 +119,6 @@ def titles(elems: DataFrame, key: str) -> DataFrame:
 
 def paired_by_place(left: DataFrame, right: DataFrame, key: str, left_order: str, right_order: str) -> DataFrame:
     """The i-th row of one side with the i-th of the other within a key; what is left over on a side is dropped."""
-    a = left.withColumn("place", F.row_number().over(Window.partitionBy(key).orderBy(left_order)))
-    b = right.withColumn("place", F.row_number().over(Window.partitionBy(key).orderBy(right_order)))
+    a = numbered(left, key, [left_order], "place")
+    b = numbered(right, key, [right_order], "place")
     return a.join(b, [key, "place"])

@@ -10,6 +10,7 @@ from quire.functions import text as T
 from quire.functions import vectors as V
 from quire.operators import changes, chunks, documents, embedding, graph, search, tree
 from quire.operators.components import connected
+from quire.plans import order
 
 
 def rows(df, *cols):
@@ -164,3 +165,14 @@ def test_token_windows(spark):
     df = spark.createDataFrame([([str(i) for i in range(n)],) for n in (0, 5, 10, 11)], "t array<string>")
     got = [[len(w) for w in r.w] for r in df.select(chunks.token_windows(F.col("t"), 5, 1).alias("w")).collect()]
     assert got == [[], [5], [5, 5, 2], [5, 5, 3]]
+
+
+def test_order_within_a_hot_key(spark):
+    made = [("hot", i) for i in range(300)] + [(None, 1), (None, 2), ("one", 7)]
+    random.Random(0).shuffle(made)
+    df = spark.createDataFrame(made, "k string, i int").repartition(8)
+    got = {(r.k, r.i): (r.number) for r in order.numbered(df, "k", ["i"]).collect()}
+    assert got == {("hot", i): i + 1 for i in range(300)} | {(None, 1): 1, (None, 2): 2, ("one", 7): 1}
+    near = {(r.k, r.i): (r.before, r.after) for r in order.beside(df, "k", ["i"], F.col("i")).collect()}
+    assert near[None, 1] == (None, 2) and near["one", 7] == (None, None)
+    assert all(near["hot", i] == (i - 1 if i else None, i + 1 if i < 299 else None) for i in range(300))

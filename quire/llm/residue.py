@@ -75,9 +75,9 @@ _TAG = "a|b|i|p|u|br|hr|div|span|table|tr|td|th|ul|ol|li|img|h[1-6]|em|strong|co
 #: No alternative begins otherwise; tried only there.
 _PLACEHOLDER = r"(?=[{$<%\[«@#_&【（(〈《X:：])(?:" + "|".join(
     (
-        rf"\{{\{{\s*{_NAME}\s*\}}\}}", rf"\$\{{\s*{_NAME}\s*\}}", rf"\{{%\s*{_NAME}\s*%\}}", rf"<%=?\s*{_NAME}\s*%>", r"%\([A-Za-z_]\w*\)[sd]", rf"\[\[\s*{_NAME}\s*\]\]", rf"\[:\s*{_NAME}\s*:\]", rf"«\s*{_NAME}\s*»", r"\$\$[A-Za-z]\w{2,}\$\$",
+        rf"\{{\{{\s*{_NAME}\s*\}}\}}", rf"\$\{{\s*{_NAME}\s*\}}", rf"\{{%\s*{_NAME}\s*%\}}", rf"<%=?\s*{_NAME}\s*%>", r"%\([A-Za-z_]\w*\)[sdSD]", rf"\[\[\s*{_NAME}\s*\]\]", rf"\[:\s*{_NAME}\s*:\]", rf"«\s*{_NAME}\s*»", r"\$\$[A-Za-z]\w{2,}\$\$",
         r"@@[A-Za-z]\w{2,}@@", r"#[A-Z][A-Z0-9]*(?:_[A-Z0-9]+)*#", r"(?<!\w)__[A-Za-z][A-Za-z0-9]*(?:_[A-Za-z0-9]+)*__(?!\w)", r"(?<![\w{}$])\{[A-Za-z_]{3,40}\}(?!\})",
-        rf"<(?!/)(?!(?i:{_TAG})\b)[A-Za-z][A-Za-z_]{{2,30}}(?: [A-Za-z_]{{2,20}}){{0,3}}>", r"&lt;[A-Za-z_][A-Za-z_ ]{2,40}&gt;", r"\[\s*(?i:your|insert|enter|add|fill in|todo|tbd|tba|xxx)\b[^\]\n]{0,60}\]", r"\[(?:Client |Company |Customer |Project )?(?:Name|Date|Title|Address|Company|Customer|Owner|Version|Email|Phone)\]",
+        rf"<(?!/)(?!(?i:{_TAG})\b)[A-Za-z][A-Za-z_]{{2,30}}(?: [A-Za-z_]{{2,20}}){{0,3}}>", r"(?i:&lt;)[A-Za-z_][A-Za-z_ ]{2,40}(?i:&gt;)", r"\[\s*(?i:your|insert|enter|add|fill in|todo|tbd|tba|xxx)\b[^\]\n]{0,60}\]", r"\[(?:Client |Company |Customer |Project )?(?:Name|Date|Title|Address|Company|Customer|Owner|Version|Email|Phone)\]",
         r"[\[【（(<〈《][^\]】）)>〉》\n]{0,12}(?:待补充|待填写?|待定|待完善)[\]】）)>〉》]", r"[\[【（(<〈《](?:请|此处|在此)(?:处)?(?:填写|填入|输入|插入|补充)[^\]】）)>〉》\n]{0,16}[\]】）)>〉》]", r"XX[^\sX]{1,12}XX", r"_{3,}\s*[（(][^）)\n]{1,16}[）)]\s*_{3,}", r"[:：]\s*_{4,}",
     )
 ) + ")"

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+import shutil
 import time
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -56,6 +57,15 @@ class Store:
         used = {str(self.root / p) for p in self.current().values()}
         return sorted(p for p in self.root.glob("snapshots/*/*") if str(p) not in used)
 
+    def sweep(self) -> int:
+        """Delete the data that no published table lies in; how many folders went.  Not while readers of an older
+        snapshot are at work."""
+        with lock(self.root / LOCK):
+            old = self.stale()
+            for p in old:
+                shutil.rmtree(p)
+        return len(old)
+
     @contextmanager
     def writing(self) -> Iterator[None]:
         """Marks for readers outside: .writing while a run is on, .ready after it with how it ended."""

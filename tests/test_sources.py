@@ -117,7 +117,7 @@ def test_store_publishes_all_or_nothing(spark, tmp_path):
     assert json.loads((tmp_path / "s/.ready").read_text())["status"] == "error"
     store.publish({"a": spark.range(5)}, "3")
     assert store.read(spark, "a").count() == 5 and store.read(spark, "b").count() == 3 and store.wait(0)
-    assert store.stale()
+    assert store.sweep() > 0 and not store.stale() and store.read(spark, "b").count() == 3
     store.drop()
     assert store.read(spark, "a") is None
 
@@ -204,3 +204,13 @@ def test_retries():
         retried(lambda: {}["x"], sleep=pauses.append)
     with pytest.raises(ConnectionError):
         retried(lambda: (_ for _ in ()).throw(ConnectionError()), tries=2, sleep=pauses.append)
+
+
+def test_export_tasks(spark):
+    from quire.operators import exports
+
+    t = spark.createDataFrame([(n, s, c, k) for n, s, c, k in [("a", "created", 90.0, 0), ("b", "created", 90.0, 0), ("c", "created", 0.0, 0), ("d", "ready", 0.0, 2), ("e", "ready", 0.0, 0), ("f", "downloaded", 0.0, 0), ("g", "created", 90.0, 0)]], "token string, status string, created_at double, tries int")
+    a = spark.createDataFrame([("a", "done"), ("b", "failed"), ("d", "broken"), ("e", "downloaded"), ("f", "failed"), ("x", "done")], "token string, answer string")
+    got = {r.token: (r.status, r.tries) for r in exports.advanced(t, a, 300.0).collect()}
+    assert got == {"a": ("ready", 0), "b": ("failed", 0), "c": ("timed out", 0), "d": ("failed", 3), "e": ("downloaded", 0), "f": ("downloaded", 0), "g": ("created", 0)}
+    assert exports.summary(exports.advanced(t, a, 300.0)).count() == 5

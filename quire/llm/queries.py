@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.llm import bpe, mix, names, nearest, neardup, pieces, pii, residue, sentences
+from quire.plans.spread import spread
 from quire.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,13 +48,17 @@ SELECT DISTINCT least(u.id, w.id) AS id_a, greatest(u.id, w.id) AS id_b FROM s J
 
 
 def chunk_texts(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "doc_chunks").select("id", F.col("chunk_text").alias("text"))
+    return spread(table(spark, folder, "doc_chunks").select("id", F.col("chunk_text").alias("text")))
+
+
+def documents(spark: SparkSession, folder: str, *columns: str) -> DataFrame:
+    return spread(table(spark, folder, "documents").select(*columns))
 
 
 def _pieces(spark: SparkSession, folder: str) -> DataFrame:
     of = (("chunks", "row_id", "content"), ("doc_chunks", "id", "chunk_text"))
     parts = [
-        pieces.split_oversized(table(spark, folder, n).select(F.lit(n).alias("src"), F.col(i).alias("item_id"), F.col(t).alias("text")), "item_id", "text", others=["src"])
+        pieces.split_oversized(spread(table(spark, folder, n).select(F.lit(n).alias("src"), F.col(i).alias("item_id"), F.col(t).alias("text"))), "item_id", "text", others=["src"])
         for n, i, t in of
     ]
     return parts[0].unionByName(parts[1])
@@ -76,7 +81,7 @@ VECTORS = ("doc_chunks", "lightrag_entities")
 @query
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
     def of(name: str) -> DataFrame:
-        best = nearest.most_similar(table(spark, folder, name).select("id", "embedding"), k=5, cosine=0.90)
+        best = nearest.most_similar(spread(table(spark, folder, name).select("id", "embedding")), k=5, cosine=0.90)
         pair = best.select(F.lit(name).alias("src"), F.least("id", "other").alias("id_a"), F.greatest("id", "other").alias("id_b"))
         return pair.distinct()
 
@@ -88,7 +93,7 @@ def p2_topk(spark: SparkSession, folder: str) -> DataFrame:
     """The five most similar rows of every row whose id is divisible by 20, against all rows."""
 
     def of(name: str) -> DataFrame:
-        v = table(spark, folder, name).select("id", "embedding")
+        v = spread(table(spark, folder, name).select("id", "embedding"))
         asked = F.col("id") % 20 == 0
         best = nearest.most_similar(v, k=5, queries=asked, bucket_rows=8000, probes=12, least_tables=4, bits=2048, rerank=80)
         return best.select(F.lit(name).alias("src"), "id", "other", "similarity")
@@ -108,7 +113,7 @@ def p3_sentences(spark: SparkSession, folder: str) -> DataFrame:
 
 def _personal(spark: SparkSession, folder: str) -> DataFrame:
     of = (("doc_chunks", "chunk_text"), ("lightrag_entities", "description"))
-    parts = [table(spark, folder, n).select(F.lit(n).alias("src"), F.col("id").alias("row_id"), F.col(t).alias("text")) for n, t in of]
+    parts = [spread(table(spark, folder, n).select(F.lit(n).alias("src"), F.col("id").alias("row_id"), F.col(t).alias("text"))) for n, t in of]
     return parts[0].unionByName(parts[1])
 
 
@@ -146,12 +151,12 @@ def p6_groups(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def p7_ids(spark: SparkSession, folder: str) -> DataFrame:
-    return bpe.encode_corpus(table(spark, folder, "documents"))
+    return bpe.encode_corpus(documents(spark, folder, "doc_id", "text"))
 
 
 def _mixture(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     targets = table(spark, folder, "mix_targets")
-    return mix.mixture(table(spark, folder, "documents"), targets), targets
+    return mix.mixture(documents(spark, folder, "doc_id", "text", "source"), targets), targets
 
 
 @query
@@ -173,7 +178,7 @@ def p8_order(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def p9_found(spark: SparkSession, folder: str) -> DataFrame:
-    return residue.residue(table(spark, folder, "documents"))
+    return residue.residue(documents(spark, folder, "doc_id", "text", "source_url"))
 
 
 @query

@@ -9,7 +9,13 @@ pages recur by nature, so subtracting them would hide what is sought.
 
 from __future__ import annotations
 
+import functools
+import re
+from collections.abc import Iterable
+from re import _constants, _parser
+
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,7 +26,7 @@ SHARE, LEAST = 0.001, 10
 #: Share of a sentence's letters that evidence must cover.
 COVER = 0.6
 
-# Evidence phrases, by what they tell.  Each alternative of a group holds one of its keywords.
+# Evidence phrases, by what they tell.  What to look for first is derived from them (KEYWORDS).
 _SCRIPT = (
     r"(?:to (?:continue|view this page|proceed)[, ]+)?(?:please )?(?:enable|activate|allow|turn on) (?:java ?script|scripts?|scripting|cookies)(?: and (?:cookies|scripts|reload))?(?: in your (?:browser|settings))?(?: to [a-z ]{3,40})?",
     r"java ?script (?:is|has been|must be|needs to be) (?:disabled|required|not enabled|turned off|switched off|enabled|blocked)[a-z ]{0,30}",
@@ -62,14 +68,6 @@ _LOREM = (
     "laborum|cursus|lectus|posuere|semper|porta|praesent|gravida|gravis|vestibulum|pellentesque|curabitur|suspendisse|vivamus|mauris|donec|etiam|integer|aenean|phasellus|morbi|nunc|vitae|tellus|augue|"
     "tincidunt|faucibus|ultrices|viverra|turpis|egestas|malesuada|habitant|senectus|netus|modus|novem|utima|ultima|quorem|verita|veritatis|vexat|sintel|magnar|praes"
 )
-_KEYWORDS = (
-    "javascript", "java script", "scripts", "scripting", "脚本已", "允许脚本", "启用脚本", "开启脚本", "不支持脚本", "用 脚本", "检查您的浏览器", "checking your browser", "will not work", "may not work", "on and reload", "on and refresh", "enable cookies", "allow cookies", "许 cookie", "skripte", "スクリプト", "स्क्रिप्ट", "سكريبت", "البرامج النصية", "النصوص البرمجية", "สคริปต์",
-    "bad gateway", "time-out", "timeout", "forbidden", "not found", "server error", "unavailable", "unauthorized", "bad request", "too many requests", "error 4", "error 5", "denied", "have permission", "have access", "expired", "timed out", "sign in again", "log in again", "please sign in", "please log in", "page you", "that page", "find the page", "find this page", "been deleted", "been moved", "been removed", "has expired", "no longer available", "went wrong", "try again", "retry in", "oops", "sorry", "traceback", "error occurred", "unexpected error", "failed to load", "export failed", "be rendered",
-    "系统错误", "系统异常", "系统繁忙", "服务器错误", "服务器异常", "服务器繁忙", "服务器开小差", "服务器出错", "网络错误", "网络异常", "错误码", "页面不存在", "页面走丢", "页面找不到", "页面已", "抱歉", "对不起", "您访问的页面", "网关超时", "网关错误", "请刷新", "稍后再试", "稍后重试", "加载失败", "导出失败", "渲染失败", "点击重试", "已被删除", "已删除", "已失效", "已过期", "没有权限", "无权", "请联系管理员", "重新登录", "请先登录", "被拒绝", "过于频繁",
-    "nicht gefunden", "verweigert", "abgelaufen", "fehler ist", "melden sie sich", "no encontrada", "permiso para", "denegado", "expirado", "caducado", "un error", "見つかりません", "アクセス", "期限", "エラーが", "ไม่พบหน้า", "ไม่มีสิทธิ์", "ข้อผิดพลาด", "नहीं मिला", "उपलब्ध नहीं", "अनुमति नहीं", "الصفحة", "الوصول", "ليس لديك", "الجلسة", "حدث خطأ",
-    "正文内容", "示例文字", "示例段落", "示例内容", "占位", "测试测试", "此处添加", "此处输入", "在此输入", "在此添加", "测试文字", "测试内容", "内容内容", "文字文字", "敬请期待", "asdf", "qwer", "coming soon", "goes here", "text here", "content here", "sample text", "dummy text", "placeholder text", "placeholder paragraph", "placeholder content", "paragraph here", "filler text", "test text", "blah", "click to", "click here to", "test test", "to be written", "to be completed", "ダミー", "サンプルテキスト", "platzhaltertext", "blindtext", "beispieltext", "texto de",
-    "lorem", "ipsum", " amet", " elit ", "posuere", "lectus", "nullam", "consectetur", "vestibulum",
-)
 _NAME = r"[A-Za-z][A-Za-z0-9_.\- ]{0,40}"
 _TAG = "a|b|i|p|u|br|hr|div|span|table|tr|td|th|ul|ol|li|img|h[1-6]|em|strong|code|pre|html|head|body|script|style|link|meta|form|input|button|label|nav|section|article|footer|header|main|sup|sub|small|center|font|title|svg|path"
 #: No alternative begins otherwise; tried only there.
@@ -93,27 +91,134 @@ _NAVIGATION = "|".join(
 _UNIT_END = r"([。！？!?।؟…]+[”」』\"'»)）]*|\.(?=\s|$))"
 
 
-def _any(text: Column, words: tuple[str, ...]) -> Column:
-    # the outer lambda binds the text, or its expression would be computed for each word
-    keys = F.array(*[F.lit(w) for w in words])
-    return F.exists(F.array(text), lambda t: F.exists(keys, lambda w: F.contains(t, w)))
+#: Strings that a pattern is expanded to at most, before it is cut into parts.
+_EXPANDED = 128
+#: Stands for a run of Han characters that comes twice in a row.
+_TWICE = "\1"
+
+
+def _better(a: set[str] | None, b: set[str] | None) -> set[str] | None:
+    """Of two sets of which a match holds one member each, the one with the longer shortest member."""
+    sets = [s for s in (a, b) if s and "" not in s]
+    return max(sets, key=lambda s: (min(map(len, s)), -len(s)), default=None)
+
+
+def _of(kind: object, arg) -> tuple[set[str] | None, set[str] | None]:  # noqa: ANN001
+    """Of a part of a parsed pattern: all that it matches, if that is little, and a set of which each match holds one."""
+    c = _constants
+    if kind is c.LITERAL:
+        return {chr(arg)}, {chr(arg)}
+    if kind is c.IN and all(k is c.LITERAL for k, _ in arg) and len(arg) <= 4:
+        return {chr(x) for _, x in arg}, {chr(x) for _, x in arg}
+    if kind is c.AT:
+        return {""}, None
+    if kind is c.GROUPREF:
+        return None, {_TWICE}
+    if kind is c.SUBPATTERN:
+        return _sequence(arg[-1])
+    if kind is c.BRANCH:
+        parts = [_sequence(x) for x in arg[1]]
+        every, held = [e for e, _ in parts], [h for _, h in parts]
+        return None if None in every else set().union(*every), None if None in held else set().union(*held)
+    if kind is c.MAX_REPEAT and arg[:2] == (0, 1):
+        every, _ = _sequence(arg[2])
+        return every and every | {""}, None
+    return None, None
+
+
+def _sequence(items: Iterable) -> tuple[set[str] | None, set[str] | None]:
+    whole, run, best = True, {""}, None
+
+    def end() -> None:
+        nonlocal whole, run, best
+        whole, run, best = False, {""}, _better(best, run)
+
+    def add(every: set[str] | None, held: set[str] | None) -> None:
+        nonlocal run, best
+        best = _better(best, held)
+        if every is None or len(every) * len(run) > _EXPANDED:
+            end()
+        if every is not None and len(every) <= _EXPANDED:
+            run = {a + b for a in run for b in every}
+
+    for kind, arg in items:
+        if kind is _constants.GROUPREF or kind is _constants.MAX_REPEAT and list(arg[2])[0][0] is _constants.GROUPREF:
+            return None, {_TWICE}
+        if kind is _constants.MAX_REPEAT and arg[0]:
+            for _ in range(min(arg[0], 2)):
+                add(*_sequence(arg[2]))
+            if arg[1] != arg[0] or arg[0] > 2:  # between the first and the last time there may be more
+                end()
+                add(*_sequence(arg[2]))
+        else:
+            add(*_of(kind, arg))
+    return run if whole else None, _better(best, run)
+
+
+def keywords(pattern: str) -> set[str] | None:
+    """Strings of which every match of a pattern holds one, or None if there is no such set."""
+    return _sequence(_parser.parse(pattern))[1]
+
+
+KEYWORDS = frozenset().union(*(keywords(p) for p in (*_SCRIPT, *_ERROR, *_FILLER)))
+#: What navigation begins with, and a form of it that is found wherever it is.
+_NAVIGATION_STARTS = ("©", "(c)", "copyright", "home", "start", "首页", "主页", "返回", "联系我们", "帮助中心", "back to ", "contact us", "help cent", "code", "ref", "[", "request id", "trace id", "incident id", "图片：")
+_NAVIGATION_LIKE = re.compile(r"©|\(c\)|copyright|(?:home|start)\s*[|>»/]|首页|主页|返回|联系我们|帮助中心|back to |contact us|help cent|code\s*=|ref\.? [a-z]|\[[\w\-]+/\d|request id|trace id|incident id|图片：")
+_PHRASE, _LATIN, _LINK = range(3)
+
+
+def _repeats(texts: list[str | None]) -> np.ndarray:
+    """Whether two to six Han characters come twice in a row, for each text."""
+    codes = np.frombuffer("\n".join(t or "" for t in texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+    starts = np.cumsum([0, *(len(t or "") + 1 for t in texts[:-1])])
+    hit = np.zeros(len(codes) + 1, bool)
+    han = (codes >= 0x4E00) & (codes <= 0x9FFF)
+    for k in range(2, 7):
+        same = (codes[:-k] == codes[k:]) & han[:-k]
+        for _ in range(k - 1):
+            same = same[:-1] & same[1:]
+        hit[: len(same)] |= same
+    return np.logical_or.reduceat(hit, starts)
+
+
+@functools.cache
+def _scanner() -> ahocorasick.Automaton:
+    a = ahocorasick.Automaton()
+    kinds = ((_LATIN, _LOREM.split("|")), (_LINK, _NAVIGATION_STARTS), (_PHRASE, KEYWORDS - {_TWICE}))
+    for kind, words in kinds:
+        for w in words:
+            a.add_word(w, (kind, len(w)))
+    a.make_automaton()
+    return a
 
 
-_automaton: dict[tuple[str, ...], ahocorasick.Automaton] = {}
+def _held(text: str) -> bool:
+    """Whether a text holds a keyword or two words of _LOREM.  Navigation is taken out later, and what it parts may be
+    a keyword then; where it touches what is before it, the answer is yes."""
+    latin = 0
+    in_word = lambda i: 0 <= i < len(text) and text[i].isascii() and (text[i].isalnum() or text[i] == "_")
+    for end, (kind, n) in _scanner().iter(text):
+        start = end + 1 - n
+        if kind == _PHRASE:
+            return True
+        if kind == _LATIN:
+            latin += not in_word(start - 1) and not in_word(end + 1)
+            if latin > 1:
+                return True
+        elif start and not text[start - 1].isspace() and _NAVIGATION_LIKE.match(text, start):
+            return True
+    return False
 
 
-def mentions(text: Column, words: tuple[str, ...]) -> Column:
-    """As _any, in one pass over long texts: an automaton of all words, built once in each worker."""
+def possible(text: Column) -> Column:
+    """Whether a lower-case text, or a part of it, can be evidence: false only if no pattern matches anywhere and fewer
+    than two words are from _LOREM.  One pass over an automaton that is built once in each worker."""
 
     @F.arrow_udf(BooleanType())
     def run(column: pa.Array) -> pa.Array:
-        if words not in _automaton:
-            a = _automaton[words] = ahocorasick.Automaton()
-            for w in words:
-                a.add_word(w, True)
-            a.make_automaton()
-        scan = _automaton[words].iter
-        return pa.array([t is not None and next(scan(t), None) is not None for t in column.to_pylist()], pa.bool_())
+        texts = column.to_pylist()
+        twice = _repeats(texts) if texts else ()
+        return pa.array([t is not None and (bool(r) or _held(t)) for t, r in zip(texts, twice)], pa.bool_())
 
     return run(text)
 
@@ -145,13 +250,14 @@ def unfilled(text: Column) -> Column:
     return F.when(text.rlike(_PLACEHOLDER), held).otherwise(False)
 
 
-def evidence(unit: Column) -> Column:
-    """Whether error, filler or script phrases make up most of a lower-case unit without navigation."""
+def evidence(unit: Column, may: Column) -> Column:
+    """Whether error, filler or script phrases make up most of a lower-case unit without navigation; may: as possible()
+    tells."""
     rest = F.regexp_replace(unit, "|".join((*_SCRIPT, *_ERROR, *_FILLER)), "")
     words = F.size(F.split(F.trim(unit), r"[^\p{L}]+"))
     latin = F.size(F.regexp_extract_all(unit, F.lit(rf"\b({_LOREM})\b"), F.lit(1)))
-    phrases = _any(unit, _KEYWORDS) & (letters(unit) > 0) & (letters(rest) <= (1 - COVER) * letters(unit))
-    return phrases | ((words >= 4) & (latin >= 0.5 * words))
+    phrases = (letters(unit) > 0) & (letters(rest) <= (1 - COVER) * letters(unit))
+    return F.when(may, phrases | ((words >= 4) & (latin >= 0.5 * words))).otherwise(False)
 
 
 def residue(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", url_col: str = "source_url") -> DataFrame:
@@ -166,7 +272,7 @@ def residue(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", url
     )
     open_ones = d.filter(unfilled(F.col("text"))).select("doc")
     t = d.select("doc", "host", plain(F.col("text")).alias("text"))
-    suspect = t.filter(mentions(F.col("text"), _KEYWORDS))
+    suspect = t.filter(possible(F.col("text")))
     hashed = F.transform(F.split(F.col("text"), "[\r\n]+"), lambda x: F.xxhash64(F.col("host"), normal_line(x)))
     lines = t.select("host", F.explode_outer(F.array_distinct(hashed)).alias("line"))
     seen = lines.groupBy("line").agg(F.count("*").alias("n"), F.first("host").alias("host"))
@@ -176,8 +282,9 @@ def residue(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", url
     line = line.select("doc", F.xxhash64("host", normal_line(F.col("l"))).alias("line"), "l")
     one = line.select("doc", "line", F.explode_outer(units(F.col("l"))).alias("whole"))
     one = one.select("doc", "line", F.trim(F.regexp_replace("whole", _NAVIGATION, " ")).alias("u"))
+    one = one.withColumn("may", possible(F.col("u")))
     title = ~F.col("u").rlike(r"[。！？!?।؟…；;.][”」』\"'»)）]*$") & (letters(F.col("u")) <= 40) & (F.size(F.split("u", " ")) <= 8)
-    judged = one.select("doc", "line", evidence(F.col("u")).alias("told"), (~title & (letters(F.col("u")) >= 8)).alias("solid"))
+    judged = one.select("doc", "line", evidence(F.col("u"), F.col("may")).alias("told"), (~title & (letters(F.col("u")) >= 8)).alias("solid"))
     own = ~F.col("told") & F.col("solid")
     marked = judged.select("doc", "line", "told", own.alias("own"))
     per = marked.join(common, "line", "left").groupBy("doc").agg(F.max("told").alias("told"), F.max(F.col("own") & F.col("common").isNull()).alias("own"))

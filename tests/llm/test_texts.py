@@ -241,3 +241,57 @@ def test_recurrent_lines_are_no_content(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string, source_url string")
     assert [r.doc_id for r in residue.residue(df).collect()] == [99]
     assert residue.residue(df.limit(0)).count() == 0
+
+
+def made(pattern, rng):
+    """A random string that a parsed pattern matches."""
+    groups = {}
+
+    def walk(items):
+        text = ""
+        for kind, arg in items:
+            name = str(kind)
+            if name == "LITERAL":
+                text += chr(arg)
+            elif name == "IN":
+                k, x = rng.choice(arg)
+                text += "ß" if str(arg[0][0]) == "NEGATE" else chr(x) if str(k) == "LITERAL" else chr(rng.randint(*x)) if str(k) == "RANGE" else "7"
+            elif name == "MAX_REPEAT":
+                for _ in range(rng.randint(arg[0], min(arg[1], arg[0] + 2))):
+                    text += walk(arg[2])
+            elif name == "BRANCH":
+                text += walk(rng.choice(arg[1]))
+            elif name == "SUBPATTERN":
+                part = walk(arg[-1])
+                groups[arg[0]] = part
+                text += part
+            elif name == "GROUPREF":
+                text += groups[arg]
+            elif name == "NOT_LITERAL":
+                text += "ß"
+            else:
+                raise AssertionError(name)
+        return text
+
+    return walk(residue._parser.parse(pattern))
+
+
+def test_no_pattern_matches_without_a_keyword(spark):
+    rng, texts = random.Random(5), []
+    for p in (*residue._SCRIPT, *residue._ERROR, *residue._FILLER):
+        assert residue.keywords(p) and "" not in residue.keywords(p), p
+        texts += ["Ab. " + made(p, rng) + " yz" for _ in range(60)]
+    texts += [f"zz {w} and {w}." for w in residue._LOREM.split("|")] + ["enable联系我们javascript"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", residue.possible(F.col("t")).alias("may"))
+    assert [r.t for r in df.filter("not may").collect()] == []
+    assert [r.may for r in spark.createDataFrame([("标题和标题",), ("a site of one message",), ("",), (None,)], "t string").select(residue.possible(F.col("t")).alias("may")).collect()] == [False] * 4
+
+
+def test_evidence_without_a_listed_keyword(spark):
+    every = [
+        "500 服务器内部错误", "系统内部错误", "程序异常", "文档已下架", "该文件已移动", "此页面无法访问", "会话已超时", "登录状态已超时", "链接已经过期", "文档已经删除", "访问太频繁", "下载失败", "打开失败", "浏览器已禁用脚本", "检测到脚本被禁用",
+        "请在设置中打开脚本后刷新页面", "此处省略", "待编辑", "标题标题标题标题", "405 method not allowed", "410 gone", "erreur 404", "slow down and retry", "Tellus augue turpis egestas.",
+    ]
+    df = spark.createDataFrame([(i, t, None) for i, t in enumerate(every)], "doc_id long, text string, source_url string")
+    got = {r.doc_id for r in residue.residue(df).collect()}
+    assert got == set(range(len(every))), [every[i] for i in set(range(len(every))) - got]

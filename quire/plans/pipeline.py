@@ -11,7 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.config import Options
+from quire.functions import text as T
 from quire.operators import changes, chunks, embedding, graph
+from quire.plans.lineage import cut
 from quire.plans.snapshots import Store
 
 STEPS = ("process", "store", "graph")
@@ -32,6 +34,12 @@ def processed(docs: DataFrame, options: Options = Options(), load: Callable = em
     return embedding.embedded(rows, "chunk_text", load, options.embedding_batch)
 
 
+def name_hashes(docs: DataFrame) -> DataFrame:
+    """(doc_name, hash): one hash over all texts of a name, in any order, copies counted."""
+    each = docs.select("doc_name", F.sha2(F.coalesce("text", F.lit("")), 256).alias("h"))
+    return each.groupBy("doc_name").agg(F.sha2(F.array_join(F.array_sort(F.collect_list("h")), ""), 256).alias("hash"))
+
+
 def report(docs: DataFrame, rows: DataFrame) -> DataFrame:
     """One row: documents in all, with chunks, without, and chunks."""
     per = rows.groupBy("doc_name").agg(F.count("*").alias("n"))
@@ -43,23 +51,27 @@ class Pipeline:
         self.spark, self.store, self.options = spark, Store(root), options
 
     def run(self, docs: DataFrame, steps: Sequence[str] = STEPS, load: Callable = embedding.hashing_model, extractor: Callable = graph.capital_words) -> dict[str, float]:
-        """Run the named steps on documents; seconds by step.  Documents whose text is as stored are left out, and a
-        document that comes again replaces its old rows."""
+        """Run the named steps on documents; seconds by step.  Names whose documents all have the texts that are
+        stored are left out; of any other name all documents are built again and replace its old rows, so those that
+        share a name must come together.  Only names whose chunks all got vectors count as done."""
         unknown = set(steps) - set(STEPS)
         if unknown:
             raise ValueError(f"unknown steps: {', '.join(sorted(unknown))}")
         batch = datetime.now().strftime("%Y%m%d_%H%M%S_%f")  # noqa: DTZ005
         took: dict[str, float] = {}
         stored, manifest = self.store.read(self.spark, "doc_chunks"), self.store.read(self.spark, "manifest")
-        hashes = docs.select("doc_name", F.sha2(F.coalesce("text", F.lit("")), 256).alias("hash"))
+        hashes = name_hashes(docs)
         if manifest is not None and not self.options.force_rebuild:
             same = changes.to_build(hashes, manifest, "doc_name").filter("skipped")
             docs = changes.without(docs, same, ["doc_name"])
         if "process" in steps or "store" in steps:
             began = time.monotonic()
-            fresh = processed(docs, self.options, load)
+            fresh = cut(processed(docs, self.options, load))  # the vectors looked at are the ones stored
             rows = fresh if stored is None else changes.replaced(stored, fresh, "doc_name")
-            known = hashes if manifest is None else changes.advanced(manifest, hashes, hashes, "doc_name")
+            failed = fresh.filter(F.col("embedding").isNull() & ~T.blank("chunk_text"))
+            done = changes.without(docs.select("doc_name").distinct(), failed, ["doc_name"])
+            before = hashes.limit(0) if manifest is None else changes.without(manifest, failed, ["doc_name"])  # their old rows are gone
+            known = changes.advanced(before, hashes, done, "doc_name")
             if "store" in steps:
                 self.store.publish({"doc_chunks": rows, "manifest": known}, batch)
             took["process+store"] = time.monotonic() - began

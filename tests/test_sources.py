@@ -151,6 +151,37 @@ def test_pipeline_is_incremental(spark, tmp_path):
     assert all(x.startswith(("warn", "fatal")) for x in doctor(str(tmp_path)))
 
 
+def test_documents_that_share_a_name(spark, tmp_path):
+    p = Pipeline(spark, str(tmp_path / "s"), Options(chunk_size=20, chunk_overlap=0))
+    held = lambda: sorted((r.doc_name, r.chunk_text) for r in p.store.read(spark, "doc_chunks").collect())
+    known = lambda: sorted(r.doc_name for r in p.store.read(spark, "manifest").collect())
+    p.run(docs(spark, [("m", "one"), ("m", "two"), ("x", "other")]), steps=["process", "store"])
+    p.run(docs(spark, [("m", "one"), ("m", "new"), ("m", "third"), ("x", "other")]), steps=["process", "store"])
+    assert held() == [("m", "new"), ("m", "one"), ("m", "third"), ("x", "other")] and known() == ["m", "x"]
+    p.run(docs(spark, [("m", "third"), ("m", "new"), ("x", "other")]), steps=["process", "store"])
+    assert held() == [("m", "new"), ("m", "third"), ("x", "other")]
+
+
+def test_failed_vectors_are_made_up_for(spark, tmp_path):
+    def failing():
+        def embed(texts):
+            if any("bad" in t for t in texts):
+                raise ValueError("bad")
+            return hashing_model()(texts)
+
+        return embed
+
+    p = Pipeline(spark, str(tmp_path / "s"), Options(embedding_batch=1))
+    both = docs(spark, [("a", "good text"), ("b", "bad text"), ("c", None)])
+    p.run(docs(spark, [("b", "fine")]), steps=["process", "store"])
+    p.run(both, steps=["process", "store"], load=failing)
+    assert sorted(r.doc_name for r in p.store.read(spark, "manifest").collect()) == ["a", "c"]
+    p.run(both, steps=["process", "store"])
+    now = p.store.read(spark, "doc_chunks")
+    assert now.count() == 2 and now.filter("embedding is null").count() == 0
+    assert sorted(r.doc_name for r in p.store.read(spark, "manifest").collect()) == ["a", "b", "c"]
+
+
 def test_stream_equals_batch(spark, data, tmp_path):
     schema = spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text").schema.simpleString()[7:-1].replace(":", " ")
     (tmp_path / "in").mkdir()

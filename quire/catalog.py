@@ -403,8 +403,13 @@ _LOOK = f"""WITH e AS ({_ELEMENTS}) SELECT doc_id, elem_idx, array_to_string(lis
 WINDOW b AS (PARTITION BY doc_id ORDER BY elem_idx ROWS BETWEEN 8 PRECEDING AND 1 PRECEDING), a AS (PARTITION BY doc_id ORDER BY elem_idx ROWS BETWEEN 1 FOLLOWING AND 5 FOLLOWING)"""
 
 
-def _around(spark, d):
-    return documents.surroundings(documents.elements(table(spark, d, "documents")), "doc_id")
+def _around(spark, d, own=None):
+    return documents.surroundings(documents.elements(table(spark, d, "documents")), "doc_id", own=own)
+
+
+def _around_with_own(spark, d):
+    """As the survey's W2 has it; the SQL of w2 and w3 leaves the own text out."""
+    return _around(spark, d, documents.own_text(F.col("content")))
 
 
 @query(f"SELECT doc_id, elem_idx, coalesce(right(b, 600), '') AS context_before, coalesce(left(a, 600), '') AS context_after FROM ({_LOOK}) WHERE i")
@@ -428,7 +433,7 @@ def w2_look_ahead(spark, d):
 
 @query()
 def t10_prompt_context(spark, d):
-    return _around(spark, d).select("doc_id", "elem_idx", documents.prompt_context(F.col("segments_before"), F.col("segments_after")).alias("context"))
+    return _around_with_own(spark, d).select("doc_id", "elem_idx", documents.prompt_context(F.col("segments_before"), F.col("segments_after")).alias("context"))
 
 
 def _pages(spark, d):
@@ -517,7 +522,7 @@ def t7_image_references(spark, d):
 
 @query()
 def t8_image_names(spark, d):
-    return _around(spark, d).select("doc_id", "elem_idx", T.image_name_udf(F.col("context_before"), F.col("context_after")).alias("name"))
+    return _around_with_own(spark, d).select("doc_id", "elem_idx", T.image_name_udf(F.col("context_before"), F.col("context_after")).alias("name"))
 
 
 @query(f"""WITH e AS (SELECT doc_id, elem_idx, regexp_replace(content, '^[\\s\\p{{Z}}\\x0b\\x1c-\\x1f\\x85]+|[\\s\\p{{Z}}\\x0b\\x1c-\\x1f\\x85]+$', '', 'g') AS t, regexp_matches(content, '^#+ ') OR (regexp_full_match(content, '[^。！？.!?\\n]{{1,30}}') AND NOT contains(content, '图片：')) AS h FROM ({_ELEMENTS}))
@@ -568,7 +573,7 @@ def t23_weights(spark, d):
 
 @query()
 def t9_image_names_by_client(spark, d):
-    a = _around(spark, d)
+    a = _around_with_own(spark, d)
     a = a.withColumn("context", documents.prompt_context(F.col("segments_before"), F.col("segments_after"))).select("doc_id", "elem_idx", "context", "context_before", "context_after")
     # a stand-in for a model: it answers with the start of the nearest segment
     return naming.named(a, lambda: lambda prompt: prompt.split("】 ")[-1]).select("doc_id", "elem_idx", "name")

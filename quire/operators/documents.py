@@ -37,16 +37,25 @@ def positions(parts: DataFrame, key: str, order: str, content: str, glue: int =
     return parts.withColumn("position", F.coalesce(F.sum(F.length(content) + glue).over(w), F.lit(0)).cast("long"))
 
 
-def surroundings(elems: DataFrame, key: str, back: int = BACK, ahead: int = AHEAD, most: int = CONTEXT) -> DataFrame:
+def own_text(content: Column) -> Column:
+    """An image element's text beside its references; empty if it has no other."""
+    return T.strip(F.regexp_replace(content, "(?U)" + T.IMAGE_REFERENCE, ""))
+
+
+def surroundings(elems: DataFrame, key: str, back: int = BACK, ahead: int = AHEAD, most: int = CONTEXT, own: Column | None = None) -> DataFrame:
     """For each element with an image: the non-empty elements before and after it with their distance (0 nearest),
     and both sides joined and cut to `most` code points.
 
-    The side before is put in reading order and keeps its end, so what stays is what is nearest the image.
+    The side before is put in reading order and keeps its end, so what stays is what is nearest the image.  own: the
+    image element's own text, which comes first on the side after if it is not empty.
     """
     w = Window.partitionBy(key).orderBy("elem_idx")
     seg = F.when(F.col("content") != "", F.struct(F.col("content").alias("text"), "is_heading", "heading_level"))
     around = elems.withColumn("b", F.collect_list(seg).over(w.rowsBetween(-back, -1))).withColumn("a", F.collect_list(seg).over(w.rowsBetween(1, ahead)))
     around = around.filter("has_image")
+    if own is not None:
+        first = F.struct(own.alias("text"), "is_heading", "heading_level")
+        around = around.withColumn("a", F.when(own != "", F.concat(F.array(first), "a")).otherwise(F.col("a")))
 
     def told(segments: Column) -> Column:
         return F.transform(segments, lambda s, i: F.struct(s["text"].alias("text"), i.alias("distance"), s["is_heading"].alias("is_heading"), s["heading_level"].alias("heading_level")))

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from quire import catalog
 from quire.functions import text as T
 from quire.functions import vectors as V
 from quire.operators import changes, chunks, documents, embedding, graph, search, tree
@@ -99,6 +100,20 @@ def test_look_around_counts_full_elements_only(spark):
     assert (r.context_before, r.context_after) == ("2 3 4 5 7 8 9", "a b c d")
 
 
+def test_own_text_of_an_image_comes_first(spark):
+    e = [("d", 0, "before"), ("d", 1, "See the plan 图片：./images/a.png"), ("d", 2, "next"), ("d", 3, "图片：./images/b.png"), ("d", 4, "last")]
+    df = spark.createDataFrame([(*x, "图片：" in x[2], False, 0) for x in e], "doc string, elem_idx int, content string, has_image boolean, is_heading boolean, heading_level int")
+    r = documents.surroundings(df, "doc", own=documents.own_text(F.col("content"))).orderBy("elem_idx").collect()
+    assert [(s.text, s.distance) for s in r[0].segments_after][:2] == [("See the plan", 0), ("next", 1)]
+    assert [(s.text, s.distance) for s in r[1].segments_after] == [("last", 0)] and r[0].context_after.startswith("See the plan next")
+
+
+def test_queries_of_prompts_have_the_own_text(spark, tmp_path):
+    text = "before\n\nSee the plan 图片：./images/a.png\n\nnext"
+    spark.createDataFrame([(1, text)], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    assert "See the plan\n" in catalog.QUERIES["t10_prompt_context"](spark, str(tmp_path)).first().context
+
+
 def test_page_contexts(spark):
     page = lambda n, img, sizes: ("d", n, f"text{n}", img, [(f"p{n}b{i}", s) for i, s in enumerate(sizes)])
     df = spark.createDataFrame([page(1, [], [10.0] * 7), page(2, ["i"], [10.0, 13.0, 16.0, 10.0]), page(3, [], [10.0])], "doc_name string, page_num int, text string, images array<string>, text_blocks array<struct<text:string,font_size:double>>")

@@ -162,7 +162,7 @@ def candidates(text: str) -> list[tuple[int, int, str, tuple[int, ...], str]]:
         for m in _EMAIL.finditer(t):
             url = re.search(r"(?:https?|ftp|ssh|git)://\S*$", t[max(0, m.start() - 200) : m.start()])
             add(*m.span(), "EMAIL", (1, 1, 0, 0, -1 if url else 0, 0), "plain" if "@" in m.group() else "disguised")
-    if " dot " in t or " DOT " in t:
+    if "dot" in t or "DOT" in t:
         for m in _EMAIL_WORDS.finditer(t):
             add(*m.span(), "EMAIL", (1, 0, 0, 0, 0, 0), "words")
     _addresses(t, add)
@@ -279,7 +279,7 @@ def _names(t: str, add) -> None:  # noqa: ANN001
             if t[b - 1] in ROLE_ENDS or t[b : b + 1] in set(ROLE_ENDS):  # a team or a role, as in 管理员
                 continue
             add(a, b, "NAME", (1, 1, int(strong), int(cue or stop), 0, 0), "zh")
-    if "様" in t or "さん" in t or "の" in t:
+    if "様" in t or "さん" in t or "氏" in t or "殿" in t or "の" in t:
         for m in _JA_NAME.finditer(t):
             add(*m.span(), "NAME", (1, 0, 0, 1 if _JA_RIGHT.match(t, m.end()) or _JA_RIGHT.search(t[m.end() : m.end() + 8]) else 0, 0, -int(t[m.end() - 1] in ROLE_ENDS)), "ja")
     for pattern, kind in ((_HI_NAME, "hi"), (_AR_NAME, "ar"), (_TH_NAME, "th")):

@@ -196,6 +196,13 @@ def test_mentions_of_odd_rows(spark):
     assert pii.mentions(df.limit(0)).count() == 0
 
 
+def test_gates_are_as_wide_as_their_patterns():
+    kinds = lambda t: [(t[a:b], k) for a, b, k, _, _ in pii.candidates(t)]
+    assert kinds("write to ana at example dot\ncom") == [("ana at example dot\ncom", "EMAIL")]
+    assert kinds("ana AT example\tDOT com") == [("ana AT example\tDOT com", "EMAIL")]
+    assert ("山田太郎", "NAME") in kinds("山田太郎氏") and ("山田太郎", "NAME") in kinds("山田太郎殿")
+
+
 def test_labelers_are_weighed():
     counts = [("PHONE", "1,1,1,1,0,0", 500), ("PHONE", "1,1,1,0,0,0", 300), ("PHONE", "-1,0,1,0,-1,0", 200), ("PHONE", "-1,0,0,0,-1,0", 50)]
     p = pii.likelihoods(counts)

@@ -4,7 +4,7 @@ A text starts as atomic segments between all its possible boundaries (paragraph,
 heap holds the adjacent pairs; the weakest boundary is merged away first, the smaller pair first among equals, as
 long as the merged segment and the overlap before it fit the limit.  What is left are cuts at the strongest
 boundaries that the limit allows.  Each piece then repeats the end of the one before it, from a sentence end, else a
-word end, else exactly `overlap` code points.
+word end, else the first whole character within `overlap` code points.  Limit and overlap hold exactly.
 """
 
 from __future__ import annotations
@@ -34,12 +34,14 @@ def _strength(m: re.Match) -> int:
     return LINE if breaks else SENTENCE if m.group("s") else CLAUSE if m.group("c") else WORD
 
 
+def _whole(text: str, at: int) -> bool:
+    """Whether a cut at this position splits no character from its marks or joiners."""
+    return at >= len(text) or not (unicodedata.combining(text[at]) or text[at] in "‍️" or text[at - 1] == "‍" or unicodedata.category(text[at]) in ("Mn", "Mc"))
+
+
 def _safe(text: str, at: int, low: int) -> int:
     """The nearest position not after `at` that splits no character from its marks or joiners; `at` if none is near."""
-    for p in range(at, max(low, at - 16), -1):
-        if p >= len(text) or not (unicodedata.combining(text[p]) or text[p] in "‍️" or text[p - 1] == "‍" or unicodedata.category(text[p]) in ("Mn", "Mc")):
-            return p
-    return at
+    return next((p for p in range(at, max(low, at - 16), -1) if _whole(text, p)), at)
 
 
 def cores(text: str, limit: int = LIMIT, overlap: int = OVERLAP) -> tuple[list[int], dict[int, int]]:
@@ -99,7 +101,7 @@ def cut_text(text: str, limit: int = LIMIT, overlap: int = OVERLAP) -> list[tupl
                 i += 1
             strong = [p for p in inside if strength[p] >= SENTENCE]
             word = [p for p in inside if strength[p] >= WORD]
-            start = strong[0] if strong else word[0] if word else _safe(text, least, begin[k - 1])
+            start = strong[0] if strong else word[0] if word else next((p for p in range(least, a) if _whole(text, p)), least)
         out.append((start, a, begin[k + 1] if k + 1 < len(begin) else len(text)))
     return out
 

@@ -34,6 +34,20 @@ def test_pieces_hold_the_whole_text(text, limit, overlap):
     assert (len(cut) > 1) == (len(text) > limit)
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.sampled_from(["ก็", "ที่", "क्षि", "मी", "بِّ", "e" + "́" * 15, "🚀", "a", " ", "。", "👩‍🚀"]), max_size=160), st.integers(20, 60), st.integers(0, 19))
+def test_pieces_of_marked_scripts(parts, limit, overlap):
+    text = "".join(parts)
+    cut = pieces.cut_text(text, limit, overlap)
+    assert "".join(text[c:e] for _, c, e in cut) == text
+    assert all(0 < e - s <= limit and 0 <= c - s <= overlap for s, c, e in cut)
+
+
+def test_stacked_marks_keep_the_limit():
+    text = ("e" + "́" * 15) * 200
+    assert all(e - s <= 1000 and c - s <= 200 and text[s] == "e" for s, c, e in pieces.cut_text(text))
+
+
 def test_cuts_fall_on_the_strongest_boundary():
     text = "One two three. Four five six.\n\nSeven eight nine. Ten."
     assert [text[c:e].strip() for _, c, e in pieces.cut_text(text, 32, 0)] == ["One two three. Four five six.", "Seven eight nine. Ten."]

@@ -2,16 +2,19 @@
 
 Unit vectors are projected on Gaussian directions and cut into cells of fixed width; a table's key joins the cells of
 `depth` directions.  A row visits, besides its own bucket, the perturbed buckets it most likely misses a neighbour in,
-in order of estimated success (the smallest sum of squared distances to the crossed cell walls).  Inside a bucket sign
-sketches of 512 bits rank the pairs, and the survivors are ranked again by exact cosine similarity.  Copies of one
-direction collapse to a representative before and are expanded after, each row to at most k partners of a class.
-
-`depth` grows with the logarithm of the number of rows, so buckets keep their size; the number of tables grows with
-depth so that a pair at cosine similarity 0.9 is met in some table with a chance over 0.99.
+in order of estimated success (the smallest sum of squared distances to the crossed cell walls).  Inside a bucket short
+codes rank the pairs, and the survivors are ranked again by exact cosine similarity: sign sketches where only pairs from
+a given similarity on are sought, else vectors of one byte a dimension.  Copies of one direction collapse to a
+representative before and are expanded after, each row to at most k partners of a class.
+
+`depth` grows with the logarithm of the number of rows, so buckets keep their size; the number of tables follows from
+depth and from the similarity sought, so that a pair at it is met in some table with a chance over 0.995.  Whole vectors
+move by sorted exchanges only: their size grows with the data and is underestimated by the planner.
 """
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import itertools
 import math
@@ -30,8 +33,8 @@ WIDTH = 2.0
 BITS = 512
 #: Chance that two unrelated unit vectors share a cell of one direction at this width.
 UNRELATED = 0.486
-#: Rows of a bucket, homes and visitors, beyond which its visitors are spread over several tasks.
-HOT = 50_000
+#: Rows of a bucket beyond which it is cut into blocks, and each block of visitors meets each block of homes.
+HOT = 25_000
 #: Ids up to which a set of ids may be broadcast (8 bytes each).
 SMALL = 200_000
 SEED = 20
@@ -119,31 +122,48 @@ def sign_sketch(x: np.ndarray, bits: int = BITS) -> np.ndarray:
     return np.packbits(x @ a > 0, axis=1)
 
 
+def codes(x: np.ndarray) -> np.ndarray:
+    """One byte per dimension behind the scale, so that a row's code times its scale is near the row."""
+    top = np.maximum(np.abs(x).max(axis=1, keepdims=True, initial=0), np.float32(1e-30))
+    scale = (top / 127).astype(np.float32)
+    return np.concatenate([scale.view(np.uint8), np.rint(x / scale).astype(np.int8).view(np.uint8)], axis=1)
+
+
+def decoded(column: pa.Array, dims: int) -> np.ndarray:
+    raw = np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint8).reshape(len(column), dims + 4)
+    return raw[:, 4:].view(np.int8).astype(np.float32) * np.ascontiguousarray(raw[:, :4]).view(np.float32)
+
+
 _HASHED = StructType(
     [StructField("key", BinaryType()), StructField("sketch", BinaryType()), StructField("cells", ArrayType(LongType()))]
 )
 
 
-def hashed(units: Column, dims: int, depth: int, tables: int, probes: int, bits: int = BITS) -> Column:
-    """struct<key of the direction, sign sketch, bucket keys> of a unit vector."""
+def hashed(units: Column, asked: Column, dims: int, depth: int, tables: int, probes: int, bits: int = BITS) -> Column:
+    """struct<key of the direction, sketch, bucket keys> of a unit vector; signs of `bits` directions as sketch, or one
+    byte a dimension if bits is 0.  Rows that are not asked have their own bucket of each table only."""
 
     @F.arrow_udf(_HASHED)
-    def run(column: pa.Array) -> pa.Array:
-        keys, sketches, cells = [], [], []
+    def run(column: pa.Array, ask: pa.Array) -> pa.Array:
+        keys, sketches, cells, size = [], [], [np.zeros(0, dtype=np.int64)], [0]
         for i in range(0, len(column), 2000):
             x = floats(column.slice(i, 2000), dims)
+            wants = ask.slice(i, 2000).to_numpy(zero_copy_only=False).astype(bool)
             grid = np.rint(x * np.float32(1e5)).astype(np.int32)
             keys += [hashlib.md5(g.tobytes(), usedforsecurity=False).digest() for g in grid]
-            sketches += [s.tobytes() for s in sign_sketch(x, bits)]
-            cells.append(bucket_keys(x, depth, tables, probes).reshape(len(x), -1))
-        per = tables * (1 + probes)
-        flat = np.concatenate(cells).ravel() if cells else np.zeros(0, dtype=np.int64)
-        lists = pa.ListArray.from_arrays(pa.array(np.arange(len(column) + 1) * per, pa.int32()), pa.array(flat))
+            sketches += [s.tobytes() for s in (sign_sketch(x, bits) if bits else codes(x))]
+            found = np.zeros((len(x), tables, 1 + probes), dtype=np.int64)
+            found[wants] = bucket_keys(x[wants], depth, tables, probes)
+            found[~wants, :, :1] = bucket_keys(x[~wants], depth, tables, 0)
+            used = np.broadcast_to(wants[:, None, None] | (np.arange(1 + probes) == 0), found.shape)
+            cells.append(found[used])
+            size += used.sum(axis=(1, 2)).tolist()
+        lists = pa.ListArray.from_arrays(pa.array(np.cumsum(size), pa.int32()), pa.array(np.concatenate(cells)))
         return pa.StructArray.from_arrays(
             [pa.array(keys, pa.binary()), pa.array(sketches, pa.binary()), lists], ["key", "sketch", "cells"]
         )
 
-    return run(units)
+    return run(units, asked)
 
 
 def most_bits(cosine: float, bits: int) -> int:
@@ -152,46 +172,58 @@ def most_bits(cosine: float, bits: int) -> int:
     return math.ceil(bits * p + 4.5 * math.sqrt(bits * p * (1 - p)))
 
 
-def _met(batches: Iterator[pa.RecordBatch], cosine: float | None, best: int, bits: int) -> Iterator[pa.RecordBatch]:
-    """Pairs (visitor, home, bits) met in a bucket: those within reach of `cosine`, else each visitor's `best`.
+def _close(table: pa.Table, starts: np.ndarray, cosine: float, bits: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Pairs (visitor, home, similarity by sketch) of one bucket after the other within reach of `cosine`."""
+    few, all_bits = most_bits(cosine, 128), most_bits(cosine, bits)
+    ids, role = table.column("id").to_numpy(), table.column("role").to_numpy()
+    words = np.frombuffer(b"".join(table.column("sketch").to_pylist()), dtype=np.uint64).reshape(len(ids), bits // 64)
+    for s, e in zip(starts[:-1], starts[1:]):
+        home, visitor = s + np.flatnonzero(role[s:e] != 1), s + np.flatnonzero(role[s:e] != 0)
+        if not len(home) or not len(visitor):
+            continue
+        h = words[home]
+        step = max(1, 1_000_000 // len(home))
+        for i in range(0, len(visitor), step):
+            v = visitor[i : i + step]
+            x = np.bitwise_count(words[v, 0][:, None] ^ h[:, 0]) + np.bitwise_count(words[v, 1][:, None] ^ h[:, 1])
+            a, b = np.nonzero(x <= few)
+            a, b = v[a], home[b]
+            keep = ids[a] != ids[b]
+            a, b = a[keep], b[keep]
+            differ = np.bitwise_count(words[a] ^ words[b]).sum(axis=1)
+            near = differ <= all_bits
+            yield ids[a[near]], ids[b[near]], 1.0 - differ[near] / bits
+
+
+def _best(table: pa.Table, starts: np.ndarray, best: int, dims: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Each visitor's `best` homes (visitor, home, similarity by code) of one bucket after the other."""
+    ids, role, sketch = table.column("id").to_numpy(), table.column("role").to_numpy(), table.column("sketch").combine_chunks()
+    for s, e in zip(starts[:-1], starts[1:]):
+        home, visitor = s + np.flatnonzero(role[s:e] != 1), s + np.flatnonzero(role[s:e] != 0)
+        if not len(home) or not len(visitor):
+            continue
+        h, hid = decoded(sketch.take(pa.array(home)), dims), ids[home]
+        n = min(best, len(home))
+        step = max(1, 2_000_000 // len(home))
+        for i in range(0, len(visitor), step):
+            v = visitor[i : i + step]
+            x = decoded(sketch.take(pa.array(v)), dims) @ h.T
+            x[ids[v][:, None] == hid] = -9
+            top = np.argpartition(-x, n - 1, axis=1)[:, :n]
+            near = np.take_along_axis(x, top, axis=1).ravel()
+            real = near > -9
+            yield np.repeat(ids[v], n)[real], hid[top.ravel()][real], near[real]
+
+
+def _met(batches: Iterator[pa.RecordBatch], cosine: float | None, best: int, bits: int, dims: int) -> Iterator[pa.RecordBatch]:
+    """Pairs (visitor, home, near) met in a bucket: those within reach of `cosine`, else each visitor's `best`.
 
     role 0: home only, 1: visitor only, 2: both."""
-    few, all_bits = (most_bits(cosine, 128), most_bits(cosine, bits)) if cosine is not None else (0, 0)
     for table, starts in whole_runs(batches, "cell"):
-        ids, role = table.column("id").to_numpy(), table.column("role").to_numpy()
-        words = np.frombuffer(b"".join(table.column("sketch").to_pylist()), dtype=np.uint64).reshape(len(ids), bits // 64)
-        seen: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        for s, e in zip(starts[:-1], starts[1:]):
-            home, visitor = s + np.flatnonzero(role[s:e] != 1), s + np.flatnonzero(role[s:e] != 0)
-            if not len(home) or not len(visitor):
-                continue
-            h = words[home]
-            step = max(1, 1_000_000 // len(home))
-            for i in range(0, len(visitor), step):
-                v = visitor[i : i + step]
-                if cosine is not None:
-                    x = np.bitwise_count(words[v, 0][:, None] ^ h[:, 0]) + np.bitwise_count(words[v, 1][:, None] ^ h[:, 1])
-                    a, b = np.nonzero(x <= few)
-                    a, b = v[a], home[b]
-                    keep = ids[a] != ids[b]
-                    a, b = a[keep], b[keep]
-                    differ = np.bitwise_count(words[a] ^ words[b]).sum(axis=1)
-                    near = differ <= all_bits
-                    seen.append((ids[a[near]], ids[b[near]], differ[near]))
-                else:
-                    x = np.zeros((len(v), len(home)), dtype=np.int16)
-                    for w in range(bits // 64):
-                        x += np.bitwise_count(words[v, w][:, None] ^ h[:, w])
-                    x[ids[v][:, None] == ids[home]] = 32000
-                    n = min(best, len(home))
-                    top = np.argpartition(x, n - 1, axis=1)[:, :n]
-                    differ = np.take_along_axis(x, top, axis=1).ravel()
-                    a, b = np.repeat(ids[v], n), ids[home][top.ravel()]
-                    real = differ < 32000
-                    seen.append((a[real], b[real], differ[real]))
+        seen = list(_close(table, starts, cosine, bits) if cosine is not None else _best(table, starts, best, dims))
         if seen:
-            a, b, differ = (np.concatenate(x) for x in zip(*seen))
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(differ.astype(np.int64))], names=["a", "b", "bits"])
+            a, b, near = (np.concatenate(x) for x in zip(*seen))
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(near.astype(np.float64))], names=["a", "b", "near"])
 
 
 def exact(a: Column, b: Column, dims: int) -> Column:
@@ -209,11 +241,29 @@ def depth_for(rows: int, bucket_rows: int) -> int:
     return max(1, round(math.log(max(rows, 1) / bucket_rows) / math.log(1 / UNRELATED))) if rows > bucket_rows else 1
 
 
-def tables_for(depth: int, least: int = 4) -> int:
-    """Tables so that a pair at 0.9 is missed with a chance under 0.005; measured share met in one table with four
-    probes from either side, 0.74 at depth 7 and a tenth less with each further direction."""
-    met = min(0.95, 0.736 * 0.9 ** (depth - 7))
-    return max(least, math.ceil(math.log(0.005) / math.log(1 - met)))
+@functools.cache
+def met_in_table(cosine: float, depth: int, probes: int, pairs: int = 4000) -> float:
+    """Chance that a pair at this cosine similarity meets in one table, from drawn projections: one of the two has its
+    own bucket among those that the other visits."""
+    rng = np.random.default_rng(SEED + 2)
+    a = 50 + rng.random((pairs, depth))
+    b = a + rng.standard_normal((pairs, depth)) * math.sqrt(max(0.0, 2 - 2 * cosine)) / WIDTH
+    met = np.zeros(pairs, dtype=bool)
+    for x, y in ((a, b), (b, a)):
+        own = np.floor(y)
+        for cells in perturbed(x, probes):
+            met |= (cells == own).all(axis=1)
+    return float(met.mean())
+
+
+def tables_for(depth: int, cosine: float = 0.9, probes: int = 4, least: int = 4) -> int:
+    """Tables so that a pair at this similarity is missed by all with a chance under 0.005.  A similarity that would
+    need over 100 raises: buckets must then be larger (`bucket_rows`) or probes more."""
+    met = min(0.95, met_in_table(cosine, depth, probes))
+    tables = math.ceil(math.log(0.005) / math.log(1 - met)) if met > 0.05 else 101
+    if tables > 100:
+        raise ValueError(f"pairs at cosine {cosine} meet too seldom at depth {depth}: raise bucket_rows or probes")
+    return max(least, tables)
 
 
 def _without(rows: DataFrame, ids: DataFrame) -> DataFrame:
@@ -238,56 +288,46 @@ def most_similar(
     probes: int = 4,
     least_tables: int = 4,
     rerank: int = 24,
-    bits: int = BITS,
 ) -> DataFrame:
     """(id, other, similarity): up to k most similar other rows of each row, or of those where `queries` holds.
 
     vectors has `id` and `embedding`.  With `cosine` only partners at or above it come out, which also makes the
-    search cheaper.  Without it each visit keeps its `rerank` best by sketch, and the 8 k + rerank best of a row are
-    ranked exactly; longer sketches (`bits`) tell weaker similarities apart.  Rows with a null id or an unusable vector take no part.  Ties go to the smaller id; a repeated id
-    counts once.
+    search cheaper; the number of tables then follows from it.  Without it there are `least_tables`, each visit keeps
+    its k + 7 best by code, and a row's `rerank` best are ranked exactly.  Rows with a null id or an unusable vector take
+    no part.  Ties go to the smaller id of a class's representative; a repeated id counts once.
     """
     asked = F.coalesce(queries, F.lit(False)) if queries is not None else F.lit(True)
     units = vectors.filter("id is not null").select("id", asked.alias("asked"), unit(F.col("embedding"), dims).alias("u")).filter("u is not null")
     rows = vectors.filter("id is not null and embedding is not null").count()
     depth = depth_for(rows, bucket_rows)
-    tables = tables_for(depth, least_tables)
-    base = cut(units.select("id", "asked", hashed(F.col("u"), dims, depth, tables, probes, bits).alias("h")).select("id", "asked", "h.*"))
-    first = base.groupBy("key").agg(F.min("id").alias("rep"), F.max("asked").alias("wanted"), F.count("*").alias("n"))
-    member = cut(base.select("id", "asked", "key").join(first, "key").select("id", "asked", "rep", "wanted", "n").distinct())
+    tables = tables_for(depth, cosine, probes, least_tables) if cosine is not None else least_tables
+    bits = BITS if cosine is not None else 0
+    base = units.select("id", "asked", hashed(F.col("u"), F.col("asked"), dims, depth, tables, probes, bits).alias("h"))
+    base = cut(base.select("id", "asked", "h.*"))
+    # an asked row stands for its class if there is one, so that the class is asked for
+    first = base.groupBy("key").agg(F.min_by("id", F.struct(~F.col("asked"), "id")).alias("rep"))
+    member = cut(base.select("id", "asked", "key").join(first.hint("merge"), "key").select("id", "asked", "rep").distinct())
     # mostly few rows are copies: taking these out needs no exchange of the sketches
     reps = _without(base.drop("key"), member.filter("id <> rep").select("id"))
-    if queries is not None:
-        reps = reps.join(member.filter("id = rep and n > 1 and wanted").select("id", F.lit(True).alias("w")), "id", "left").withColumn("wanted", F.col("asked") | F.coalesce("w", F.lit(False)))
     if base.count() > member.count():  # some id comes twice
         reps = reps.dropDuplicates(["id"])
-    one = F.col("pos") % (1 + probes) == 0
-    if queries is None:
-        visits = reps.select("id", "sketch", F.posexplode("cells").alias("pos", "cell"))
-        visits = visits.select("id", "sketch", "cell", F.when(one, 2).otherwise(1).cast("long").alias("role"))
-    else:
-        spread = reps.select("id", "sketch", "wanted", F.posexplode("cells").alias("pos", "cell")).filter(one | F.col("wanted"))
-        role = F.when(one & F.col("wanted"), 2).when(one, 0).otherwise(1)
-        visits = spread.select("id", "sketch", "cell", role.cast("long").alias("role"))
+    own = F.when(F.col("asked"), F.col("pos") % (1 + probes) == 0).otherwise(True)
+    role = F.when(~F.col("asked"), 0).when(own, 2).otherwise(1).cast("long")
+    visits = reps.select("id", "asked", "sketch", F.posexplode("cells").alias("pos", "cell")).select("id", "sketch", "cell", role.alias("role"))
     hot = visits.groupBy("cell").agg(F.count("*").alias("n")).filter(F.col("n") > HOT).select("cell", F.ceil(F.col("n") / HOT).cast("long").alias("parts"))
     if (many := hot.limit(10_001).count()) > 0:
-        spread = visits.join(F.broadcast(hot) if many <= 10_000 else hot, "cell", "left")
-        parts = F.coalesce("parts", F.lit(1))
-        mine = F.pmod(F.xxhash64("id"), parts)
-        to = F.when(F.col("role") == 1, F.array(mine)).otherwise(F.sequence(F.lit(0).cast("long"), parts - 1))
-        spread = spread.select("id", "sketch", "cell", "role", mine.alias("mine"), F.explode(to).alias("part"))
-        role = F.when((F.col("role") == 2) & (F.col("mine") != F.col("part")), 0).otherwise(F.col("role"))
-        visits = spread.select("id", "sketch", F.xxhash64("cell", "part").alias("cell"), role.cast("long").alias("role"))
-    met = visits.repartition("cell").sortWithinPartitions("cell").mapInArrow(lambda b: _met(b, cosine, rerank, bits), "a long, b long, bits long")
+        visits = _in_blocks(visits, F.broadcast(hot) if many <= 10_000 else hot)
+    met = visits.repartition("cell").sortWithinPartitions("cell").mapInArrow(lambda b: _met(b, cosine, k + 7, bits, dims), "a long, b long, near double")
     if cosine is not None:
         found = cut(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     else:
-        met = met.groupBy("a", "b").agg(F.min("bits").alias("bits"))
-        near = Window.partitionBy("a").orderBy("bits", "b")
-        found = cut(met.withColumn("n", F.row_number().over(near)).filter(F.col("n") <= 8 * k + rerank).select("a", "b"))
-    used = _only(units.select("id", "u"), found.select(F.col("a").alias("id")).union(found.select(F.col("b").alias("id"))))
-    used = used.dropDuplicates(["id"])
-    scored = found.join(used.select(F.col("id").alias("a"), F.col("u").alias("ua")), "a").join(used.select(F.col("id").alias("b"), F.col("u").alias("ub")), "b")
+        met = met.groupBy("a", "b").agg(F.max("near").alias("near"))
+        best = Window.partitionBy("a").orderBy(F.desc("near"), "b")
+        found = cut(met.withColumn("n", F.row_number().over(best)).filter(F.col("n") <= max(rerank, k)).select("a", "b"))
+    used = units.select("id", "asked", "u") if cosine is None else _only(units.select("id", "asked", "u"), found.select(F.col("a").alias("id")).union(found.select(F.col("b").alias("id"))))
+    left = (used.filter("asked") if cosine is None else used).select(F.col("id").alias("a"), F.col("u").alias("ua")).dropDuplicates(["a"])
+    right = used.select(F.col("id").alias("b"), F.col("u").alias("ub")).dropDuplicates(["b"])
+    scored = found.join(left.hint("merge"), "a").join(right.hint("merge"), "b")
     scored = scored.select("a", "b", exact(F.col("ua"), F.col("ub"), dims).alias("similarity"))
     if cosine is not None:
         scored = scored.filter(F.col("similarity") >= cosine)
@@ -295,17 +335,32 @@ def most_similar(
     return _expanded(member, scored, k)
 
 
+def _in_blocks(visits: DataFrame, hot: DataFrame) -> DataFrame:
+    """visits with each bucket of hot (cell, parts) cut into cells of one block of visitors and one of homes."""
+    spread = visits.join(hot, "cell", "left").withColumn("parts", F.coalesce("parts", F.lit(1).cast("long")))
+    spread = spread.withColumn("mine", F.pmod(F.xxhash64("id"), "parts"))
+    every = F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)
+
+    def to(v: Column, h: Column, role: Column) -> Column:
+        return F.struct(v.cast("long").alias("v"), h.cast("long").alias("h"), role.cast("long").alias("role"))
+
+    mine, both, none = F.col("mine"), F.col("role") == 2, F.expr("cast(array() as array<struct<v:bigint,h:bigint,role:bigint>>)")
+    visiting = F.when(F.col("role") > 0, F.transform(every, lambda j: to(mine, j, F.when(both & (j == mine), 2).otherwise(1)))).otherwise(none)
+    at_home = F.when(F.col("role") != 1, F.transform(F.filter(every, lambda i: ~both | (i != mine)), lambda i: to(i, mine, F.lit(0)))).otherwise(none)
+    spread = spread.select("id", "sketch", "cell", F.explode(F.concat(visiting, at_home)).alias("t"))
+    return spread.select("id", "sketch", F.xxhash64("cell", "t.v", "t.h").alias("cell"), "t.role")
+
+
 def _expanded(member: DataFrame, scored: DataFrame, k: int) -> DataFrame:
     """Rows' own k best from the similarities of representatives: copies first, then the classes next to theirs."""
     best = Window.partitionBy("a").orderBy(F.desc("similarity"), "b")
     scored = scored.withColumn("n", F.row_number().over(best)).filter(F.col("n") <= k).drop("n")
     head = member.select("rep", F.col("id").alias("other")).distinct()
     head = head.withColumn("n", F.row_number().over(Window.partitionBy("rep").orderBy("other"))).filter(F.col("n") <= k + 1).drop("n")
-    member = member.select("id", "asked", "rep")
     asking = member.filter("asked").select("id", "rep")
-    copies = asking.join(head, "rep").filter("id <> other").select("id", "other", F.lit(1.0).alias("similarity"))
-    beside = asking.join(scored.withColumnRenamed("a", "rep"), "rep").select("id", "b", "similarity")
-    beside = beside.join(head.withColumnRenamed("rep", "b"), "b").select("id", "other", "similarity")
+    copies = asking.join(head.hint("merge"), "rep").filter("id <> other").select("id", "other", F.lit(1.0).alias("similarity"))
+    beside = asking.join(scored.withColumnRenamed("a", "rep").hint("merge"), "rep").select("id", "b", "similarity")
+    beside = beside.join(head.withColumnRenamed("rep", "b").hint("merge"), "b").select("id", "other", "similarity")
     mine = Window.partitionBy("id").orderBy(F.desc("similarity"), "other")
     every = copies.unionByName(beside)
     return every.withColumn("n", F.row_number().over(mine)).filter(F.col("n") <= k).select("id", "other", "similarity")

@@ -51,6 +51,48 @@ def test_queries_reach_their_recall(spark):
     assert {p[0] % 20 for p in got} == {0}
 
 
+@pytest.mark.parametrize(("name", "buckets"), [("doc_chunks", 25), ("lightrag_entities", 10)])
+def test_topk_recall_on_the_tables(spark, data, name, buckets):
+    """At the depth that 200,000 chunks and 80,000 entities have in p2_topk, with its probes and tables; every row is
+    asked, as few are there."""
+    v = spark.read.parquet(f"{data}/{name}.parquet").select("id", "embedding")
+    rows = [(r.id, r.embedding) for r in v.collect() if r.embedding is not None and len(r.embedding) == 512 and np.isfinite(r.embedding).all() and np.any(r.embedding)]
+    got = nearest.most_similar(v, 5, bucket_rows=len(rows) // buckets, probes=12, least_tables=4)
+    mine = {}
+    for r in got.collect():
+        mine.setdefault(r.id, []).append(r.similarity)
+    ids = [i for i, _ in rows]
+    x = np.array([w / np.linalg.norm(w) for w in (np.array(e, dtype=np.float64) for _, e in rows)])
+    s = x @ x.T
+    np.fill_diagonal(s, -9)
+    fifth = np.sort(s, axis=1)[:, -5]
+    hit = sum(min(5, sum(y >= f - 1e-6 for y in mine.get(i, []))) for i, f in zip(ids, fifth))
+    assert hit >= 0.9 * 5 * len(ids)
+
+
+def test_tables_follow_from_the_similarity():
+    assert nearest.tables_for(7, 0.9) == 4 < nearest.tables_for(7, 0.8) < nearest.tables_for(7, 0.7)
+    assert abs(nearest.met_in_table(0.0, 1, 0) - nearest.UNRELATED) < 0.03
+    with pytest.raises(ValueError, match="bucket_rows"):
+        nearest.tables_for(20, 0.3)
+
+
+def test_codes_are_near_their_rows():
+    x = np.random.default_rng(0).standard_normal((50, DIMS)).astype(np.float32)
+    import pyarrow as pa
+
+    back = nearest.decoded(pa.array([c.tobytes() for c in nearest.codes(x)], pa.binary()), DIMS)
+    assert np.abs(back - x).max() < 0.02
+
+
+def test_hot_buckets_of_queries_lose_nothing(spark, monkeypatch):
+    rows = clustered(400, 4)
+    run = lambda: {(r.id, r.other) for r in nearest.most_similar(vectors(spark, rows), 5, None, F.col("id") % 20 == 0, dims=DIMS, bucket_rows=1000, probes=4).collect()}
+    want = run()
+    monkeypatch.setattr(nearest, "HOT", 40)
+    assert run() == want and len(want) == 100
+
+
 def test_unusable_vectors_take_no_part(spark):
     v = np.ones(DIMS)
     rows = [(1, v), (2, 3 * v), (3, None), (4, 0 * v), (5, v[:9]), (6, v * np.nan), (7, v * np.inf), (None, v), (2, 3 * v), (8, -v), (9, 1e30 * v)]

@@ -37,6 +37,8 @@ UNRELATED = 0.486
 HOT = 25_000
 #: Ids up to which a set of ids may be broadcast (8 bytes each).
 SMALL = 200_000
+#: Vectors of an Arrow batch that are worked on at a time.
+SOME = 1000
 SEED = 20
 
 
@@ -45,25 +47,31 @@ def unit(vector: Column, dims: int = 512) -> Column:
 
     @F.arrow_udf(BinaryType())
     def run(column: pa.Array) -> pa.Array:
-        size = column.value_lengths().fill_null(-1).to_numpy(zero_copy_only=False)
-        right = np.flatnonzero(size == dims)
-        taken = column.take(pa.array(right)).flatten()
-        x = taken.to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(right), dims)
-        good = np.isfinite(x).all(axis=1)
-        x[~good] = 0
-        most = np.abs(x).max(axis=1, initial=0)
-        good &= most > 0
-        x /= np.where(most > 0, most, 1)[:, None]
-        x /= np.where(good, np.linalg.norm(x, axis=1), 1)[:, None]
-        rows = x.astype(np.float32)
-        out: list[bytes | None] = [None] * len(column)
-        for i in np.flatnonzero(good):
-            out[right[i]] = rows[i].tobytes()
+        out: list[bytes | None] = []
+        for i in range(0, len(column), SOME):
+            out += _unit_bytes(column.slice(i, SOME), dims)
         return pa.array(out, pa.binary())
 
     return run(vector)
 
 
+def _unit_bytes(column: pa.Array, dims: int) -> list[bytes | None]:
+    size = column.value_lengths().fill_null(-1).to_numpy(zero_copy_only=False)
+    right = np.flatnonzero(size == dims)
+    x = column.take(pa.array(right)).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(right), dims)
+    good = np.isfinite(x).all(axis=1)
+    x[~good] = 0
+    most = np.abs(x).max(axis=1, initial=0)
+    good &= most > 0
+    x /= np.where(most > 0, most, 1)[:, None]
+    x /= np.where(good, np.linalg.norm(x, axis=1), 1)[:, None]
+    rows = x.astype(np.float32)
+    out: list[bytes | None] = [None] * len(column)
+    for i in np.flatnonzero(good):
+        out[right[i]] = rows[i].tobytes()
+    return out
+
+
 def floats(column: pa.Array, dims: int) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), dtype=np.float32).reshape(len(column), dims)
 
@@ -146,9 +154,9 @@ def hashed(units: Column, asked: Column, dims: int, depth: int, tables: int, pro
     @F.arrow_udf(_HASHED)
     def run(column: pa.Array, ask: pa.Array) -> pa.Array:
         keys, sketches, cells, size = [], [], [np.zeros(0, dtype=np.int64)], [0]
-        for i in range(0, len(column), 2000):
-            x = floats(column.slice(i, 2000), dims)
-            wants = ask.slice(i, 2000).to_numpy(zero_copy_only=False).astype(bool)
+        for i in range(0, len(column), SOME):
+            x = floats(column.slice(i, SOME), dims)
+            wants = ask.slice(i, SOME).to_numpy(zero_copy_only=False).astype(bool)
             grid = np.rint(x * np.float32(1e5)).astype(np.int32)
             keys += [hashlib.md5(g.tobytes(), usedforsecurity=False).digest() for g in grid]
             sketches += [s.tobytes() for s in (sign_sketch(x, bits) if bits else codes(x))]
@@ -231,8 +239,11 @@ def exact(a: Column, b: Column, dims: int) -> Column:
 
     @F.arrow_udf(DoubleType())
     def run(x: pa.Array, y: pa.Array) -> pa.Array:
-        u, v = floats(x, dims).astype(np.float64), floats(y, dims).astype(np.float64)
-        return pa.array(np.clip(np.einsum("ij,ij->i", u, v), -1.0, 1.0))
+        out = np.zeros(len(x))
+        for i in range(0, len(x), SOME):
+            u, v = floats(x.slice(i, SOME), dims).astype(np.float64), floats(y.slice(i, SOME), dims).astype(np.float64)
+            out[i : i + SOME] = np.einsum("ij,ij->i", u, v)
+        return pa.array(np.clip(out, -1.0, 1.0))
 
     return run(a, b)
 

@@ -1,10 +1,14 @@
 """Records that hold template residue, filler, an error page or a script notice in place of content.
 
-Lines are normalised and counted by host; a line that recurs over a host's documents is boilerplate, and so are
-headings and navigation.  A record is residue if what is left holds error, filler or script evidence and no content of
-its own, or if any sentence outside code holds an unfilled placeholder that it does not explain.  A phrase that only
-takes up a small part of its sentence is a mention, which is content.  Recurrent evidence lines stay evidence: error
-pages recur by nature, so subtracting them would hide what is sought.
+Lines are normalised and counted by host.  A line that recurs over a host's documents is boilerplate and is subtracted,
+and so are headings and navigation; a record is excluded if what remains has no content of its own and holds error,
+filler or script evidence, or if any sentence outside code that remains holds an unfilled placeholder which it does not
+explain.  A phrase that only takes up a small part of its sentence is a mention, which is content.
+
+Error pages recur by nature, and so do the lines of a template, so recurrence alone does not tell boilerplate from
+evidence.  Two counts do: a recurrent line of evidence is subtracted if most documents that hold it have other content
+(a footer that asks to sign in), and a line with a placeholder if it stands in most documents of its host (the frame of
+the site, which says nothing of the record).
 """
 
 from __future__ import annotations
@@ -21,8 +25,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
-#: A line is boilerplate if it is in this share of its host's documents, and in so many at least.
-SHARE, LEAST = 0.001, 10
+from quire.plans.lineage import cut
+
+#: A line is boilerplate if it is in this share of its host's documents, and in so many at least: a line of a host of
+#: nine documents cannot be told from a quotation.  From FRAME on it belongs to the frame of the site.
+SHARE, LEAST, FRAME = 0.001, 10, 0.5
+#: A recurrent line of evidence is boilerplate if this share of the documents that hold it have content besides.
+BESIDE = 0.5
+#: Ids or lines up to which a set of them may be broadcast (8 bytes each).
+SMALL = 1_000_000
 #: Share of a sentence's letters that evidence must cover.
 COVER = 0.6
 
@@ -63,11 +74,15 @@ _FILLER = (
     r"(?:ダミーテキスト|サンプルテキスト|ここに(?:文章|テキスト)が入ります)+", r"(?:platzhaltertext|beispieltext|blindtext)", r"(?:texto de (?:ejemplo|relleno|muestra))",
 )
 _LOREM = (
-    "lorem|ipsum|dolor|sit|amet|consectetur|adipiscing|adipisicing|elit|sed|eiusmod|tempor|tempora|incididunt|labore|dolore|magna|aliqua|aliquid|enim|minim|veniam|quis|nostrud|exercitation|ullamco|laboris|nisi|"
-    "aliquip|commodo|consequat|duis|aute|irure|reprehenderit|voluptate|velit|esse|cillum|fugiat|fugit|nulla|nullam|pariatur|excepteur|sint|occaecat|cupidatat|proident|sunt|culpa|officia|deserunt|mollit|"
-    "laborum|cursus|lectus|posuere|semper|porta|praesent|gravida|gravis|vestibulum|pellentesque|curabitur|suspendisse|vivamus|mauris|donec|etiam|integer|aenean|phasellus|morbi|nunc|vitae|tellus|augue|"
-    "tincidunt|faucibus|ultrices|viverra|turpis|egestas|malesuada|habitant|senectus|netus|modus|novem|utima|ultima|quorem|verita|veritatis|vexat|sintel|magnar|praes"
+    "lorem|ipsum|dolor|sit|amet|consectetur|consectetuer|adipiscing|adipisicing|elit|sed|eiusmod|tempor|incididunt|labore|dolore|magna|aliqua|enim|minim|veniam|quis|nostrud|exercitation|ullamco|laboris|nisi|"
+    "aliquip|commodo|consequat|duis|aute|irure|reprehenderit|voluptate|velit|esse|cillum|fugiat|nulla|pariatur|excepteur|sint|occaecat|cupidatat|proident|sunt|culpa|officia|deserunt|mollit|laborum|"
+    "perspiciatis|unde|omnis|iste|natus|error|voluptatem|accusantium|doloremque|laudantium|totam|aperiam|eaque|ipsa|quae|inventore|veritatis|quasi|architecto|beatae|vitae|dicta|explicabo|nemo|ipsam|quia|voluptas|aspernatur|odit|fugit|"
+    "consequuntur|magni|dolores|ratione|sequi|nesciunt|neque|porro|quisquam|dolorem|adipisci|numquam|eius|modi|tempora|incidunt|magnam|aliquam|quaerat|nostrum|exercitationem|corporis|suscipit|laboriosam|aliquid|commodi|consequatur|"
+    "cursus|lectus|posuere|semper|porta|praesent|gravida|vestibulum|pellentesque|curabitur|suspendisse|vivamus|mauris|donec|etiam|integer|aenean|phasellus|morbi|nunc|nullam|tellus|augue|"
+    "tincidunt|faucibus|ultrices|viverra|turpis|egestas|malesuada|habitant|senectus|netus"
 )
+#: Function words of languages in use; a sentence without any is no sentence of theirs.
+_LIVING = "the|a|an|is|are|was|were|be|to|of|and|or|on|for|with|by|from|this|that|it|we|you|not|before|after|der|die|das|und|ist|ein|eine|nicht|mit|von|zu|el|la|los|las|un|una|y|de|del|que|en|es|con|para|por"
 _NAME = r"[A-Za-z][A-Za-z0-9_.\- ]{0,40}"
 _TAG = "a|b|i|p|u|br|hr|div|span|table|tr|td|th|ul|ol|li|img|h[1-6]|em|strong|code|pre|html|head|body|script|style|link|meta|form|input|button|label|nav|section|article|footer|header|main|sup|sub|small|center|font|title|svg|path"
 #: No alternative begins otherwise; tried only there.
@@ -243,55 +258,85 @@ def normal_line(x: Column) -> Column:
     return F.trim(F.regexp_replace(x, r"[^\p{L}\p{M}]+", " "))
 
 
-def unfilled(text: Column) -> Column:
-    """Whether some sentence outside code holds a placeholder that it does not explain."""
-    clean = F.regexp_replace(F.regexp_replace(text, _CODE, " "), "[   ]+", " ")
-    held = F.exists(units(clean), lambda u: u.rlike(_PLACEHOLDER) & ~u.rlike(_EXPLAINED))
-    return F.when(text.rlike(_PLACEHOLDER), held).otherwise(False)
+def unfilled(line: Column) -> Column:
+    """Whether some sentence of a line without code holds a placeholder that it does not explain."""
+    return F.exists(units(line), lambda u: u.rlike(_PLACEHOLDER) & ~u.rlike(_EXPLAINED))
+
+
+def without_code(text: Column) -> Column:
+    return F.regexp_replace(F.regexp_replace(text, _CODE, " "), "[   ]+", " ")
 
 
 def evidence(unit: Column, may: Column) -> Column:
     """Whether error, filler or script phrases make up most of a lower-case unit without navigation; may: as possible()
     tells."""
     rest = F.regexp_replace(unit, "|".join((*_SCRIPT, *_ERROR, *_FILLER)), "")
-    words = F.size(F.split(F.trim(unit), r"[^\p{L}]+"))
-    latin = F.size(F.regexp_extract_all(unit, F.lit(rf"\b({_LOREM})\b"), F.lit(1)))
+    words = F.size(F.regexp_extract_all(unit, F.lit(r"\p{L}+"), F.lit(0)))
+    latin = F.regexp_extract_all(unit, F.lit(rf"\b({_LOREM})\b"), F.lit(1))
+    # generators mix made-up words in, so a fifth is enough if it is varied
+    kinds = F.size(F.array_distinct(latin))
+    varied = (kinds >= 3) | (kinds == 2) & ~unit.rlike(rf"\b(?:{_LIVING})\b")
+    lorem = (words >= 4) & ((F.size(latin) >= 0.5 * words) | (F.size(latin) >= 0.2 * words) & varied)
     phrases = (letters(unit) > 0) & (letters(rest) <= (1 - COVER) * letters(unit))
-    return F.when(may, phrases | ((words >= 4) & (latin >= 0.5 * words))).otherwise(False)
+    return F.when(may, phrases | lorem).otherwise(False)
+
+
+def line_key(host: Column, line: Column) -> Column:
+    return F.xxhash64(host, normal_line(line))
+
 
+def _few(keys: DataFrame) -> DataFrame:
+    """A table of keys, to be broadcast if a count shows that it is small."""
+    return F.broadcast(keys) if keys.limit(SMALL + 1).count() <= SMALL else keys
 
-def residue(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", url_col: str = "source_url") -> DataFrame:
+
+def residue(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", url_col: str = "source_url", share: float = SHARE, least: int = LEAST, frame: float = FRAME
+) -> DataFrame:
     """Ids of the records that are residue, each once.
 
-    Null, empty and blank texts are none, and a null id never comes out.  A null or unreadable URL counts as one host.
+    A line is boilerplate of its host from `share` of its documents and `least` documents on, and part of its frame from
+    `frame` on.  Null, empty and blank texts are none, and a null id never comes out.  A null or unreadable URL counts
+    as one host.
     """
     d = docs.filter(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(id_col).alias("doc"),
         F.col(text_col).alias("text"),
         F.coalesce(F.lower(F.regexp_extract(url_col, r"^[a-zA-Z][\w+.\-]*://([^/:?#]+)", 1)), F.lit("")).alias("host"),
     )
-    open_ones = d.filter(unfilled(F.col("text"))).select("doc")
     t = d.select("doc", "host", plain(F.col("text")).alias("text"))
-    suspect = t.filter(possible(F.col("text")))
-    hashed = F.transform(F.split(F.col("text"), "[\r\n]+"), lambda x: F.xxhash64(F.col("host"), normal_line(x)))
+    hashed = F.transform(F.split(F.col("text"), "[\r\n]+"), lambda x: line_key(F.col("host"), x))
     lines = t.select("host", F.explode_outer(F.array_distinct(hashed)).alias("line"))
     seen = lines.groupBy("line").agg(F.count("*").alias("n"), F.first("host").alias("host"))
     size = t.groupBy("host").agg(F.count("*").alias("docs"))
-    common = seen.filter(F.col("n") >= LEAST).join(size, "host").filter(F.col("n") >= SHARE * F.col("docs")).select("line", F.lit(True).alias("common"))
+    common = seen.filter(F.col("n") >= least).join(size, "host").filter(F.col("n") >= share * F.col("docs"))
+    common = cut(common.select("line", (F.col("n") >= frame * F.col("docs")).alias("frame")))
+    # placeholders in lines that are not the site's frame
+    held = d.filter(F.col("text").rlike(_PLACEHOLDER)).select("doc", "host", F.explode(F.split(without_code(F.col("text")), "[\r\n]+")).alias("l"))
+    held = held.filter(F.when(F.col("l").rlike(_PLACEHOLDER), unfilled(F.col("l"))).otherwise(False))
+    open_ones = held.select("doc", line_key(F.col("host"), plain(F.col("l"))).alias("line")).join(_few(common.filter("frame").select("line")), "line", "left_anti").select("doc")
+    # evidence where nothing else is said
+    suspect = t.filter(possible(F.col("text")))
     line = suspect.select("doc", "host", F.explode_outer(F.split("text", "[\r\n]+")).alias("l"))
-    line = line.select("doc", F.xxhash64("host", normal_line(F.col("l"))).alias("line"), "l")
+    line = line.select("doc", line_key(F.col("host"), F.col("l")).alias("line"), "l")
     one = line.select("doc", "line", F.explode_outer(units(F.col("l"))).alias("whole"))
     one = one.select("doc", "line", F.trim(F.regexp_replace("whole", _NAVIGATION, " ")).alias("u"))
     one = one.withColumn("may", possible(F.col("u")))
     title = ~F.col("u").rlike(r"[。！？!?।؟…；;.][”」』\"'»)）]*$") & (letters(F.col("u")) <= 40) & (F.size(F.split("u", " ")) <= 8)
     judged = one.select("doc", "line", evidence(F.col("u"), F.col("may")).alias("told"), (~title & (letters(F.col("u")) >= 8)).alias("solid"))
-    own = ~F.col("told") & F.col("solid")
-    marked = judged.select("doc", "line", "told", own.alias("own"))
-    per = marked.join(common, "line", "left").groupBy("doc").agg(F.max("told").alias("told"), F.max(F.col("own") & F.col("common").isNull()).alias("own"))
-    return open_ones.unionByName(per.filter("told and not own").select("doc")).distinct().select(F.col("doc").alias(id_col))
+    marked = judged.join(common.select("line", F.lit(True).alias("common")), "line", "left").withColumn("common", F.coalesce("common", F.lit(False)))
+    own = ~F.col("told") & F.col("solid") & ~F.col("common")
+    per = marked.groupBy("doc").agg(F.max(own).alias("own"), F.collect_set(F.when(F.col("told"), F.struct("line", "common"))).alias("told"))
+    told = cut(per.select("doc", "own", F.explode("told").alias("e")).select("doc", "own", "e.*"))
+    beside = told.filter("common").groupBy("line").agg(F.avg(F.col("own").cast("int")).alias("beside")).filter(F.col("beside") >= BESIDE).select("line")
+    empty_ones = told.filter("not own").join(_few(beside), "line", "left_anti").select("doc")
+    return open_ones.unionByName(empty_ones).distinct().select(F.col("doc").alias(id_col))
 
 
 def without_residue(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", url_col: str = "source_url") -> DataFrame:
-    """The records that are no residue, all columns kept; those with null ids or texts stay."""
-    gone = residue(docs, id_col, text_col, url_col).select(F.col(id_col).alias("_gone"))
-    return docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")
+    """The records that are no residue, all columns kept; those with null ids or texts stay.
+
+    Up to SMALL ids are broadcast, so the texts are not exchanged; beyond that the tables are joined by id.
+    """
+    gone = cut(residue(docs, id_col, text_col, url_col).select(F.col(id_col).alias("_gone")))
+    return docs.join(_few(gone), docs[id_col] == gone["_gone"], "left_anti")

@@ -264,6 +264,34 @@ def test_recurrent_lines_are_no_content(spark):
     assert residue.residue(df.limit(0)).count() == 0
 
 
+def say(i):
+    """A sentence that no other i has; digits do not count in lines."""
+    return f"The chapter about {chr(97 + i % 26)}{chr(97 + i // 26)}ology says something of its own."
+
+
+def test_evidence_that_recurs_beside_content_is_boilerplate(spark):
+    h = "https://h.example/x"
+    footer = "Please sign in again"
+    rows = [(i, f"{say(i)}\n{footer}", h) for i in range(30)]
+    rows += [(40, f"Release notes\n{footer}", h), (41, "404 Not Found", h)] + [(50 + i, "Access denied", h) for i in range(12)]
+    got = {r.doc_id for r in residue.residue(spark.createDataFrame(rows, "doc_id long, text string, source_url string")).collect()}
+    assert got == {41, *range(50, 62)}
+
+
+def test_placeholders_of_the_frame_of_a_site(spark):
+    rows = [(i, f"{say(i)}\nOwned by {{{{ site_owner }}}}", "https://a.example") for i in range(20)]
+    rows += [(100 + i, say(i) + ("\nOwned by {{ site_owner }}" if i < 5 else ""), "https://b.example") for i in range(20)]
+    rows += [(200 + i, "Owned by {{ site_owner }}", "https://c.example") for i in range(9)]
+    got = {r.doc_id for r in residue.residue(spark.createDataFrame(rows, "doc_id long, text string, source_url string")).collect()}
+    assert got == {*range(100, 105), *range(200, 209)}
+
+
+def test_lorem_with_made_up_words(spark):
+    every = ["Cursus zarem ipsum vexil fugit gravo semper verona posuere zarem cursus elit.", "Replace the lorem ipsum before release."]
+    df = spark.createDataFrame([(i, t, None) for i, t in enumerate(every)], "doc_id long, text string, source_url string")
+    assert [r.doc_id for r in residue.residue(df).collect()] == [0]
+
+
 def made(pattern, rng):
     """A random string that a parsed pattern matches."""
     groups = {}

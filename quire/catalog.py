@@ -7,11 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quire.core import tidying
 from quire.functions import text as T
 from quire.functions import vectors as V
 from quire.operators import changes, chunks, documents, graph, naming, search, tree
 from quire.plans.order import numbered
-from quire.sources import wiki
+from quire.sources import sheets, wiki
 from quire.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -78,17 +79,23 @@ def s6_entries(spark, d):
     return wiki.entries(_urls(spark, d), "url")
 
 
-@query("""SELECT trim(x) AS url FROM (SELECT unnest(string_split(coalesce(string_agg(url, ' , ' ORDER BY url), ''), ',')) AS x
-FROM (SELECT space_id, 'https://files.example/docx/' || obj_token AS url FROM wiki_nodes) GROUP BY space_id) WHERE trim(x) <> ''""")
+_LISTED = "concat_ws(' , ', concat('https://files.example/docx/', obj_token), '', concat('https://files.example/wiki/', node_token))"
+
+
+@query(f"SELECT trim(x) AS url FROM (SELECT unnest(string_split({_LISTED}, ',')) AS x FROM wiki_nodes) WHERE trim(x) <> ''")
 def s7_url_lists(spark, d):
-    u = table(spark, d, "wiki_nodes").select("space_id", F.concat(F.lit("https://files.example/docx/"), "obj_token").alias("url"))
-    return wiki.url_list(u.groupBy("space_id").agg(F.array_join(F.array_sort(F.collect_list("url")), " , ").alias("urls")), "urls")
+    return wiki.url_list(table(spark, d, "wiki_nodes").select(F.expr(_LISTED).alias("urls")), "urls")
+
+
+_LAST_TEXT = "SELECT doc_name, chunk_index, arg_max(id, (doc_timestamp, id)) AS id, arg_max(chunk_text, (doc_timestamp, id)) AS chunk_text FROM doc_chunks GROUP BY 1, 2"
 
 
-@query("SELECT c.row_id, c.chunk_id, d.id, d.chunk_text FROM chunks c JOIN doc_chunks d ON c.doc_name = d.doc_name AND c.chunk_index = d.chunk_index")
+@query(f"SELECT c.row_id, c.chunk_id, d.id, d.chunk_text FROM chunks c JOIN ({_LAST_TEXT}) d ON c.doc_name = d.doc_name AND c.chunk_index = d.chunk_index")
 def s15_load_chunks(spark, d):
+    """An index joined with the texts of its places, the last written of each place."""
     index = table(spark, d, "chunks").select("row_id", "doc_name", "chunk_index", "chunk_id")
-    return index.join(table(spark, d, "doc_chunks").select("id", "doc_name", "chunk_index", "chunk_text"), ["doc_name", "chunk_index"]).select("row_id", "chunk_id", "id", "chunk_text")
+    texts = changes.latest(table(spark, d, "doc_chunks").select("id", "doc_name", "chunk_index", "doc_timestamp", "chunk_text"), ["doc_name", "chunk_index"], [F.col("doc_timestamp"), F.col("id")])
+    return index.join(texts.select("id", "doc_name", "chunk_index", "chunk_text"), ["doc_name", "chunk_index"]).select("row_id", "chunk_id", "id", "chunk_text")
 
 
 @query("SELECT id, doc_name, chunk_index FROM doc_chunks WHERE regexp_matches(chunk_text, '[^\\s\\p{Z}\\x0b\\x1c-\\x1f\\x85]')")
@@ -164,8 +171,7 @@ def proj3_valid_files(spark, d):
 @query("""SELECT coalesce(lower(trim(doc_format)), '') AS kind, CASE WHEN lower(trim(doc_format)) IN ('word', 'docx') THEN 'word' WHEN lower(trim(doc_format)) = 'pdf' THEN 'pdf' WHEN lower(trim(doc_format)) = 'doc' THEN 'skip: convert first' ELSE 'skip: unsupported' END AS reader, count(*) AS n FROM doc_chunks GROUP BY 1, 2""")
 def proj4_dispatch(spark, d):
     kind = F.coalesce(F.lower(F.trim("doc_format")), F.lit(""))
-    reader = F.when(kind.isin("word", "docx"), "word").when(kind == "pdf", "pdf").when(kind == "doc", "skip: convert first").otherwise("skip: unsupported")
-    return table(spark, d, "doc_chunks").groupBy(kind.alias("kind"), reader.alias("reader")).agg(F.count("*").alias("n"))
+    return table(spark, d, "doc_chunks").groupBy(kind.alias("kind"), T.reader_of(kind).alias("reader")).agg(F.count("*").alias("n"))
 
 
 def _with_images(spark, d):
@@ -193,10 +199,13 @@ def proj6_metadata(spark, d):
     return m.select("id", "metadata.chunk_index", "metadata.char_count", F.col("metadata.image_count").cast("long").alias("image_count"))
 
 
-@query("SELECT doc_name, string_agg(chunk_text, chr(10) || chr(10) ORDER BY chunk_index, id) AS full_text FROM doc_chunks GROUP BY 1")
+_BLOCKS = "SELECT *, (row_number() OVER (PARTITION BY doc_name ORDER BY chunk_index, id) - 1) // 1000 AS block FROM doc_chunks"
+
+
+@query(f"SELECT doc_name, CAST(block AS BIGINT) AS volume, coalesce(string_agg(chunk_text, chr(10) || chr(10) ORDER BY chunk_index, id), '') AS full_text FROM ({_BLOCKS}) GROUP BY 1, 2")
 def proj11_document_dump(spark, d):
-    c = table(spark, d, "doc_chunks").select("doc_name", F.struct("chunk_index", "id").alias("at"), "chunk_text")
-    return documents.joined_in_order(c, "doc_name", "at", "chunk_text")
+    c = table(spark, d, "doc_chunks").select("doc_name", "chunk_index", "id", "chunk_text")
+    return documents.volumes(c, "doc_name", ["chunk_index", "id"], "chunk_text")
 
 
 _ELEMENTS = "SELECT doc_id, generate_subscripts(p, 1) - 1 AS elem_idx, unnest(p) AS content FROM (SELECT doc_id, string_split(text, chr(10) || chr(10)) AS p FROM documents WHERE text IS NOT NULL)"
@@ -241,11 +250,13 @@ def j2_pending_documents(spark, d):
     return changes.without(table(spark, d, "documents").select("doc_name").filter("doc_name is not null").distinct(), table(spark, d, "doc_chunks"), ["doc_name"])
 
 
-@query("""SELECT e.id, v.n AS same_name_vectors FROM lightrag_entities e LEFT JOIN (SELECT entity_name, count(*) AS n FROM lightrag_entities WHERE embedding IS NOT NULL GROUP BY 1) v USING (entity_name)""")
+@query("""SELECT e.id, len(v.vector) AS dims, round(CAST(v.vector[1] AS DOUBLE), 6) AS first_value FROM lightrag_entities e
+LEFT JOIN (SELECT entity_name, arg_max(embedding, id) AS vector FROM lightrag_entities WHERE embedding IS NOT NULL GROUP BY 1) v USING (entity_name)""")
 def j7_entity_embeddings(spark, d):
-    e = table(spark, d, "lightrag_entities")
-    v = e.filter("embedding is not null").groupBy("entity_name").agg(F.count("*").alias("same_name_vectors"))
-    return e.select("id", "entity_name").join(v, "entity_name", "left").select("id", "same_name_vectors")
+    """Every entity row with the last vector of its name."""
+    e = table(spark, d, "lightrag_entities").select("id", "entity_name", "embedding")
+    v = graph.name_vectors(e.filter("embedding is not null"), "id")
+    return graph.with_vectors(e.select("id", "entity_name"), v).select("id", F.when(F.col("embedding").isNotNull(), F.size("embedding")).alias("dims"), F.round(F.get("embedding", F.lit(0)).cast("double"), 6).alias("first_value"))
 
 
 @query("""SELECT doc_id FROM documents d WHERE doc_id IS NOT NULL AND doc_id NOT IN (SELECT doc_id FROM documents WHERE length(text) % 7 <> 0 AND doc_id IS NOT NULL) ORDER BY doc_id LIMIT 1""")
@@ -292,7 +303,8 @@ def c1_changed(spark, d):
     return changes.changed(e, _manifest(spark, d)).select("node_token", "token", "state")
 
 
-_HASHES = "SELECT doc_name, sha256(string_agg(chunk_text, '' ORDER BY chunk_index, id)) AS hash FROM doc_chunks GROUP BY 1"
+_HASHES = f"""SELECT doc_name, CASE WHEN max(block) = 0 THEN min(h) ELSE sha256(string_agg(h, '' ORDER BY block)) END AS hash FROM
+(SELECT doc_name, block, sha256(coalesce(string_agg(chunk_text, '' ORDER BY chunk_index, id), '')) AS h FROM ({_BLOCKS}) GROUP BY 1, 2) GROUP BY 1"""
 
 
 def _hashes(spark, d):
@@ -350,15 +362,29 @@ def a5_totals(spark, d):
     return table(spark, d, "doc_chunks").agg(F.count("*").alias("chunks"), F.count_if("has_images").alias("with_images"), F.count_distinct("doc_name").alias("documents"))
 
 
-@query("SELECT user_id, round(coalesce(avg(CASE WHEN value > 0 THEN value END), 12), 6) AS mean_size FROM events GROUP BY 1")
+_SPANS = r"list_transform(string_split(coalesce(chunk_text, ''), chr(10)), lambda x: list_transform(string_split(x, ' '), lambda w: {'text': w, 'font_size': CASE WHEN length(w) % 5 = 0 THEN 0.0 ELSE 8.0 + length(w) END}))"
+
+
+def _span_pages(spark, d):
+    word = lambda w: F.struct(w.alias("text"), F.when(F.length(w) % 5 == 0, 0.0).otherwise(8.0 + F.length(w)).alias("font_size"))
+    lines = F.transform(F.split(F.coalesce("chunk_text", F.lit("")), "\n"), lambda x: F.transform(F.split(x, " "), word))
+    return table(spark, d, "doc_chunks").select("id", "doc_name", documents.line_blocks(lines).alias("text_blocks"))
+
+
+@query(f"""SELECT doc_name, round(coalesce(avg(CASE WHEN z > 0 THEN z END), 12), 6) AS mean_size FROM
+(SELECT doc_name, unnest(list_transform({_SPANS}, lambda l: list_max(list_transform(l, lambda s: CAST(s.font_size AS DOUBLE))))) AS z FROM doc_chunks) GROUP BY 1""")
 def a6_mean_size(spark, d):
-    return table(spark, d, "events").groupBy("user_id").agg(F.round(F.coalesce(F.avg(F.when(F.col("value") > 0, F.col("value"))), F.lit(12.0)), 6).alias("mean_size"))
+    """Mean font size of a document's lines, those of size 0 left out."""
+    lines = _span_pages(spark, d).select("doc_name", F.explode("text_blocks.font_size").alias("z"))
+    return lines.groupBy("doc_name").agg(F.round(F.coalesce(F.avg(F.when(F.col("z") > 0, F.col("z"))), F.lit(12.0)), 6).alias("mean_size"))
 
 
-@query("SELECT doc_name, max(length(x)) AS longest FROM (SELECT doc_name, unnest(string_split(chunk_text, chr(10))) AS x FROM doc_chunks) GROUP BY 1")
-def a7_longest_line(spark, d):
-    lines = table(spark, d, "doc_chunks").select("doc_name", F.explode(F.split("chunk_text", "\n")).alias("x"))
-    return lines.groupBy("doc_name").agg(F.max(F.length("x")).alias("longest"))
+@query(f"""SELECT id, generate_subscripts(b, 1) - 1 AS line_no, unnest(list_transform(b, lambda l: list_max(list_transform(l, lambda s: CAST(s.font_size AS DOUBLE))))) AS font_size,
+unnest(list_transform(b, lambda l: array_to_string(list_transform(l, lambda s: s.text), ''))) AS text FROM (SELECT id, {_SPANS} AS b FROM doc_chunks)""")
+def a7_line_sizes(spark, d):
+    """Lines of spans with their text and largest span size."""
+    each = _span_pages(spark, d).select("id", F.posexplode("text_blocks").alias("line_no", "b"))
+    return each.select("id", F.col("line_no").cast("long").alias("line_no"), "b.font_size", "b.text")
 
 
 @query("""SELECT count(*) AS total, count_if(text IS NOT NULL AND text <> '') AS success, count_if(text = '') AS skipped, count_if(text IS NULL) AS failed FROM documents""")
@@ -385,10 +411,12 @@ def a11_size_stats(spark, d):
     )
 
 
-@query("SELECT space_id, count(*) AS sheets, count_if(coalesce(title, '') <> '') AS extracted FROM wiki_nodes WHERE obj_type = 'sheet' GROUP BY 1")
+@query("""SELECT space_id AS path, count(node_token) AS found, count_if(coalesce(title, '') <> '') AS extracted, bool_or(coalesce(title, '') <> '') AS success FROM wiki_nodes WHERE obj_type = 'sheet' GROUP BY 1""")
 def a12_sheet_counts(spark, d):
+    """Wiki sheets as if each space were a workbook and a titled node a sheet with fields."""
     s = table(spark, d, "wiki_nodes").filter("obj_type = 'sheet'")
-    return s.groupBy("space_id").agg(F.count("*").alias("sheets"), F.count_if(F.coalesce("title", F.lit("")) != "").alias("extracted"))
+    names = F.when(F.coalesce("title", F.lit("")) != "", F.array("title"))
+    return sheets.per_file(s.select(F.col("space_id").alias("path"), F.col("node_token").alias("sheet"), names.alias("names"), F.lit(None).cast("string").alias("error"))).drop("error")
 
 
 @query(f"SELECT state, count(*) AS n FROM ({ORACLES['c1_changed']}) GROUP BY 1")
@@ -399,41 +427,54 @@ def a13_export_summary(spark, d):
 # ---- windows
 
 
-_LOOK = f"""WITH e AS ({_ELEMENTS}) SELECT doc_id, elem_idx, array_to_string(list(CASE WHEN content <> '' THEN content END) OVER b, ' ') AS b, array_to_string(list(CASE WHEN content <> '' THEN content END) OVER a, ' ') AS a, contains(content, '图片：./images/') AS i FROM e
+# an image element's own text: what is left without references and the white space around
+_OWN = r"regexp_replace(regexp_replace(content, '图片：\./images/[^\s\p{Z}\x0b\x1c-\x1f\x85]+', '', 'g'), '^[\s\p{Z}\x0b\x1c-\x1f\x85]+|[\s\p{Z}\x0b\x1c-\x1f\x85]+$', '', 'g')"
+_LOOK = f"""WITH e AS ({_ELEMENTS}) SELECT doc_id, elem_idx, list(CASE WHEN content <> '' THEN content END) OVER b AS bs,
+CASE WHEN {_OWN} <> '' THEN [{_OWN}] ELSE [] END || coalesce(list_filter(list(CASE WHEN content <> '' THEN content END) OVER a, lambda x: x IS NOT NULL), []) AS xs, contains(content, '图片：./images/') AS i FROM e
 WINDOW b AS (PARTITION BY doc_id ORDER BY elem_idx ROWS BETWEEN 8 PRECEDING AND 1 PRECEDING), a AS (PARTITION BY doc_id ORDER BY elem_idx ROWS BETWEEN 1 FOLLOWING AND 5 FOLLOWING)"""
+_CONTEXTS = f"SELECT doc_id, elem_idx, coalesce(right(array_to_string(bs, ' '), 600), '') AS context_before, coalesce(left(array_to_string(xs, ' '), 600), '') AS context_after FROM ({_LOOK}) WHERE i"
 
 
-def _around(spark, d, own=None):
-    return documents.surroundings(documents.elements(table(spark, d, "documents")), "doc_id", own=own)
+def _around(spark, d):
+    return documents.surroundings(documents.elements(table(spark, d, "documents")), "doc_id").withColumn("elem_idx", F.col("elem_idx").cast("long"))
 
 
-def _around_with_own(spark, d):
-    """As the survey's W2 has it; the SQL of w2 and w3 leaves the own text out."""
-    return _around(spark, d, documents.own_text(F.col("content")))
+@query(_CONTEXTS)
+def w3_image_contexts(spark, d):
+    return _around(spark, d).select("doc_id", "elem_idx", "context_before", "context_after")
 
 
-@query(f"SELECT doc_id, elem_idx, coalesce(right(b, 600), '') AS context_before, coalesce(left(a, 600), '') AS context_after FROM ({_LOOK}) WHERE i")
-def w3_image_contexts(spark, d):
-    return _around(spark, d).select("doc_id", F.col("elem_idx").cast("long").alias("elem_idx"), "context_before", "context_after")
+_COUNTED = f"""e AS ({_ELEMENTS}), n AS (SELECT doc_id, elem_idx, content, regexp_matches(content, '^#+ ') OR (regexp_full_match(content, '[^。！？.!?\\n]{{1,30}}') AND NOT contains(content, '图片：')) AS h,
+sum(CASE WHEN content <> '' THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY elem_idx) AS k FROM e)"""
+_HEAD = "h AS is_heading, CASE WHEN h THEN greatest(length(regexp_extract(text, '^(#+)', 1)), 1) ELSE 0 END AS heading_level"
+_BEFORE = """SELECT i.doc_id, i.elem_idx, CAST(i.k - p.k - CASE WHEN i.content <> '' THEN 1 ELSE 0 END AS BIGINT) AS distance, p.content AS text, p.h FROM n i JOIN n p ON i.doc_id = p.doc_id AND p.elem_idx BETWEEN i.elem_idx - 8 AND i.elem_idx - 1 WHERE contains(i.content, '图片：./images/') AND p.content <> ''"""
+_AFTER = f"""SELECT doc_id, elem_idx, 0 AS distance, {_OWN} AS text, h FROM n WHERE contains(content, '图片：./images/') AND {_OWN} <> ''
+UNION ALL SELECT i.doc_id, i.elem_idx, CAST(p.k - i.k - 1 + CASE WHEN {_OWN.replace("content", "i.content")} <> '' THEN 1 ELSE 0 END AS BIGINT), p.content, p.h FROM n i JOIN n p ON i.doc_id = p.doc_id AND p.elem_idx BETWEEN i.elem_idx + 1 AND i.elem_idx + 5 WHERE contains(i.content, '图片：./images/') AND p.content <> ''"""
 
 
-@query(f"""WITH e AS ({_ELEMENTS}), n AS (SELECT doc_id, elem_idx, content, sum(CASE WHEN content <> '' THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY elem_idx) AS k FROM e)
-SELECT i.doc_id, i.elem_idx, CAST(i.k - p.k - CASE WHEN i.content <> '' THEN 1 ELSE 0 END AS BIGINT) AS distance, p.content AS text FROM n i JOIN n p ON i.doc_id = p.doc_id AND p.elem_idx BETWEEN i.elem_idx - 8 AND i.elem_idx - 1 WHERE contains(i.content, '图片：./images/') AND p.content <> ''""")
+def _segments(spark, d, side):
+    s = _around(spark, d).select("doc_id", "elem_idx", F.explode(side).alias("s"))
+    return s.select("doc_id", "elem_idx", F.col("s.distance").cast("long").alias("distance"), "s.text", "s.is_heading", F.col("s.heading_level").cast("long").alias("heading_level"))
+
+
+@query(f"WITH {_COUNTED} SELECT doc_id, elem_idx, distance, text, {_HEAD} FROM ({_BEFORE})")
 def w1_look_back(spark, d):
-    s = _around(spark, d).select("doc_id", F.col("elem_idx").cast("long").alias("elem_idx"), F.explode("segments_before").alias("s"))
-    return s.select("doc_id", "elem_idx", F.col("s.distance").cast("long").alias("distance"), "s.text")
+    return _segments(spark, d, "segments_before")
 
 
-@query(f"""WITH e AS ({_ELEMENTS}), n AS (SELECT doc_id, elem_idx, content, sum(CASE WHEN content <> '' THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY elem_idx) AS k FROM e)
-SELECT i.doc_id, i.elem_idx, CAST(p.k - i.k - 1 AS BIGINT) AS distance, p.content AS text FROM n i JOIN n p ON i.doc_id = p.doc_id AND p.elem_idx BETWEEN i.elem_idx + 1 AND i.elem_idx + 5 WHERE contains(i.content, '图片：./images/') AND p.content <> ''""")
+@query(f"WITH {_COUNTED} SELECT doc_id, elem_idx, distance, text, {_HEAD} FROM ({_AFTER})")
 def w2_look_ahead(spark, d):
-    s = _around(spark, d).select("doc_id", F.col("elem_idx").cast("long").alias("elem_idx"), F.explode("segments_after").alias("s"))
-    return s.select("doc_id", "elem_idx", F.col("s.distance").cast("long").alias("distance"), "s.text")
+    return _segments(spark, d, "segments_after")
 
 
-@query()
+_LINE = "CASE WHEN is_heading THEN '【标题' || heading_level || '级】' WHEN distance = 0 THEN '【紧邻】' WHEN distance <= 2 THEN '【距离' || distance || '段】' ELSE '【较远' || distance || '段】' END || ' ' || text"
+
+
+@query(f"""WITH {_COUNTED}, b AS (SELECT doc_id, elem_idx, '【图片前的内容】' || chr(10) || string_agg({_LINE}, chr(10) ORDER BY distance) AS t FROM (SELECT *, {_HEAD} FROM ({_BEFORE})) GROUP BY 1, 2),
+a AS (SELECT doc_id, elem_idx, '【图片后的内容】' || chr(10) || string_agg({_LINE}, chr(10) ORDER BY distance) AS t FROM (SELECT *, {_HEAD} FROM ({_AFTER})) GROUP BY 1, 2)
+SELECT i.doc_id, i.elem_idx, concat_ws(chr(10) || chr(10), b.t, a.t) AS context FROM n i LEFT JOIN b USING (doc_id, elem_idx) LEFT JOIN a USING (doc_id, elem_idx) WHERE contains(i.content, '图片：./images/')""")
 def t10_prompt_context(spark, d):
-    return _around_with_own(spark, d).select("doc_id", "elem_idx", documents.prompt_context(F.col("segments_before"), F.col("segments_after")).alias("context"))
+    return _around(spark, d).select("doc_id", "elem_idx", documents.prompt_context(F.col("segments_before"), F.col("segments_after")).alias("context"))
 
 
 def _pages(spark, d):
@@ -451,9 +492,21 @@ def w5_page_contexts(spark, d):
     return documents.page_contexts(_pages(spark, d)).select("doc_name", "page_num", F.round("mean_size", 6).alias("mean_size"), "context_before", "context_after")
 
 
-@query()
+_SEGMENT = "{'distance': %s, 'text': x.t, 'is_heading': x.s > 1.2 * m, 'heading_level': CASE WHEN x.s > 1.5 * m THEN 1 WHEN x.s > 1.2 * m THEN 2 ELSE 0 END}"
+
+
+@query(rf"""WITH p AS (SELECT doc_name, id AS page_num, len(regexp_extract_all(chunk_text, '图片：\./images/([^\s\p{{Z}}]+)', 1)) AS n, CASE WHEN length(chunk_text) % 4 = 0 THEN 20.0 ELSE 10.0 END AS z, string_split(chunk_text, chr(10) || chr(10)) AS c FROM doc_chunks WHERE doc_name IS NOT NULL AND chunk_text IS NOT NULL),
+b AS (SELECT doc_name, page_num, n, list_transform(c, lambda t, k: {{'t': t, 's': CAST(z + k - 1 AS DOUBLE)}}) AS b FROM p),
+q AS (SELECT *, lag(b) OVER w AS pb, lead(b) OVER w AS nb, sum(list_sum(list_transform(b, lambda x: x.s))) OVER d / sum(len(b)) OVER d AS m FROM b WINDOW w AS (PARTITION BY doc_name ORDER BY page_num), d AS (PARTITION BY doc_name)),
+f AS (SELECT doc_name, page_num, m, len(b) // 2 AS half, list_filter(b[:len(b) // 2], lambda x: x.t <> '') AS f, list_filter(b[len(b) // 2 + 1:], lambda x: x.t <> '') AS g, list_filter(coalesce(pb[-5:], []), lambda x: x.t <> '') AS pb, list_filter(coalesce(nb[:5], []), lambda x: x.t <> '') AS nb FROM q WHERE n > 0),
+r AS (SELECT doc_name, page_num, 'before' AS side, list_transform(pb, lambda x: {_SEGMENT % '3'}) || list_transform(f, lambda x, i: {_SEGMENT % 'greatest(half - i, 0)'}) AS segs FROM f
+UNION ALL SELECT doc_name, page_num, 'after', list_transform(g, lambda x, i: {_SEGMENT % '(i - 1)'}) || list_transform(nb, lambda x, i: {_SEGMENT % '(len(g) + 2 + i)'}) FROM f)
+SELECT doc_name, page_num, side, place, CAST(s.distance AS BIGINT) AS distance, s.text AS text, s.is_heading AS is_heading, CAST(s.heading_level AS BIGINT) AS heading_level FROM (SELECT doc_name, page_num, side, generate_subscripts(segs, 1) - 1 AS place, unnest(segs) AS s FROM r)""")
 def w4_page_segments(spark, d):
-    return documents.page_contexts(_pages(spark, d)).select("doc_name", "page_num", "segments_before", "segments_after")
+    p = documents.page_contexts(_pages(spark, d))
+    sides = [p.select("doc_name", "page_num", F.lit(n).alias("side"), F.posexplode(f"segments_{n}").alias("place", "s")) for n in ("before", "after")]
+    s = sides[0].unionByName(sides[1])
+    return s.select("doc_name", "page_num", "side", F.col("place").cast("long").alias("place"), F.col("s.distance").cast("long").alias("distance"), "s.text", "s.is_heading", F.col("s.heading_level").cast("long").alias("heading_level"))
 
 
 @query("SELECT id, row_number() OVER (PARTITION BY doc_name ORDER BY chunk_index, id) AS number FROM doc_chunks")
@@ -485,7 +538,9 @@ def t2_url_parts(spark, d):
     return p.select("url", "p.doc_type", "p.token")
 
 
-@query()
+@query("""WITH t AS (SELECT id, chunk_text AS t, length(chunk_text) AS n FROM doc_chunks),
+p AS (SELECT id, t, n, list_filter(list_filter(range(3, n // 2 + 1), lambda p: substr(t, p + 1, p) = left(t, p)), lambda p: starts_with(t, repeat(left(t, p), CAST(greatest(2, ceil(CAST(0.6 AS DOUBLE) * n / p)) AS BIGINT))))[1] AS p FROM t)
+SELECT id, CASE WHEN n < 10 OR p IS NULL THEN t ELSE left(t, p) || substr(t, p * CAST(list_max(list_filter(range(2, n // p + 1), lambda k: starts_with(t, repeat(left(t, p), CAST(k AS BIGINT))))) AS BIGINT) + 1) END AS text FROM p""")
 def t3_without_repeats(spark, d):
     return table(spark, d, "doc_chunks").select("id", T.without_repeats_udf("chunk_text").alias("text"))
 
@@ -495,11 +550,11 @@ def t4_chunks(spark, d):
     return chunks.chunked(table(spark, d, "documents"), "doc_id", "text")
 
 
-@query("""SELECT doc_id, t AS content, length(t) AS char_count, substr(md5(left(t, 100) || '0'), 1, 12) AS chunk_id FROM (SELECT doc_id, regexp_replace(text, '^[\\s\\p{Z}\\x0b\\x1c-\\x1f\\x85]+|[\\s\\p{Z}\\x0b\\x1c-\\x1f\\x85]+$', '', 'g') AS t FROM documents WHERE length(text) < 1000) WHERE t <> ''""")
-def t4_single_chunks(spark, d):
-    """Documents under the size limit, which are one chunk each."""
-    c = chunks.chunked(table(spark, d, "documents").filter(F.length("text") < 1000), "doc_id", "text")
-    return c.select("doc_id", "content", "char_count", "chunk_id")
+@query("SELECT id, length(chunk_text) AS chars, left(chunk_text, 100) AS head, right(chunk_text, 100) AS tail, substr(chunk_text, 11, 20) AS inside FROM doc_chunks")
+def t6_code_points(spark, d):
+    """Lengths and slices count code points."""
+    t = F.col("chunk_text")
+    return table(spark, d, "doc_chunks").select("id", F.length(t).alias("chars"), F.left(t, F.lit(100)).alias("head"), F.right(t, F.lit(100)).alias("tail"), F.substring(t, 11, 20).alias("inside"))
 
 
 @query()
@@ -520,9 +575,15 @@ def t7_image_references(spark, d):
     return _image_rows(spark, d).select("id", F.col("pos").cast("long").alias("pos"), "filename")
 
 
-@query()
+_KEYWORDS = "['" + "', '".join(tidying.KEYWORDS) + "']"
+
+
+@query(f"""WITH c AS ({_CONTEXTS}), w AS (SELECT *, regexp_replace(context_before || context_after, '[^一-龥a-zA-Z0-9]', '', 'g') AS w FROM c),
+k AS (SELECT *, list_filter(list_transform({_KEYWORDS}, lambda x: CASE WHEN contains(w, x) THEN substr(w, greatest(strpos(w, x) - 3, 1), strpos(w, x) + 17 - greatest(strpos(w, x) - 3, 1) + 1) END), lambda y: y IS NOT NULL AND length(y) BETWEEN 1 AND 18)[1] AS k FROM w)
+SELECT doc_id, elem_idx, CASE WHEN w = '' THEN '图片' ELSE coalesce(k, nullif(right(regexp_replace(context_before, '[{chr(92)}s{chr(92)}p{{Z}}{chr(92)}x0b{chr(92)}x1c-{chr(92)}x1f{chr(92)}x85]+', '', 'g'), 18), ''),
+nullif(left(regexp_replace(context_after, '[{chr(92)}s{chr(92)}p{{Z}}{chr(92)}x0b{chr(92)}x1c-{chr(92)}x1f{chr(92)}x85]+', '', 'g'), 18), ''), '图片') END AS name FROM k""")
 def t8_image_names(spark, d):
-    return _around_with_own(spark, d).select("doc_id", "elem_idx", T.image_name_udf(F.col("context_before"), F.col("context_after")).alias("name"))
+    return _around(spark, d).select("doc_id", "elem_idx", T.image_name(F.col("context_before"), F.col("context_after")).alias("name"))
 
 
 @query(f"""WITH e AS (SELECT doc_id, elem_idx, regexp_replace(content, '^[\\s\\p{{Z}}\\x0b\\x1c-\\x1f\\x85]+|[\\s\\p{{Z}}\\x0b\\x1c-\\x1f\\x85]+$', '', 'g') AS t, regexp_matches(content, '^#+ ') OR (regexp_full_match(content, '[^。！？.!?\\n]{{1,30}}') AND NOT contains(content, '图片：')) AS h FROM ({_ELEMENTS}))
@@ -536,23 +597,22 @@ def t16_norms(spark, d):
     return table(spark, d, "embeddings").select("vec_id", F.round(V.norm(F.col("embedding")), 4).alias("norm"))
 
 
-@query()
+@query("""SELECT vec_id, list_transform(embedding, lambda x: round(CAST(CAST(CAST(x AS DOUBLE) / greatest(n, 1e-12) AS FLOAT) AS DOUBLE), 5)) AS embedding FROM (SELECT *, sqrt(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE) * x))) AS n FROM embeddings)""")
 def t16_unit_vectors(spark, d):
-    return table(spark, d, "embeddings").select("vec_id", V.unit(F.col("embedding")).alias("embedding"))
+    return table(spark, d, "embeddings").select("vec_id", F.transform(V.unit(F.col("embedding")), lambda x: F.round(x.cast("double"), 5)).alias("embedding"))
 
 
-@query("SELECT id, CASE WHEN coalesce(images_json, '') = '' THEN '[]' ELSE images_json END AS images_json FROM doc_chunks")
+@query(r"""SELECT id, CASE WHEN len(r) > 0 THEN CAST(to_json(list_transform(r, lambda x: {'filename': x, 'path': './images/' || x})) AS VARCHAR) ELSE '[]' END AS images_json
+FROM (SELECT id, regexp_extract_all(chunk_text, '图片：\./images/([^\s\p{Z}]+)', 1) AS r FROM doc_chunks)""")
 def t18_images_json(spark, d):
-    return table(spark, d, "doc_chunks").select("id", F.coalesce(F.nullif("images_json", F.lit("")), F.lit("[]")).alias("images_json"))
+    images = F.transform(T.image_references("chunk_text"), lambda x: F.struct(x.alias("filename"), F.concat(F.lit("./images/"), x).alias("path")))
+    return table(spark, d, "doc_chunks").select("id", T.images_json(images).alias("images_json"))
 
 
 @query("""SELECT space_id, i AS field_index, n AS name, coalesce(d, '') AS description, CASE WHEN coalesce(t, '') = '' THEN 'string' ELSE t END AS data_type FROM (SELECT space_id, 0 AS i, name AS n, description AS d, NULL AS t FROM wiki_spaces UNION ALL SELECT space_id, 1, '', 'unnamed', 'int' FROM wiki_spaces UNION ALL SELECT space_id, 2, space_id, NULL, 'id' FROM wiki_spaces) WHERE n IS NOT NULL AND trim(n) <> ''""")
 def t19_sheet_fields(spark, d):
-    from quire.sources.sheets import fields
-
-    s = table(spark, d, "wiki_spaces")
-    rows = s.select("space_id", F.array("name", F.lit(""), "space_id").alias("names"), F.array("description", F.lit("unnamed"), F.lit(None)).alias("descriptions"), F.array(F.lit(None), F.lit("int"), F.lit("id")).alias("types"))
-    return fields(rows, "space_id", "names", "descriptions", "types")
+    rows = table(spark, d, "wiki_spaces").select("space_id", F.array("name", F.lit(""), "space_id").alias("names"), F.array("description", F.lit("unnamed"), F.lit(None)).alias("descriptions"), F.array(F.lit(None), F.lit("int"), F.lit("id")).alias("types"))
+    return sheets.fields(rows, "space_id", "names", "descriptions", "types")
 
 
 @query("SELECT id, split_part(coalesce(source_chunk_id, ''), '<SEP>', 1) AS source_doc FROM lightrag_entities")
@@ -571,11 +631,12 @@ def t23_weights(spark, d):
     return table(spark, d, "lightrag_relations").select("id", T.weight_or_one("weight").alias("weight"))
 
 
-@query()
+@query(f"""WITH p AS ({ORACLES["t10_prompt_context"]}), r AS ({ORACLES["t8_image_names"]}), a AS (SELECT doc_id, elem_idx, left(regexp_replace(string_split(trim(list_last(string_split(context, '】 ')), ' ' || chr(10)), chr(10))[1], '[^{chr(92)}p{{L}}{chr(92)}p{{N}}]', '', 'g'), 18) AS a FROM p)
+SELECT doc_id, elem_idx, CASE WHEN length(coalesce(a, '')) > 1 THEN a ELSE name END AS name FROM a JOIN r USING (doc_id, elem_idx)""")
 def t9_image_names_by_client(spark, d):
-    a = _around_with_own(spark, d)
+    a = _around(spark, d)
     a = a.withColumn("context", documents.prompt_context(F.col("segments_before"), F.col("segments_after"))).select("doc_id", "elem_idx", "context", "context_before", "context_after")
-    # a stand-in for a model: it answers with the start of the nearest segment
+    # a stand-in for a model: it answers with the start of the last segment
     return naming.named(a, lambda: lambda prompt: prompt.split("】 ")[-1]).select("doc_id", "elem_idx", "name")
 
 
@@ -603,17 +664,20 @@ def u2_replace_documents(spark, d):
     return changes.replaced(table(spark, d, "doc_chunks").select(F.col("id").alias("row_id"), "doc_name"), table(spark, d, "chunks").select("row_id", "doc_name"), "doc_name")
 
 
-@query("""SELECT entity_name, batch_timestamp, max(id) AS id FROM lightrag_entities GROUP BY 1, 2""")
+@query("""SELECT entity_name, arg_max(id, (CASE WHEN id % 3 = 0 THEN 1 ELSE 0 END, batch_timestamp, id)) AS id FROM lightrag_entities WHERE batch_timestamp IS NOT NULL GROUP BY 1""")
 def u4_upsert_entities(spark, d):
-    e = table(spark, d, "lightrag_entities").select("entity_name", "batch_timestamp", "id")
-    old, fresh = e.filter("id % 3 <> 0"), e.filter("id % 3 = 0")
-    both = changes.upserted(old, fresh, ["entity_name", "batch_timestamp"], [F.col("id")])
-    return both.groupBy("entity_name", "batch_timestamp").agg(F.max("id").alias("id"))
+    """Names come in several batches: a third of the rows, taken as fresh, win over the others, the last batch first."""
+    e = table(spark, d, "lightrag_entities").filter("batch_timestamp is not null").select("entity_name", "batch_timestamp", "id")
+    return changes.upserted(e.filter("id % 3 <> 0"), e.filter("id % 3 = 0"), ["entity_name"], [F.col("batch_timestamp"), F.col("id")]).select("entity_name", "id")
 
 
-@query("SELECT batch_timestamp, count(*) AS relations FROM lightrag_relations GROUP BY 1")
+@query("""WITH f AS (SELECT * FROM lightrag_relations WHERE id % 5 = 0 AND batch_timestamp IN (SELECT batch_timestamp FROM lightrag_relations ORDER BY batch_timestamp DESC LIMIT 1))
+SELECT id, batch_timestamp FROM f UNION ALL SELECT id, batch_timestamp FROM lightrag_relations WHERE batch_timestamp IS NULL OR batch_timestamp NOT IN (SELECT batch_timestamp FROM f)""")
 def u5_append_by_batch(spark, d):
-    return table(spark, d, "lightrag_relations").groupBy("batch_timestamp").agg(F.count("*").alias("relations"))
+    """The last batch is run again and comes out shorter; the others stay."""
+    r = table(spark, d, "lightrag_relations").select("id", "batch_timestamp")
+    last = r.agg(F.max("batch_timestamp").alias("batch_timestamp"))
+    return changes.appended(r, r.filter("id % 5 = 0").join(F.broadcast(last), "batch_timestamp", "left_semi"), "batch_timestamp")
 
 
 @query("SELECT row_id, doc_name, '' AS space_id, '' AS source_url FROM chunks UNION ALL SELECT id, doc_name, coalesce(space_id, ''), coalesce(source_url, '') FROM doc_chunks")
@@ -663,9 +727,10 @@ def q4_within_document(spark, d):
     return _scored(search.nearest(table(spark, d, "doc_chunks").select("id", "doc_name", "embedding"), _VECTOR, 5, where=F.col("doc_name") == "会议纪要"))
 
 
-@query("SELECT id, doc_name, image_count FROM doc_chunks WHERE has_images AND doc_name = '会议纪要'")
+@query("""SELECT id, k AS image_no, json_extract_string(images_json, '$[' || k || '].filename') AS filename, json_extract_string(images_json, '$[' || k || '].path') AS path
+FROM (SELECT id, images_json, unnest(range(0, CAST(json_array_length(images_json) AS BIGINT))) AS k FROM doc_chunks WHERE has_images AND doc_name = '会议纪要' AND json_valid(images_json))""")
 def q5_image_chunks(spark, d):
-    return table(spark, d, "doc_chunks").filter("has_images and doc_name = '会议纪要'").select("id", "doc_name", "image_count")
+    return search.images_of(table(spark, d, "doc_chunks"), "会议纪要").withColumn("image_no", F.col("image_no").cast("long"))
 
 
 @query("SELECT DISTINCT source_entity, target_entity, relation_type FROM lightrag_relations WHERE source_entity IS NOT NULL AND target_entity IS NOT NULL")
@@ -674,7 +739,7 @@ def q7_edges(spark, d):
 
 
 @query(rf"""SELECT count(*) AS chunks, count_if(coalesce(regexp_matches(regexp_replace(chunk_text, '[{_WS}]+$', ''), '[。！？.!?…।؟]["”’」』）)]*$'), false)) AS ends_in_mark, count_if(NOT coalesce(regexp_matches(chunk_text, '[^{_WS}]'), false)) AS blank,
-min(length(chunk_text)) AS least, max(length(chunk_text)) AS most, CAST(sum(length(chunk_text)) AS BIGINT) AS chars, count_if(coalesce(source_file, '') = '') AS no_source, count_if(coalesce(processed_at, '') = '') AS no_time, count_if(embedding IS NULL) AS no_vector FROM doc_chunks""")
+min(length(chunk_text)) AS least, max(length(chunk_text)) AS most, CAST(sum(length(chunk_text)) AS BIGINT) AS chars, quantile_cont(length(chunk_text), 0.25) AS quarter, quantile_cont(length(chunk_text), 0.5) AS half, quantile_cont(length(chunk_text), 0.75) AS three_quarters, quantile_cont(length(chunk_text), 0.95) AS most_but_a_twentieth, count_if(coalesce(source_file, '') = '') AS no_source, count_if(coalesce(processed_at, '') = '') AS no_time, count_if(embedding IS NULL) AS no_vector FROM doc_chunks""")
 def q9_quality(spark, d):
     return search.quality(table(spark, d, "doc_chunks"))
 
@@ -693,10 +758,12 @@ def o1_sorted_scan(spark, d):
 # ---- graph
 
 
-@query()
+@query(r"""WITH w AS (SELECT CAST(id AS VARCHAR) AS chunk_id, list_filter(string_split_regex(coalesce(chunk_text, ''), '[^\p{L}\p{N}_]+'), lambda x: regexp_full_match(x, '[A-Z][a-z]{4,}')) AS w FROM doc_chunks),
+u AS (SELECT chunk_id, list_filter(w, lambda x, i: list_position(w, x) = i) AS w FROM w)
+SELECT chunk_id, 'entity' AS kind, unnest(w) AS name, NULL AS target, 'UNKNOWN' AS type FROM u UNION ALL SELECT chunk_id, 'relation', w[i], w[i + 1], 'near' FROM (SELECT chunk_id, w, unnest(range(1, len(w))) AS i FROM u)""")
 def g1_extracted(spark, d):
     c = table(spark, d, "doc_chunks").select(F.col("id").cast("string").alias("chunk_id"), F.col("chunk_text").alias("content"))
-    return graph.extracted(c)
+    return graph.extracted(c).select("chunk_id", "kind", "name", "target", "type")
 
 
 @query("""WITH w AS (SELECT doc_id, list_filter(string_split_regex(lower(text), '[^\\p{L}\\p{M}\\p{N}]+'), lambda x: x <> '') AS w FROM documents WHERE text IS NOT NULL),
@@ -708,10 +775,16 @@ def g3_token_windows(spark, d):
     return t.select("doc_id", F.posexplode(w).alias("window_no", "w")).select("doc_id", "window_no", F.size("w").alias("tokens"), F.array_join("w", " ").alias("content"))
 
 
-@query("""WITH t AS (SELECT entity_name, coalesce(entity_type, 'UNKNOWN') AS t, count(*) AS n FROM lightrag_entities WHERE entity_name IS NOT NULL GROUP BY 1, 2)
-SELECT entity_name, arg_min(t, r) AS entity_type, CAST(sum(n) AS BIGINT) AS mentions FROM (SELECT *, row_number() OVER (PARTITION BY entity_name ORDER BY n DESC, t) AS r FROM t) GROUP BY 1""")
+@query(rf"""WITH t AS (SELECT entity_name, coalesce(entity_type, 'UNKNOWN') AS t, count(*) AS n FROM lightrag_entities WHERE entity_name IS NOT NULL GROUP BY 1, 2),
+s AS (SELECT entity_name, string_agg(description, '<SEP>' ORDER BY r) AS description FROM (SELECT entity_name, description, row_number() OVER (PARTITION BY entity_name ORDER BY description) AS r FROM (SELECT DISTINCT entity_name, description FROM lightrag_entities WHERE regexp_matches(description, '[^{_WS}]'))) WHERE r <= 100 GROUP BY 1)
+SELECT entity_name, entity_type, mentions, coalesce(description, '') AS description FROM (SELECT entity_name, arg_min(t, r) AS entity_type, CAST(sum(n) AS BIGINT) AS mentions FROM (SELECT *, row_number() OVER (PARTITION BY entity_name ORDER BY n DESC, t) AS r FROM t) GROUP BY 1) LEFT JOIN s USING (entity_name)""")
 def g4_entity_merge(spark, d):
-    return graph.merged_entities(table(spark, d, "lightrag_entities")).select("entity_name", "entity_type", "mentions")
+    return graph.merged_entities(table(spark, d, "lightrag_entities")).select("entity_name", "entity_type", "mentions", "description")
+
+
+@query(rf"SELECT DISTINCT entity_name, description FROM lightrag_entities WHERE entity_name IS NOT NULL AND regexp_matches(description, '[^{_WS}]')")
+def g4_descriptions(spark, d):
+    return graph.descriptions(table(spark, d, "lightrag_entities"))
 
 
 @query("""SELECT least(source_entity, target_entity) AS source_entity, greatest(source_entity, target_entity) AS target_entity, round(sum(CASE WHEN weight IS NULL OR isnan(weight) OR weight = 0 THEN 1.0 ELSE weight END), 4) AS weight, count(*) AS relations FROM lightrag_relations WHERE source_entity <> target_entity GROUP BY 1, 2""")
@@ -727,3 +800,9 @@ def k6_export_entities(spark, d):
 @query("SELECT source_entity, target_entity, relation_type, description, CASE WHEN weight IS NULL OR isnan(weight) OR weight = 0 THEN 1.0 ELSE weight END AS weight, source_doc, batch_timestamp FROM lightrag_relations")
 def k6_export_relations(spark, d):
     return graph.export_relations(table(spark, d, "lightrag_relations"))
+
+
+@query("SELECT chunk_id, doc_name, content, length(content) AS token_count, chunk_index AS chunk_order, doc_name AS full_doc_id, '20260101_000000' AS batch_timestamp FROM chunks")
+def k6_export_chunks(spark, d):
+    c = table(spark, d, "chunks").select("chunk_id", "doc_name", "content", F.col("chunk_index").alias("chunk_order"), F.lit("20260101_000000").alias("batch_timestamp"))
+    return graph.export_chunks(c)

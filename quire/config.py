@@ -27,7 +27,6 @@ class Options:
     graph_overlap: int = 200
     force_rebuild: bool = False
     legacy_doc_format: bool = False
-    export_graph: bool = False
 
     @classmethod
     def load(cls, path: str | os.PathLike | None = None, **more: Any) -> Options:

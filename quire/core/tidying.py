@@ -1,9 +1,7 @@
-"""Small text rules that need loops: repeats inside a text, and names for images."""
+"""Small text rules that need loops, and the fixed values of image names."""
 
 from __future__ import annotations
 
-import re
-
 # Words that make a good image name, its length, and the name of last resort.
 KEYWORDS = ("图", "表", "示意", "流程", "结构", "架构", "模型", "界面", "截图")
 NAME_LENGTH = 18
@@ -36,19 +34,3 @@ def without_repeats(text: str | None, least_text: int = 10, least_pattern: int =
         if times > 1 and times * p >= n * ratio:
             return text[:p] + text[times * p :]
     return text
-
-
-def image_name(before: str | None, after: str | None, length: int = NAME_LENGTH) -> str:
-    """A name for an image from the text around it: a window about a keyword near the start, else the end of the
-    text before, else the start of the text after."""
-    before, after = before or "", after or ""
-    words = re.sub(r"[^一-龥a-zA-Z0-9]", "", before + after)
-    if not words:
-        return NO_NAME
-    for word in KEYWORDS:
-        at = words.find(word)
-        window = words[max(0, at - 3) : at + length] if at >= 0 else ""
-        if window and len(window) <= length:
-            return window
-    near = re.sub(r"\s+", "", before)
-    return near[-length:] if near else re.sub(r"\s+", "", after)[:length] or NO_NAME

@@ -54,6 +54,12 @@ def address_parts(url: Column | str, host: str = r"[\w.\-]+") -> Column:
     return found
 
 
+def reader_of(kind: Column | str) -> Column:
+    """What reads a file of this format or suffix, in lower case; why it is skipped where nothing does."""
+    kind = F.regexp_replace(_col(kind), r"^\.", "")
+    return F.when(kind.isin("word", "docx"), "word").when(kind == "pdf", "pdf").when(kind == "doc", "skip: convert first").otherwise("skip: unsupported")
+
+
 def chunk_id(content: Column | str, index: Column | str) -> Column:
     """12 hexadecimal digits from the first 100 code points and the index."""
     return F.substring(F.md5(F.concat(F.left(_col(content), F.lit(100)), _col(index).cast("string"))), 1, 12)
@@ -115,12 +121,16 @@ def without_repeats_udf(text: Column | str) -> Column:
     return run(_col(text))
 
 
-def image_name_udf(before: Column, after: Column, length: int = tidying.NAME_LENGTH) -> Column:
-    @F.arrow_udf(StringType())
-    def run(b: pa.Array, a: pa.Array) -> pa.Array:
-        return pa.array([tidying.image_name(x, y, length) for x, y in zip(b.to_pylist(), a.to_pylist())], pa.string())
-
-    return run(before, after)
+def image_name(before: Column, after: Column, length: int = tidying.NAME_LENGTH) -> Column:
+    """A name for an image from the text around it: a window from three characters before a keyword, where it is no
+    longer than `length`; else the end of the text before, else the start of the text after, without white space."""
+    told = lambda c: F.coalesce(c, F.lit(""))
+    near = lambda c: F.regexp_replace(told(c), r"(?U)[\s\x1c-\x1f]+", "")
+    words = F.regexp_replace(F.concat(told(before), told(after)), "[^一-龥a-zA-Z0-9]", "")
+    windows = F.transform(F.array(*[F.instr(words, k) for k in tidying.KEYWORDS]), lambda at: F.when(at > 0, F.substring(words, F.greatest(at - 3, F.lit(1)), length + F.least(at - 1, F.lit(3)))))
+    by_word = F.get(F.filter(windows, lambda w: F.length(w).between(1, length)), 0)
+    ends = [F.nullif(F.right(near(before), F.lit(length)), F.lit("")), F.nullif(F.left(near(after), F.lit(length)), F.lit(""))]
+    return F.when(words == "", tidying.NO_NAME).otherwise(F.coalesce(by_word, *ends, F.lit(tidying.NO_NAME)))
 
 
 def title_name(title: Column | str, name: Column | str) -> Column:

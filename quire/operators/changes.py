@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quire.plans.order import in_blocks
+
 
 def change_state(known: Column, path_exists: Column, path: Column, old_time: Column, new_time: Column) -> Column:
     """new, missing (the recorded file is gone), changed or same.  Times compare as text, and only if both are set."""
@@ -35,10 +37,26 @@ def without(rows: DataFrame, other: DataFrame, on: list[str]) -> DataFrame:
     return rows.join(other.select(*on).distinct(), on, "left_anti")
 
 
-def document_hashes(chunks: DataFrame, doc: str, order: list[str], content: str) -> DataFrame:
-    """SHA-256 over a document's chunk texts in order, without anything between."""
-    parts = F.array_sort(F.collect_list(F.struct(*order, content)))
-    return chunks.groupBy(doc).agg(F.sha2(F.array_join(F.transform(parts, lambda s: s[content]), ""), 256).alias("hash"))
+#: Chunks that are hashed as one text at most.
+HASHED = 1000
+
+
+def document_hashes(chunks: DataFrame, doc: str, order: list[str], content: str, most: int = HASHED) -> DataFrame:
+    """SHA-256 over a document's chunk texts in order, without anything between.  A document of more than `most` chunks
+    has the digest of its blocks' digests, so that a name which many documents share is gathered in no task."""
+    c = in_blocks(chunks.select(doc, *order, content), doc, order, most)
+    joined = lambda rows, x: F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(rows)), lambda s: s[x]), ""), 256)
+    part = c.groupBy(doc, "block").agg(joined(F.struct(*order, content), content).alias("_d"))
+    whole = part.groupBy(doc).agg(joined(F.struct("block", "_d"), "_d").alias("_all"), F.max("block").alias("_last"), F.min("_d").alias("_one"))
+    return whole.select(doc, F.when(F.col("_last") == 0, F.col("_one")).otherwise(F.col("_all")).alias("hash"))
+
+
+def set_hashes(rows: DataFrame, key: str, content: str) -> DataFrame:
+    """(key, hash) of each key's contents in any order, copies counted: sums of the parts of their SHA-256 digests, which
+    tasks add up before anything moves."""
+    d = rows.select(key, F.sha2(F.coalesce(F.col(content), F.lit("")), 256).alias("_d"))
+    parts = [F.sum(F.conv(F.substring("_d", 1 + 16 * i, 15), 16, 10).cast("decimal(38,0)")) for i in range(4)]
+    return d.groupBy(key).agg(F.concat_ws("-", F.count("*").cast("string"), *[p.cast("string") for p in parts]).alias("hash"))
 
 
 def to_build(hashes: DataFrame, manifest: DataFrame, doc: str, force: bool = False) -> DataFrame:
@@ -84,3 +102,7 @@ def with_columns(rows: DataFrame, defaults: dict[str, Column]) -> DataFrame:
         {c: F.coalesce(F.col(c), v) for c, v in defaults.items() if c in rows.columns}
     )
 
+
+def appended(stored: DataFrame, fresh: DataFrame, batch: str) -> DataFrame:
+    """Both; a batch of `fresh` that was stored before, by a run that is done again, is not doubled."""
+    return replaced(stored, fresh, batch)

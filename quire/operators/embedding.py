@@ -64,19 +64,23 @@ def unit_rows(x: np.ndarray) -> np.ndarray:
     return x / np.clip(np.linalg.norm(x, axis=1, keepdims=True), 1e-12, None)
 
 
-def embedded(rows: DataFrame, text: str, load: Callable[[], Model] = hashing_model, batch: int = 16, out: str = "embedding") -> DataFrame:
-    """rows with unit vectors of their texts; null for null and blank ones, and for a batch that the model fails on."""
+def embedded(rows: DataFrame, text: str, load: Callable[[], Model] = hashing_model, batch: int = 16, out: str = "embedding", stop: bool = False) -> DataFrame:
+    """rows with unit vectors of their texts; null for null and blank ones, and for a batch that the model fails on.
+    stop: a task asks the model no more after a failure."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model = load()
+        model, broken = load(), False
         for b in batches:
             vectors: list[list[float] | None] = [None] * len(b)
             full = [i for i, t in enumerate(b[text]) if isinstance(t, str) and t.strip()]
             for k in range(0, len(full), batch):
                 some = full[k : k + batch]
+                if broken and stop:
+                    break
                 try:
                     found = unit_rows(model([b[text].iloc[i] for i in some]))
-                except Exception:  # noqa: BLE001, S112
+                except Exception:  # noqa: BLE001
+                    broken = True
                     continue
                 for i, v in zip(some, found):
                     vectors[i] = v.tolist()

@@ -50,7 +50,8 @@ def neighbours(relations: DataFrame, names: DataFrame) -> DataFrame:
 
 
 def quality(chunks: DataFrame, text: str = "chunk_text") -> DataFrame:
-    """One row: chunks, share that ends a sentence, length spread, and rows that lack metadata."""
+    """One row: chunks, how many end a sentence, spread and quartiles of their lengths (exact, from counts by length), and
+    rows that lack metadata."""
     c = F.col(text)
     ends = F.coalesce(T.strip(c).rlike(r"[。！？.!?…।؟][\"”’」』）)]*$"), F.lit(False))
     return chunks.agg(
@@ -60,12 +61,21 @@ def quality(chunks: DataFrame, text: str = "chunk_text") -> DataFrame:
         F.min(F.length(c)).alias("least"),
         F.max(F.length(c)).alias("most"),
         F.sum(F.length(c)).alias("chars"),
+        *[F.percentile(F.length(c), p).alias(n) for p, n in ((0.25, "quarter"), (0.5, "half"), (0.75, "three_quarters"), (0.95, "most_but_a_twentieth"))],
         F.count_if(F.coalesce(F.col("source_file"), F.lit("")) == "").alias("no_source"),
         F.count_if(F.coalesce(F.col("processed_at"), F.lit("")) == "").alias("no_time"),
         F.count_if(F.col("embedding").isNull()).alias("no_vector"),
     )
 
 
+def images_of(chunks: DataFrame, doc_name: str) -> DataFrame:
+    """(id, image_no, filename, path) of each image that the chunks of a document list; a list that cannot be read is
+    empty."""
+    listed = chunks.filter(F.col("has_images") & (F.col("doc_name") == doc_name))
+    images = F.from_json("images_json", "array<struct<filename:string,path:string>>")
+    return listed.select("id", F.posexplode(images).alias("image_no", "i")).select("id", "image_no", "i.filename", "i.path")
+
+
 class Client:
     """Searches over the published chunks of a store; each call sees the snapshot of that moment."""
 

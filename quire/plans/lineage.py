@@ -21,6 +21,10 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """The same rows, read back from the shared folder, so that a lost executor costs no recomputation."""
+    """The same rows, read back from the shared folder, so that a lost executor costs no recomputation.
+
+    The files go when nothing refers to them any more, in sessions started with
+    spark.cleaner.referenceTracking.cleanCheckpoints; else with the folder.
+    """
     shared_folder(df.sparkSession)
     return df.checkpoint()

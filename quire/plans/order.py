@@ -45,3 +45,14 @@ def beside(rows: DataFrame, key: str, order: list[str], value: Column, before: s
     j = _joined(mine, edge, key)
     j = j.withColumn(before, F.when(F.col("_first"), F.col("_eb")).otherwise(F.col("_b")))
     return j.withColumn(after, F.when(F.col("_last"), F.col("_ea")).otherwise(F.col("_a"))).drop("_v", "_b", "_a", "_first", "_last", "_eb", "_ea")
+
+
+def in_blocks(rows: DataFrame, key: str, order: list[str], most: int, out: str = "block") -> DataFrame:
+    """rows with the number, from 0, of their block of `most` consecutive rows within the key.  Rows of keys that have no
+    more are in block 0 and move nowhere; only the rows of larger keys are ordered."""
+    many = cut(rows.groupBy(key).agg(F.count("*").alias("_n")).filter(F.col("_n") > most).select(F.col(key).alias("_key"), F.lit(True).alias("_many")))
+    same = F.col(key).eqNullSafe(F.col("_key"))
+    few = rows.join(many, same, "left_anti").withColumn(out, F.lit(0).cast("long"))
+    large = rows.join(many, same, "left_semi")
+    block = F.floor((F.col("_no") - 1) / most).cast("long")
+    return few.unionByName(numbered(large, key, order, "_no").withColumn(out, block).drop("_no"))

@@ -12,8 +12,9 @@ from datetime import datetime, timezone
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
-from quire.sources.layout import atomic_json
+from quire.sources.layout import atomic_json, or_empty
 
 POINTER, WRITING, READY, LOCK = "current.json", ".writing", ".ready", ".lock"
 
@@ -38,6 +39,11 @@ class Store:
         at = self.current().get(name)
         return spark.read.parquet(str(self.root / at)) if at else None
 
+    def table(self, spark: SparkSession, name: str, schema: StructType) -> DataFrame:
+        """A published table, an empty one of this schema before the first publication."""
+        at = self.current().get(name)
+        return or_empty(spark, str(self.root / at), schema) if at else spark.createDataFrame([], schema)
+
     def publish(self, tables: dict[str, DataFrame], batch: str, partition_by: dict[str, list[str]] | None = None) -> None:
         """Write the tables as one snapshot and point to it; tables not given stay as published."""
         now = self.current()

@@ -11,4 +11,4 @@ def spread(rows: DataFrame) -> DataFrame:
     A file of one row group is read by one task however many splits it has.  An input of enough pieces stays as it is.
     """
     cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows._jdf.queryExecution().toRdd().getNumPartitions() < cores else rows
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows

@@ -23,6 +23,13 @@ def fields(rows: DataFrame, key: str, names: str, descriptions: str, types: str)
     return z.filter("name <> ''").select(key, "field_index", "name", "description", F.coalesce(F.nullif("t", F.lit("")), F.lit("string")).alias("data_type"))
 
 
+def per_file(sheets: DataFrame) -> DataFrame:
+    """(path, found, extracted, success, error) of each workbook from its sheets (path, sheet, names, error): those there
+    are, those with fields, and whether there is any of the latter."""
+    has = F.coalesce(F.size("names") > 0, F.lit(False))
+    return sheets.groupBy("path").agg(F.count("sheet").alias("found"), F.count_if(has).alias("extracted"), F.bool_or(has).alias("success"), F.max("error").alias("error"))
+
+
 def _column(reference: str) -> int:
     n = 0
     for c in reference:
@@ -59,16 +66,19 @@ def first_rows(data: bytes, rows: int = 3) -> Iterator[tuple[str, list[list[str]
             yield sheet.get("name"), out
 
 
-def read(spark: SparkSession, folder: str, pattern: str = "*.xlsx") -> DataFrame:
-    """(path, sheet, names, descriptions, types, error) of every sheet under a folder; a file that cannot be read gives
-    one row with its error, a sheet of fewer than three rows is left out."""
+def read(spark: SparkSession, folder: str, pattern: str = "*.xlsx", name_row: int = 0, description_row: int = 1, type_row: int = 2) -> DataFrame:
+    """(path, sheet, names, descriptions, types, error) of every sheet under a folder, from the rows of these numbers; a
+    file that cannot be read gives one row with its error, a sheet that ends before the last of the rows one without
+    names (see per_file)."""
+    at = (name_row, description_row, type_row)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             rows = []
             for path, content in zip(b["path"], b["content"]):
                 try:
-                    rows += [(path, name, *r, None) for name, r in first_rows(content) if r[2]]
+                    for name, r in first_rows(content, max(at) + 1):
+                        rows.append((path, name, *((r[i] for i in at) if r[max(at)] else (None, None, None)), None))
                 except Exception as e:  # noqa: BLE001
                     rows.append((path, None, None, None, None, repr(e)[:200]))
             yield pd.DataFrame(rows, columns=["path", "sheet", "names", "descriptions", "types", "error"])

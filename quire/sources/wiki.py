@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from quire.functions import text as T
+from quire.plans.retry import retried
 
 
 def exportable(nodes: DataFrame, types: dict[str, str] = T.EXPORTS) -> DataFrame:
@@ -60,10 +61,14 @@ def from_list(spark: SparkSession, documents: list[dict[str, str]]) -> DataFrame
     return p.select("p.token", "p.doc_type", F.coalesce("ext", "p.ext").alias("ext"), "name", "url")
 
 
-def paged(client: Callable[[str, str | None], tuple[list[tuple], str | None]], as_name: str = "wiki_pages") -> type[DataSource]:
+Listing = Callable[[str, str | None], tuple[list[tuple], str | None]]
+
+
+def paged(client: Listing, as_name: str = "wiki_pages", spaces: Callable[[str | None], tuple[list[str], str | None]] | None = None) -> type[DataSource]:
     """A paged listing as a data source to register; client(space, cursor) gives rows and the next cursor.
 
-    The option `spaces` lists the spaces; each is one partition and reads its pages until there is no cursor.
+    The option `spaces` names the spaces, else spaces(cursor) lists them, page by page.  Each space is one partition and
+    reads its pages until there is no cursor; a page is asked for again after errors of the connection.
     """
 
     class Pages(DataSource):
@@ -75,22 +80,30 @@ def paged(client: Callable[[str, str | None], tuple[list[tuple], str | None]], a
             return "node_token string, parent_node_token string, obj_token string, obj_type string, title string, space_id string, obj_edit_time string"
 
         def reader(self, schema) -> DataSourceReader:  # noqa: ANN001
-            return _PageReader(client, self.options["spaces"].split(","))
+            named = self.options.get("spaces")
+            if named is None and spaces is None:
+                raise ValueError("spaces must be named or listed")
+            return _PageReader(client, named.split(",") if named is not None else list(pages(spaces)))
 
     return Pages
 
 
+def pages(ask: Callable[[str | None], tuple[list, str | None]]) -> Iterator:
+    """All rows of a listing that is read cursor by cursor."""
+    cursor = None
+    while True:
+        rows, cursor = retried(lambda c=cursor: ask(c))
+        yield from rows
+        if not cursor:
+            return
+
+
 class _PageReader(DataSourceReader):
-    def __init__(self, client: Callable, spaces: list[str]) -> None:
+    def __init__(self, client: Listing, spaces: list[str]) -> None:
         self.client, self.spaces = client, spaces
 
     def partitions(self) -> list[InputPartition]:
         return [InputPartition(s) for s in self.spaces]
 
     def read(self, partition: InputPartition) -> Iterator[tuple]:
-        cursor = None
-        while True:
-            rows, cursor = self.client(partition.value, cursor)
-            yield from rows
-            if not cursor:
-                return
+        return pages(lambda cursor: self.client(partition.value, cursor))

@@ -110,7 +110,7 @@ def images(spark: SparkSession, folder: str) -> DataFrame:
                     names = media(data)
                 except Exception:  # noqa: BLE001  the reader of elements reports the file
                     names = []
-                rows += [(doc, i, n, f"img_{i:03d}_{os.path.basename(n)}") for i, n in enumerate(names)]
+                rows += [(doc, i, n, f"img_{i + 1:03d}_{os.path.basename(n)}") for i, n in enumerate(names)]
             yield pd.DataFrame(rows, columns=["doc_name", "image_no", "media", "original_filename"])
 
     found = files(spark, folder, "*.docx").select("doc_name", "content")
@@ -138,6 +138,6 @@ def write_images(spark: SparkSession, folder: str, names: DataFrame, out: str) -
                             rows.append((doc, n["smart_filename"], len(content)))
             yield pd.DataFrame(rows, columns=["doc_name", "smart_filename", "bytes"])
 
-    lists = names.groupBy("doc_name").agg(F.collect_list(F.struct("image_no", "smart_filename")).alias("names"))
+    lists = names.filter(~F.col("smart_filename").contains("/")).groupBy("doc_name").agg(F.collect_list(F.struct("image_no", "smart_filename")).alias("names"))
     f = files(spark, folder, "*.docx").select("doc_name", "content").join(lists, "doc_name")
     return f.mapInPandas(run, "doc_name string, smart_filename string, bytes long")

@@ -65,9 +65,41 @@ def test_repeats_against_plain_search(text):
     assert len(got) <= len(text)
 
 
-def test_image_names():
-    assert tidying.image_name(None, None) == "图片"
-    assert tidying.image_name("系统架构", "") == "系统架构"
-    assert tidying.image_name("", "，。!") == "图片"
-    assert tidying.image_name("流程 图", "") == "流程图"
-    assert tidying.image_name("没有词" * 10, "") == ("没有词" * 10)[-18:]
+def plain_split(text, size, overlap, separators):
+    """The rules of the splitter as they are told, piece by piece."""
+    if not text:
+        return []
+    sep, rest = separators[-1], []
+    for i, x in enumerate(separators):
+        if x == "" or x in text:
+            sep, rest = x, separators[i + 1 :]
+            break
+    found = list(text) if sep == "" else [y for y in [text.split(sep)[0], *[sep + y for y in text.split(sep)[1:]]] if y]
+    out, held = [], []
+
+    def merge():
+        current, total = [], 0
+        for y in held:
+            if total + len(y) > size and current:
+                out.append("".join(current).strip())
+                while total > overlap or (total + len(y) > size and total > 0):
+                    total -= len(current.pop(0))
+            current.append(y)
+            total += len(y)
+        out.append("".join(current).strip())
+        held.clear()
+
+    for y in found:
+        if len(y) < size:
+            held.append(y)
+            continue
+        merge()
+        out.extend(plain_split(y, size, overlap, rest) if rest else [y])
+    merge()
+    return [y for y in out if y]
+
+
+@settings(max_examples=300, deadline=None)
+@given(TEXT, st.integers(3, 30), st.integers(0, 6))
+def test_split_against_the_plain_rules(text, size, overlap):
+    assert splitting.split(text, size, min(overlap, size - 1)) == plain_split(text, size, min(overlap, size - 1), splitting.SEPARATORS)

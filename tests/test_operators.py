@@ -92,7 +92,7 @@ def test_addresses(spark):
 
 
 def test_look_around_counts_full_elements_only(spark):
-    e = [("d", i, t, t == "IMG", False, 0) for i, t in enumerate(["1", "2", "3", "4", "5", "", "7", "8", "9", "IMG", "a", "", "b", "c", "d", "e"])]
+    e = [("d", i, t, t == "图片：./images/i.png", False, 0) for i, t in enumerate(["1", "2", "3", "4", "5", "", "7", "8", "9", "图片：./images/i.png", "a", "", "b", "c", "d", "e"])]
     df = spark.createDataFrame(e, "doc string, elem_idx int, content string, has_image boolean, is_heading boolean, heading_level int")
     r = documents.surroundings(df, "doc").first()
     assert [(s.text, s.distance) for s in r.segments_before] == [("9", 0), ("8", 1), ("7", 2), ("5", 3), ("4", 4), ("3", 5), ("2", 6)]
@@ -103,7 +103,7 @@ def test_look_around_counts_full_elements_only(spark):
 def test_own_text_of_an_image_comes_first(spark):
     e = [("d", 0, "before"), ("d", 1, "See the plan 图片：./images/a.png"), ("d", 2, "next"), ("d", 3, "图片：./images/b.png"), ("d", 4, "last")]
     df = spark.createDataFrame([(*x, "图片：" in x[2], False, 0) for x in e], "doc string, elem_idx int, content string, has_image boolean, is_heading boolean, heading_level int")
-    r = documents.surroundings(df, "doc", own=documents.own_text(F.col("content"))).orderBy("elem_idx").collect()
+    r = documents.surroundings(df, "doc").orderBy("elem_idx").collect()
     assert [(s.text, s.distance) for s in r[0].segments_after][:2] == [("See the plan", 0), ("next", 1)]
     assert [(s.text, s.distance) for s in r[1].segments_after] == [("last", 0)] and r[0].context_after.startswith("See the plan next")
 
@@ -119,7 +119,7 @@ def test_page_contexts(spark):
     df = spark.createDataFrame([page(1, [], [10.0] * 7), page(2, ["i"], [10.0, 13.0, 16.0, 10.0]), page(3, [], [10.0])], "doc_name string, page_num int, text string, images array<string>, text_blocks array<struct<text:string,font_size:double>>")
     r = documents.page_contexts(df).first()
     assert [(s.text, s.distance) for s in r.segments_before] == [(f"p1b{i}", 3) for i in range(2, 7)] + [("p2b0", 1), ("p2b1", 0)]
-    assert [(s.text, s.distance, s.heading_level) for s in r.segments_after] == [("p2b2", 0, 2), ("p2b3", 1, 0), ("p3b0", 3, 0)]
+    assert [(s.text, s.distance, s.heading_level) for s in r.segments_after] == [("p2b2", 0, 2), ("p2b3", 1, 0), ("p3b0", 5, 0)]
     sizeless = df.withColumn("text_blocks", F.transform("text_blocks", lambda b: F.struct(b["text"].alias("text"), F.lit(0.0).alias("font_size"))))
     assert documents.page_contexts(sizeless).first().mean_size == 12.0
 
@@ -173,7 +173,88 @@ def test_extraction_keeps_going(spark):
 
     c = spark.createDataFrame([("1", "Alpha Vexing")], "chunk_id string, content string")
     assert graph.extracted(c, bad).first().error.startswith("RuntimeError")
-    assert [r.entity_name for r in graph.extracted(c).collect()] == ["Alpha", "Vexing"]
+    found = graph.extracted(c)
+    assert rows(graph.entities_of(found), "entity_name") == [("Alpha",), ("Vexing",)]
+    assert rows(graph.relations_of(found), "source_entity", "target_entity", "weight") == [("Alpha", "Vexing", 1.0)]
+    calls = []
+
+    def once(text):
+        calls.append(text)
+        if len(calls) == 1:
+            raise ConnectionError
+        return graph.capital_words(text)
+
+    assert graph.extracted(c, once).filter("kind = 'entity'").count() == 2
+
+
+def test_hubs_stay_rows_of_bounded_size(spark):
+    e = spark.range(300).select(F.lit("hub").alias("entity_name"), F.lit("t").alias("entity_type"), F.format_string("d%03d", "id").alias("description"), F.col("id").cast("string").alias("chunk_id"))
+    said = graph.merged_entities(e).first().description.split("<SEP>")
+    assert said == [f"d{i:03d}" for i in range(graph.JOINED)] and graph.descriptions(e).count() == 300
+    assert len(graph.source_ids(e, ["entity_name"]).first().source_chunk_id.split("<SEP>")) == graph.JOINED
+
+
+def test_hashes_and_volumes_of_large_keys(spark):
+    import hashlib
+
+    made = [("hot", i, f"t{i}") for i in range(25)] + [("one", 0, "x"), (None, 0, "n"), ("none", 0, None)]
+    df = spark.createDataFrame(made, "k string, i int, t string").repartition(5)
+    sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    parts = [sha("".join(f"t{i}" for i in range(s, min(s + 10, 25)))) for s in (0, 10, 20)]
+    assert {r.k: r.hash for r in changes.document_hashes(df, "k", ["i"], "t", 10).collect()} == {"hot": sha("".join(parts)), "one": sha("x"), None: sha("n"), "none": sha("")}
+    got = {(r.k, r.volume): r.full_text for r in documents.volumes(df, "k", ["i"], "t", 10, "-").collect()}
+    assert got["hot", 1] == "-".join(f"t{i}" for i in range(10, 20)) and got["hot", 2].endswith("t24") and got["none", 0] == "" and len(got) == 6
+
+
+def test_hashes_of_sets(spark):
+    of = lambda rows: {r.k: r.hash for r in changes.set_hashes(spark.createDataFrame(rows, "k string, t string"), "k", "t").collect()}
+    a = of([("a", "x"), ("a", "y"), ("b", None)])
+    assert a == of([("b", ""), ("a", "y"), ("a", "x")]) and a["a"] != of([("a", "x"), ("a", "y"), ("a", "y")])["a"] != of([("a", "x"), ("a", "z"), ("a", "y")])["a"]
+
+
+def test_batches_run_again_are_not_doubled(spark):
+    old = spark.createDataFrame([(1, "x"), (2, "y"), (3, None)], "id int, b string")
+    assert rows(changes.appended(old, spark.createDataFrame([(4, "y"), (5, "z")], "id int, b string"), "b"), "id") == [(1,), (3,), (4,), (5,)]
+
+
+def test_image_names(spark):
+    said = [(None, None), ("系统架构", ""), ("", "，。!"), ("流程 图", ""), ("没有词" * 10, ""), ("", "a b c"), ("甲" * 10 + "图" + "乙" * 20, ""), ("abc图" + "d" * 30, "表")]
+    df = spark.createDataFrame(said, "b string, a string").select(T.image_name(F.col("b"), F.col("a")).alias("n"))
+    assert [r.n for r in df.collect()] == ["图片", "系统架构", "图片", "流程图", ("没有词" * 10)[-18:], "abc", "乙" * 18, "ddd表"]
+
+
+def test_documents_are_assembled(spark):
+    e = [("d", 0, "Title", False, True, 1), ("d", 1, "See it", True, False, 0), ("d", 2, "", True, False, 0), ("d", 3, "End", False, False, 0), ("d", 4, "no file", True, False, 0), ("x", None, None, None, None, None)]
+    elems = spark.createDataFrame(e, "doc_name string, elem_idx int, content string, has_image boolean, is_heading boolean, heading_level int")
+    media = spark.createDataFrame([("d", 0, "word/media/a.png", "img_001_a.png"), ("d", 1, "word/media/b.jpeg", "img_002_b.jpeg"), ("y", 0, "z.png", "z")], "doc_name string, image_no int, media string, original_filename string")
+    texts, index = documents.assembled(elems, media, lambda: lambda context: "名字" if "See it" in context else "x")
+    named = {r.image_no: r for r in index.collect()}
+    assert [named[i].filename for i in (0, 1)] == ["名字_001.png", "名字_002.jpeg"] and named[0].context_before == "Title" and len(named) == 2
+    assert texts.first().text == "Title\n\nSee it\n\n图片：./images/名字_001.png\n\n图片：./images/名字_002.jpeg\n\nEnd\n\nno file"
+
+
+def test_lines_of_spans(spark):
+    df = spark.createDataFrame([([[("a", 9.0), ("b", 12.0)], [("c", 8.0)]],)], "l array<array<struct<text:string,font_size:double>>>")
+    assert [tuple(b) for b in df.select(documents.line_blocks(F.col("l")).alias("b")).first().b] == [("ab", 12.0), ("c", 8.0)]
+
+
+def test_lists_of_images(spark):
+    df = spark.createDataFrame([(1, "d", True, '[{"filename": "a"}, {"filename": "b", "path": "p"}]'), (2, "d", True, "broken"), (3, "d", False, "[]"), (4, "e", True, '[{"filename": "a"}]')], "id int, doc_name string, has_images boolean, images_json string")
+    assert rows(search.images_of(df, "d"), "id", "image_no", "filename", "path") == [(1, 0, "a", None), (1, 1, "b", "p")]
+
+
+def test_stop_after_a_failure(spark):
+    df = spark.createDataFrame([(i, "bad" if i == 1 else "good") for i in range(4)], "id int, t string").coalesce(1)
+
+    def load():
+        def model(texts):
+            if "bad" in texts:
+                raise ValueError
+            return np.ones((len(texts), 2))
+
+        return model
+
+    assert [r.embedding is None for r in embedding.embedded(df, "t", load, 1, stop=True).orderBy("id").collect()] == [False, True, True, True]
 
 
 def test_token_windows(spark):

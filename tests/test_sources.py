@@ -11,7 +11,7 @@ from quire import schemas
 from quire.config import Options
 from quire.operators import naming, search
 from quire.operators.embedding import hashing_model
-from quire.plans.pipeline import Pipeline, doctor, report
+from quire.plans.pipeline import Pipeline, doctor, report, results
 from quire.plans.retry import retried
 from quire.plans.snapshots import Store, lock
 from quire.sources import layout, sheets, wiki, word
@@ -54,7 +54,7 @@ def test_word_files(spark, tmp_path):
     got = word.read(spark, str(tmp_path)).orderBy("doc_name", "elem_idx").collect()
     assert [(r.elem_type, r.content, r.has_image, r.heading_level) for r in got if r.doc_name == "a_b"] == [("paragraph", "Title", False, 2), ("paragraph", "Some text", False, 0), ("paragraph", "", True, 0), ("table", "a | b", False, 0)]
     assert [bool(r.error) for r in got if r.doc_name == "bad"] == [True]
-    assert [r.original_filename for r in word.images(spark, str(tmp_path)).collect()] == ["img_000_image1.png"]
+    assert [r.original_filename for r in word.images(spark, str(tmp_path)).collect()] == ["img_001_image1.png"]
     names = spark.createDataFrame([("a_b", 0, "x.png"), ("a_b", 7, "y.png")], "doc_name string, image_no int, smart_filename string")
     assert [(r.smart_filename, r.bytes) for r in word.write_images(spark, str(tmp_path), names, str(tmp_path / "out")).collect()] == [("x.png", 1)]
     assert (tmp_path / "out/a_b/images/x.png").read_bytes() == b"x"
@@ -63,8 +63,11 @@ def test_word_files(spark, tmp_path):
 def test_sheets(spark, tmp_path):
     (tmp_path / "w.xlsx").write_bytes(xlsx())
     s = sheets.read(spark, str(tmp_path))
-    assert [r.sheet for r in s.collect()] == ["S"]
-    got = sheets.fields(s, "sheet", "names", "descriptions", "types").orderBy("field_index").collect()
+    (tmp_path / "bad.xlsx").write_bytes(b"no zip")
+    per = {r.path.rsplit("/", 1)[1]: r for r in sheets.per_file(sheets.read(spark, str(tmp_path))).collect()}
+    assert (per["w.xlsx"].found, per["w.xlsx"].extracted, per["w.xlsx"].success) == (2, 1, True) and not per["bad.xlsx"].success and per["bad.xlsx"].error
+    assert sheets.read(spark, str(tmp_path), "w.xlsx", 3, 1, 2).filter("names is not null").first().names == ["no"]
+    got = sheets.fields(s.filter("names is not null"), "sheet", "names", "descriptions", "types").orderBy("field_index").collect()
     assert [(r.field_index, r.name, r.description, r.data_type) for r in got] == [(0, "id", "key", "string"), (2, "name", "", "text")]
 
 
@@ -73,6 +76,9 @@ def test_paged_source(spark):
     spark.dataSource.register(wiki.paged(lambda space, cursor: pages[space, cursor]))
     nodes = spark.read.format("wiki_pages").option("spaces", "s1,s2").load()
     assert nodes.count() == 2
+    listed = {None: (["s1"], "more"), "more": (["s2"], None)}
+    spark.dataSource.register(wiki.paged(lambda space, cursor: pages[space, cursor], "all_pages", lambda cursor: listed[cursor]))
+    assert spark.read.format("all_pages").load().count() == 2
     titles = spark.createDataFrame([("n2", "found")], "node_token string, title string")
     assert sorted(r.name for r in wiki.discovered(nodes, titles).collect()) == ["found", "t"]
 
@@ -83,9 +89,13 @@ def test_list_of_documents(spark):
 
 
 def test_chunk_files_round_trip(spark, tmp_path):
-    c = spark.createDataFrame([("doc one", 0, "i0", 3, "a\nb"), ("doc one", 1, "i1", 1, " ")], "doc_name string, chunk_index int, chunk_id string, char_count int, content string")
-    layout.write_chunk_files(c, str(tmp_path))
-    assert [(r.doc_name, r.chunk_index, r.content) for r in layout.chunk_files(spark, str(tmp_path)).collect()] == [("doc one", 0, "a\nb")]
+    c = spark.createDataFrame([("doc one", 0, "i0", 3, "a\nb", [1.0]), ("doc one", 1, "i1", 1, " ", None), ("../out", 0, "i2", 1, "x", None)], "doc_name string, chunk_index int, chunk_id string, char_count int, content string, embedding array<float>")
+    layout.write_chunk_files(c, str(tmp_path / "r"))
+    assert sorted((r.doc_name, r.chunk_index, r.content) for r in layout.chunk_files(spark, str(tmp_path / "r")).collect()) == [("doc_one", 0, "a\nb"), ("out", 0, "x")]
+    index = json.loads((tmp_path / "r/doc_one/chunks_index.json").read_text())
+    assert index["total_chunks"] == 2 and [x["chunk_id"] for x in index["chunks"]] == ["i0", "i1"]
+    assert json.loads((tmp_path / "r/doc_one/embeddings/chunk_0000.json").read_text()) == {"chunk_index": 0, "embedding": [1.0]} and not (tmp_path / "r/doc_one/embeddings/chunk_0001.json").exists()
+    assert json.loads((tmp_path / "r/out/doc_info.json").read_text())["filename"] == "../out" and sorted(p.name for p in tmp_path.iterdir()) == ["r"]
 
 
 def test_bad_json_lines(spark, tmp_path):
@@ -140,7 +150,8 @@ def test_pipeline_is_incremental(spark, tmp_path):
     now = p.store.read(spark, "doc_chunks")
     assert sorted((r.doc_name, r.chunk_text) for r in now.collect()) == [("a", "short"), ("b", "Gamma")]
     assert p.store.read(spark, "entities") is not None
-    assert report(docs(spark, [("a", ""), ("c", "")]), now).first().asDict() == {"total": 2, "success": 1, "skipped": 1, "chunks": 1}
+    assert report(results(docs(spark, [("a", ""), ("c", "")]), now)).first().asDict() == {"total": 2, "success": 1, "skipped": 1, "failed": 0, "chunks": 1}
+    assert now.filter("has_images or image_count > 0 or images_json <> '[]'").count() == 0
     client = search.Client(spark, p.store, lambda texts: hashing_model()(texts))
     assert client.search("short", 1).first().doc_name == "a"
     assert client.search("short", 5, doc_name="b").count() == 1
@@ -175,10 +186,13 @@ def test_failed_vectors_are_made_up_for(spark, tmp_path):
     both = docs(spark, [("a", "good text"), ("b", "bad text"), ("c", None)])
     p.run(docs(spark, [("b", "fine")]), steps=["process", "store"])
     p.run(both, steps=["process", "store"], load=failing)
-    assert sorted(r.doc_name for r in p.store.read(spark, "manifest").collect()) == ["a", "c"]
+    held = lambda: sorted((r.doc_name, r.chunk_text, r.embedding is None) for r in p.store.read(spark, "doc_chunks").collect())
+    old = {r.doc_name: r.hash for r in p.store.read(spark, "manifest").collect()}
+    assert held() == [("a", "good text", False), ("b", "fine", False)]  # what failed keeps its old rows and hash
+    assert {r.doc_name: r.status for r in p.store.read(spark, "results").collect()} == {"a": "success", "b": "failed", "c": "skipped"}
     p.run(both, steps=["process", "store"])
-    now = p.store.read(spark, "doc_chunks")
-    assert now.count() == 2 and now.filter("embedding is null").count() == 0
+    assert held() == [("a", "good text", False), ("b", "bad text", False)]
+    assert {r.doc_name: r.hash for r in p.store.read(spark, "manifest").collect()}["b"] != old["b"]
     assert sorted(r.doc_name for r in p.store.read(spark, "manifest").collect()) == ["a", "b", "c"]
 
 
@@ -237,11 +251,116 @@ def test_retries():
         retried(lambda: (_ for _ in ()).throw(ConnectionError()), tries=2, sleep=pauses.append)
 
 
-def test_export_tasks(spark):
+class Exports:
+    """A service whose answers are told by the token."""
+
+    def __init__(self):
+        self.asked = {}
+
+    def create(self, token, doc_type, ext):
+        if token == "gone":
+            raise KeyError(token)
+        return token
+
+    def ask(self, task):
+        n = self.asked[task] = self.asked.get(task, 0) + 1
+        if task == "flaky" and n == 1:
+            raise ConnectionError
+        return {"slow": "pending", "refused": "failed"}.get(task, "done" if n > 2 else "pending")
+
+    def fetch(self, task):
+        return docx()
+
+
+def test_exports(spark, tmp_path):
     from quire.operators import exports
 
-    t = spark.createDataFrame([(n, s, c, k) for n, s, c, k in [("a", "created", 90.0, 0), ("b", "created", 90.0, 0), ("c", "created", 0.0, 0), ("d", "ready", 0.0, 2), ("e", "ready", 0.0, 0), ("f", "downloaded", 0.0, 0), ("g", "created", 90.0, 0)]], "token string, status string, created_at double, tries int")
-    a = spark.createDataFrame([("a", "done"), ("b", "failed"), ("d", "broken"), ("e", "downloaded"), ("f", "failed"), ("x", "done")], "token string, answer string")
-    got = {r.token: (r.status, r.tries) for r in exports.advanced(t, a, 300.0).collect()}
-    assert got == {"a": ("ready", 0), "b": ("failed", 0), "c": ("timed out", 0), "d": ("failed", 3), "e": ("downloaded", 0), "f": ("downloaded", 0), "g": ("created", 0)}
-    assert exports.summary(exports.advanced(t, a, 300.0)).count() == 5
+    e = spark.createDataFrame([(t, "docx", "docx", t.title(), "u", "s", "1") for t in ("fine", "flaky", "gone", "refused", "slow")], "token string, doc_type string, ext string, name string, url string, space_id string, obj_edit_time string")
+    quick = lambda *a, **k: None
+    got = {r.token: r.status for r in exports.exported(e, Exports, str(tmp_path / "in"), sleep=quick).collect()}
+    assert got == {"fine": "downloaded", "flaky": "downloaded", "gone": "failed", "refused": "failed", "slow": "timed out"}
+    assert sorted(p.name for p in (tmp_path / "in").iterdir()) == ["Fine.docx", "Flaky.docx"]
+
+
+def test_files_to_tables(spark, tmp_path, monkeypatch):
+    """Entries are exported, parsed, chunked with their images, stored and put into the graph; a second run does nothing."""
+    from quire.operators import exports
+
+    monkeypatch.setattr(exports, "FIRST", 0.0)
+    real = exports.exported
+    monkeypatch.setattr(exports, "exported", lambda e, load, folder: real(e, load, folder, first=0.0, pause=0.0, sleep=lambda s: None))
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "old.doc").write_bytes(b"x")
+    (folder / "broken.docx").write_bytes(b"x")
+    e = spark.createDataFrame([(t, "docx", "docx", t, "u", "s", "1") for t in ("fine", "gone")], "token string, doc_type string, ext string, name string, url string, space_id string, obj_edit_time string")
+    p = Pipeline(spark, str(tmp_path / "s"))
+    p.run(steps=["download", "process", "store", "graph"], entries=e, export=Exports, folder=str(folder))
+    rows = {r.doc_name: r for r in p.store.read(spark, "doc_chunks").collect()}
+    assert set(rows) == {"fine"} and rows["fine"].has_images and rows["fine"].image_count == 1
+    assert json.loads(rows["fine"].images_json)[0]["original_filename"] == "img_001_image1.png"
+    assert {r.doc_name: r.status for r in p.store.read(spark, "results").collect()} == {"fine": "success", "old": "failed", "broken": "failed"}
+    assert [r.token for r in p.store.read(spark, "downloads").collect()] == ["fine"]
+    assert {"entities", "relations", "graph_chunks", "graph_manifest"} <= set(p.store.current())
+    before = p.store.read(spark, "doc_chunks").first().doc_timestamp
+    calls = []
+
+    def extractor(text):
+        calls.append(text)
+        raise RuntimeError("not to be asked")
+
+    p.run(steps=["download", "process", "store", "graph"], entries=e.filter("token = 'fine'"), export=Exports, folder=str(folder), extractor=extractor)
+    assert p.store.read(spark, "doc_chunks").first().doc_timestamp == before
+    assert p.store.read(spark, "graph_found").filter("kind = 'error'").count() == 0
+    p.write_files(str(tmp_path / "files"))
+    assert (tmp_path / "files/fine/chunks_index.json").exists()
+    p.run(docs(spark, [("new", "Words")]), steps=["process", "store"], reset=True)
+    assert [r.doc_name for r in p.store.read(spark, "doc_chunks").collect()] == ["new"]
+
+
+def test_graph_of_changed_documents_only(spark, tmp_path):
+    p = Pipeline(spark, str(tmp_path / "s"), Options(graph_window=5, graph_overlap=1))
+    p.run(docs(spark, [("a", "Alpha meets Bravo in Delta today again"), ("b", "Charlie alone"), ("c", "Golfer gone")]))
+    names = lambda: {r.entity_name for r in p.store.read(spark, "entities").collect()}
+    pairs = lambda: {(r.source_entity, r.target_entity) for r in p.store.read(spark, "relations").collect()}
+    assert names() == {"Alpha", "Bravo", "Delta", "Charlie", "Golfer"} and ("Alpha", "Bravo") in pairs()
+    assert p.store.read(spark, "graph_chunks").filter("doc_name = 'a'").count() == 2
+    assert p.store.read(spark, "entities").filter("embedding is null or source_doc = ''").count() == 0
+
+    def failing(text):
+        from quire.operators import graph
+
+        if "Echoes" in text:
+            raise RuntimeError("no")
+        return graph.capital_words(text)
+
+    p.run(docs(spark, [("a", "Foxtrot meets Bravo"), ("b", "Echoes here"), ("c", None)]), extractor=failing)
+    assert names() == {"Foxtrot", "Bravo"} and pairs() == {("Foxtrot", "Bravo")}
+    assert sorted(r.doc_name for r in p.store.read(spark, "graph_manifest").collect()) == ["a", "b"]
+    first = {r.doc_name: r.hash for r in p.store.read(spark, "graph_manifest").collect()}
+    p.run(steps=["graph"])
+    assert names() == {"Foxtrot", "Bravo", "Echoes"}
+    assert {r.doc_name: r.hash for r in p.store.read(spark, "graph_manifest").collect()}["b"] != first["b"]
+
+
+def test_command_line(spark, tmp_path, capsys):
+    from quire.__main__ import main
+
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in/a.docx").write_bytes(docx())
+    (tmp_path / "o.yml").write_text("chunk_size: 50\nchunk_overlap: 0\n")
+    assert main(["daemon", "--root", str(tmp_path / "s"), "--folder", str(tmp_path / "in"), "--config", str(tmp_path / "o.yml"), "--every", "0", "--times", "2", "--tries", "1"]) == 0
+    assert Store(str(tmp_path / "s")).read(spark, "doc_chunks").count() == 2  # by the size of the file
+    assert main(["run", "--root", str(tmp_path / "s"), "--folder", str(tmp_path / "none"), "--tries", "1"]) == 2
+    assert main(["doctor", "--root", str(tmp_path / "s")]) == 0 and main(["sweep", "--root", str(tmp_path / "s")]) == 0
+    assert main(["list", "--urls", "https://h.example/docx/abc, nothing"]) == 0 and "abc" in capsys.readouterr().out
+
+
+def test_schemas_of_published_tables(spark, tmp_path):
+    p = Pipeline(spark, str(tmp_path / "s"))
+    p.run(docs(spark, [("a", "Alpha Bravo")]))
+    for name, entity, later in (("doc_chunks", "doc_chunks", {"id", "created_at", "updated_at"}), ("entities", "entity", {"created_at"}), ("relations", "relation", {"created_at"}), ("graph_chunks", "graph_chunk", {"created_at"})):
+        have = {f.name: f.dataType for f in p.store.read(spark, name).schema}
+        want = {f.name: f.dataType for f in schemas.schema(entity) if f.name not in later}
+        assert have == want, name
+    assert p.store.table(spark, "nothing", schemas.schema("entity")).count() == 0

@@ -247,11 +247,50 @@ def test_common_suffixes_are_refined(spark, monkeypatch):
     r = random.Random(1)
     given = ["".join(r.choice("bdfgklmnprstvz") + r.choice("aeiou") for _ in range(3)).title() for _ in range(120)]
     rows = [(f"{g} Sadonujo",) for g in given] + [(f"{g[:2]}{g[3]}{g[2]}{g[4:]} Sadonujo",) for g in given[:20]]
-    got = {(x.name_a, x.name_b) for x in names.same_pairs(spark.createDataFrame(rows, "entity_name string"), type_col=None).collect()}
+    got = {(x.name_a, x.name_b) for x in names.same_pairs(spark.createDataFrame(rows, "entity_name string")).collect()}
     made = {tuple(sorted((f"{g} Sadonujo", f"{g[:2]}{g[3]}{g[2]}{g[4:]} Sadonujo"))) for g in given[:20]}
     assert len(made - got) == 0
 
 
+def test_nothing_is_left_out_of_common_blocks(spark, monkeypatch):
+    r = random.Random(2)
+    given = sorted({"".join(r.choice("bdfgklmnprstvz") + r.choice("aeiou") for _ in range(4)) for _ in range(150)})
+    typos = [f"{g[:3]}{g[4]}{g[3]}{g[5:]}" for g in given[::3]]
+    rows = [(f"{g.title()} Sadonujo",) for g in given + typos]
+    df = spark.createDataFrame(rows, "entity_name string")
+    want = {(x.name_a, x.name_b) for x in names.same_pairs(df).collect()}
+    monkeypatch.setattr(names, "COMMON", 2)
+    monkeypatch.setattr(names, "BLOCK", 5)
+    got = {(x.name_a, x.name_b) for x in names.same_pairs(df).collect()}
+    assert got == want and len(want) >= 40
+
+
+def test_digits_and_types_leave_no_name_out(spark):
+    rows = [("3M Ltd", "metric"), ("3M", "system"), ("3N Ltd", "metric"), ("Acme Widgets Ltd", "concept"), ("ACME Widgets", None), ("Muhammad Alizade", "event"), ("Mohammed Alizade", None), ("node 17-A", "system"), ("node 17-B", "system"), ("孙凌元", "人物"), ("孙凌元经理", None), ("孙凌云", None)]
+    got = {(x.name_a, x.name_b) for x in names.same_pairs(spark.createDataFrame(rows, "entity_name string, entity_type string")).collect()}
+    assert got == {("3M", "3M Ltd"), ("ACME Widgets", "Acme Widgets Ltd"), ("Mohammed Alizade", "Muhammad Alizade"), ("孙凌元", "孙凌元经理")}
+
+
+def test_initials_meet_similar_surnames(spark):
+    rows = [("Agnes Sadonujo",), ("A. Sadonjo",), ("Vera Lonemil",), ("Viktor Lonemil",), ("V. Lonemil",)]
+    got = {(x.name_a, x.name_b) for x in names.same_pairs(spark.createDataFrame(rows, "entity_name string")).collect()}
+    assert got == {("A. Sadonjo", "Agnes Sadonujo")}
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_subsequences(seed):
+    r = random.Random(seed)
+    for _ in range(200):
+        a, b = ("".join(r.choice("abcd") for _ in range(r.randrange(0, 12))) for _ in "ab")
+        row = [0] * (len(b) + 1)
+        for x in a:
+            last = 0
+            for j, y in enumerate(b, 1):
+                here, row[j] = row[j], last + 1 if x == y else max(row[j], row[j - 1])
+                last = here
+        assert names.lcs(a, b) == row[-1]
+
+
 # ---- mixing
 
 

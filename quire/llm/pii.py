@@ -1,9 +1,10 @@
 """Personal information in free text: e-mail addresses, phone numbers, identity numbers, addresses, names.
 
-Weak supervision.  Patterns, word lists and context cues propose spans and vote for or against each (labelers may
-abstain).  Expectation-maximisation over the counts of all vote patterns in the corpus estimates how reliable each
-labeler is and how likely each pattern is true.  A logistic span classifier on shape and context features, fitted on
-a bounded sample of candidates with those likelihoods as soft labels, takes the final decision.
+Weak supervision.  Patterns propose spans, and patterns, word lists, context cues and the frequency of the span's words
+over all texts vote for or against each (labelers may abstain); no cue and no list decides alone.
+Expectation-maximisation over the counts of all vote patterns in the corpus estimates how reliable each labeler is and
+how likely each pattern is true.  A logistic span classifier on shape and context features, fitted on a bounded sample of
+candidates with those likelihoods as soft labels, takes the final decision.
 """
 
 from __future__ import annotations
@@ -23,17 +24,21 @@ from quire.plans.lineage import cut
 TYPES = ("EMAIL", "PHONE", "ID_NUMBER", "ADDRESS", "NAME")
 #: Candidates, first by a hash, that the classifier is fitted on.
 FIT_ROWS = 20_000
+#: Rows, and share of all rows, from which on the same words are frequent.
+FREQUENT, FREQUENT_SHARE = 60, 0.0003
+#: Frequent words up to which they may be broadcast.
+SMALL = 100_000
 #: Buckets of hashed features.
 WIDTH = 1 << 14
-#: Labelers in the order of the votes; each says +1, 0 or -1.
-LABELERS = ("shape", "list", "left_cue", "right_cue", "against", "company")
+#: Labelers in the order of the votes; each says +1, 0 or -1.  shape: the pattern is no open one, such as two capital words.
+LABELERS = ("shape", "list", "left_cue", "right_cue", "against", "company", "frequent")
 
 # Word lists of the labelers.
 GIVEN = frozenset(
     "Adele Agnes Alexander Alice Alma Amelia Andrea Andrew Anna Anthony Arthur Barbara Basil Bella Benjamin Boris Bruno Carla Carlos Caroline Celia Charles Charlotte "
     "Christopher Clara Claudia Daniel Dario David Derek Diana Dmitri Edith Edward Elena Elizabeth Elsa Emil Emily Emma Eva Fabian Felix Fiona Flora "
     "Frances Frank Frederick Gabriel George Gerald Gideon Grace Greta Gustav Hanna Hannah Harold Helen Henrietta Henry Hugo Ida Igor Ingrid Irene "
-    "Isaac Isabella Ivan Jack Jacob James Jane Jennifer Jessica Joan John Jonas Jonathan Jose Joseph Juan Judith Julia Julian Karl Kasper Katherine Kenneth Klara "
+    "Isaac Isabella Ivan Jana Jack Jacob James Jane Jennifer Jessica Joan John Jonas Jonathan Jose Joseph Juan Judith Julia Julian Karl Kasper Katherine Kenneth Klara "
     "Konrad Laura Lawrence Lena Leo Leon Linda Louis Louise Lucas Lucia Lydia Magnus Maria Margaret Marie Mark Marta Martin Mary Matthew Max Michael Milan Miriam Monica Nadia "
     "Natalie Nicholas Nils Nina Noah Nora Olga Oliver Oscar Otto Pablo Patricia Patrick Paul Paula Pavel Peter Petra Philip Quinn Rachel Rafael Ralph "
     "Rebecca Richard Robert Rosa Ruth Samuel Sandra Sara Sarah Silvia Simon Sofia Sophie Stefan Stephen Susan Theodore Theresa Thomas Tilda Tobias Ulrich Una "
@@ -47,13 +52,14 @@ SURNAMES = (
 )
 DOUBLE_SURNAMES = "欧阳|司马|上官|诸葛|东方|皇甫|尉迟|公孙|慕容|司徒|令狐|夏侯"
 ROLE_ENDS = "组部员处科队室局司店厂院校库群团会网台"
+NO_NAME_ENDS = "说是有在去来的了将会应需要可"
 TITLE = r"(?:Mr|Mrs|Ms|Mx|Miss|Dr|Prof|Eng|Herrn?|Frau|Sr|Sra|Srta|Dra|Don|Doña|Mme|Madame|Monsieur|M)"
 STREET = "Street|St|Road|Rd|Lane|Ln|Avenue|Ave|Close|Drive|Dr|Boulevard|Blvd|Way|Court|Ct|Place|Pl|Square|Sq|Terrace|Crescent|Gardens|Grove|Row|Hill|Mews|Walk|Quay|Parade"
 COMPANY = "Ltd|Inc|LLC|GmbH|Corp|Co|AG|SA|Group|Limited|PLC|KG"
 NOT_A_NAME = frozenset(
-    "The This That These Those When Since While After Before Because If Though Project Ticket Release Version Meeting Room Level Part Order Default Download Use See "
+    "Yesterday Today Tomorrow Thanks Then Now Here There Our My Your His Her Their We They You He She It And But Or For From With To Also Only Both All Each Every Some Many Most The This That These Those When Since While After Before Because If Though Project Ticket Release Version Meeting Room Level Part Order Default Download Use See "
     "Monday Tuesday Wednesday Thursday Friday Saturday Sunday January February March April May June July August September October November December "
-    "Mr Mrs Ms Dr Prof Frau Herr Sra Sr New North South East West Port Lower Upper Old Saint Der Die Das Den Dem Ein Eine Im Am Zum Zur Siehe Wer El La Los Las Un Una Según Llame Escriba "
+    "Mr Mrs Ms Dr Prof Frau Herr Sra Sr New North South East West Port Lower Upper Old Saint Sie Bitte Frag Fragen Der Die Das Den Dem Ein Eine Im Am Zum Zur Siehe Wer El La Los Las Un Una Según Llame Escriba "
     "Ausweis Auftrag Vorgang Bericht Datei Acceptance Access Change Known Process Interface Home Help Contact Please Call Questions Ship Stop Who Can Is Are Several Acme Mean On In At By Of".split()
 ) - {"Una"}
 
@@ -120,20 +126,34 @@ _ADDRESS_RIGHT = re.compile(r"^(?:即可|，每周|，收件人|です|に送|,\
 _W = r"[A-ZÀ-ÖØ-Þ](?:[a-zß-öø-ÿ']+|[A-ZÀ-ÖØ-Þ]+)"
 _LATIN = re.compile(rf"(?<![\w@./\-+])(?:[A-Z]\.(?:\s?[A-Z]\.)*|[A-ZÀ-ÖØ-Þ][a-zß-öø-ÿ]+(?:-[A-ZÀ-ÖØ-Þ][a-zß-öø-ÿ]+)?|[A-Z]{{2,}}(?=\s[A-Z]))(?:\s[A-Z]\.)*\s(?:(?:de|van|von|der|del|la)\s){{0,2}}{_W}(?:-{_W})?(?![\w@])")
 _TITLE_LEFT = re.compile(rf"(?<![\w]){TITLE}\.?\s+$")
-_NAME_LEFT = re.compile(r"(?:According to|call|attention|On-call:|for|gehört zu|pertenece a|rufen Sie|Llame a|belongs to|approved by|contact|reach|from|by|Dear|oder|cc|and|to)\s+$")
-_NAME_STRONG_LEFT = re.compile(r"(?:According to|[Pp]lease call|attention|On-call:|gehört zu|pertenece a|rufen Sie|Llame a|belongs to|approved by|signed by|Dear|\bID [A-Z0-9 \-]{6,20} for)\s+$")
-_NAME_STRONG_RIGHT = re.compile(r"^\s(?:signed|asked to|approved)\b")
-_NAME_RIGHT = re.compile(r"^(?:\s(?:signed|approved|asked|said|wrote|called|zum\b|al\b|on\s|unter\b|will|has)|,\s(?:Auftrag|el\s|the\s|\+|\(|\d|build)|'s\b|\.\s|\.$|$|\n)")
-
-_ZH_NAME_LEFT = re.compile(r"(?:审批人|负责人|联系人|收件人|经办人|申请人|发件人|登记信息|姓名|客户|用户|请联系|联系|改为|同事|签到表里|找|名叫|叫做|由|与|和|给|，|。|；|：|:|\n|^)[：:为是\s]{0,2}$")
-_ZH_STRONG_LEFT = re.compile(r"(?:审批人|负责人|联系人|收件人|经办人|申请人|发件人|登记信息|姓名|请联系|联系|改为|同事|签到表里|名叫|叫做)[：:为是\s]{0,2}$")
-_ZH_NAME_RIGHT = re.compile(r"^\s?(?:留的|住在|的邮箱|的电话|的手机|的号码|先生|女士|老师|经理|同学|反馈|[（(][A-Za-z0-9])")
+_NAME_LEFT = re.compile(
+    r"(?i:\b(?:according to|attention|attn:?|belongs to|approved by|signed by|written by|led by|(?:please )?(?:contact|call|ask|tell|reach|notify|thank|meet|join|see|email|remind)|called|asked|told|met|thanked|dear|hello|hi|cc:?|colleague|manager|engineer|director|owner|author|reviewer|named?|by|from|for|with|to|and|or|"
+    r"gehört zu|rufen sie|kontakt|kollege|kollegin|von|mit|bei|für|an|oder|und|pertenece a|llame a|según|contacto|avise a|con|por|para|y|de|a))\s+$"
+)
+_NAME_SURE_LEFT = re.compile(r"(?i:\b(?:according to|attention|attn:?|belongs to|approved by|signed by|written by|(?:please )?(?:contact|call|notify|thank)|dear|hello|hi|cc:?|gehört zu|rufen sie|pertenece a|llame a|según|by|from|thanks to|asked|told|met|con|von|mit)|[A-Za-z\-]{3,}:|\d\w{0,20} (?:for|of|de|von))\s+$")
+_NAME_RIGHT = re.compile(
+    r"^(?:\s(?:signed|approved|asked|said|says|wrote|writes|called|told|met|went|joined|left|sent|led|leads|works|worked|lives|lived|reviewed|reported|confirmed|thinks|wants|needs|will|would|has|had|was|is|and|or|on|at|about|before|after|by|from|hat|ist|war|sagt|sagte|und|oder|zum|unter|am|dijo|es|fue|tiene|y|o|al|en)\b|'s\b|,\s|[.;:!?)]|$|\n)"
+)
+#: What only persons do.
+_NAME_SURE_RIGHT = re.compile(r"^\s(?:signed|approved|asked|said|says|wrote|writes|called|told|met|went|joined|lives|lived|reviewed|thinks|wants|sagt|sagte|schrieb|dijo|escribió)\b")
+#: Endings of common nouns, in lower case; names seldom have them.
+_NOUN = re.compile(r"^.{3,}(?:tion|sion|ment|ness|ity|ing|ance|ence|ware|ship|ung|heit|keit|schaft|ción|dad|miento|ics|ies|ers|ors)$")
+
+_ZH_NAME_LEFT = re.compile(r"(?:审批人|负责人|联系人|收件人|经办人|申请人|发件人|姓名|客户|用户|请联系|联系|改为|同事|找|名叫|经理|老师|主任|总监|医生|教授|作者|根据|据|叫做|由|与|和|给|，|。|；|：|:|\n|^)[：:为是\s]{0,2}$")
+_ZH_STRONG_LEFT = re.compile(r"(?:审批人|负责人|联系人|收件人|经办人|申请人|发件人|姓名|请联系|联系|改为|同事|名叫|叫做)[：:为是\s]{0,2}$")
+_ZH_NAME_RIGHT = re.compile(r"^\s?(?:留的|住在|的邮箱|的电话|的手机|的号码|的地址|先生|女士|老师|经理|同学|反馈|说|表示|认为|提出|告诉|负责|签字|审批|提交|参加|出席|主持|加入|离开|去了|来了|昨天|今天|明天|上周|下周|已经|[（(][A-Za-z0-9])")
+#: Where a name may begin without a cue: at the start, after a break, a mark or a space.
+_ZH_START = re.compile(rf"(?:^|(?<=[\s，。；、！？：:,.;!?（(“\"「【《]))(?=(?:{DOUBLE_SURNAMES}|[{SURNAMES}])[一-鿿]{{1,2}})")
 _ZH_STOP = re.compile(r"^(?:[，。；、！？,.;:：（(）)\s]|$)")
 _ZH_NAME = re.compile(rf"(?:{DOUBLE_SURNAMES}|[{SURNAMES}])[{_ZH}]{{1,2}}")
 _ZH_AFTER = re.compile(
-    rf"(?:审批人|负责人|联系人|收件人|经办人|申请人|发件人|登记信息|姓名|联系|改为|同事|签到表里|名叫|叫做)[：:为是\s]{{0,2}}(?=[{_ZH}])|[{_ZH}]{{2,4}}(?=留的|住在|的邮箱|的电话|的手机|先生|女士|[（(][A-Za-z0-9._+\-]+\s?[@\[(])"
+    rf"(?P<cue>(?:审批人|负责人|联系人|收件人|经办人|申请人|发件人|姓名|联系|改为|同事|名叫|叫做|根据|据|请教了?|告诉了?|通知了?|感谢|找|与|给|由(?!于))[：:为是\s]{{0,2}})(?=[{_ZH}])|(?P<run>[{_ZH}]{{2,4}})(?=留的|住在|的邮箱|的电话|的手机|先生|女士|[（(][A-Za-z0-9._+\-]+\s?[@\[(])"
 )
+# The most common family names.
+_JA_FAMILY = "佐藤|鈴木|高橋|田中|伊藤|渡辺|山本|中村|小林|加藤|吉田|山田|佐々木|山口|松本|井上|木村|斎藤|清水|山崎|池田|橋本|阿部|石川|山下|中島|石井|小川|前田|岡田|長谷川|藤田|後藤|近藤|村上|遠藤|青木|坂本|福田|太田"
+_JA_LISTED = re.compile(rf"(?<![一-鿿々])(?:{_JA_FAMILY})[ 　]?[一-鿿々]{{1,2}}(?=[はがにをとへもの、。さ]|$)")
 _JA_NAME = re.compile(r"(?<![一-鿿々])[一-鿿々]{1,3}[ 　\n]?[一-鿿々ぁ-んァ-ヴ]{1,3}?(?=さん|様|氏|殿|の宛先|の登録番号|の住所|の電話|の連絡先)")
+_KANA = re.compile("[ぁ-ヺ様氏殿]")
 _JA_RIGHT = re.compile(r"^(?:さん|様|氏|殿|の宛先|の登録番号|の住所|の電話|の連絡先)")
 _DEV = "ऀ-ॣॱ-ॿ"
 _HI_NAME = re.compile(rf"(?:(?:डॉ\.|श्री|श्रीमती|कृपया|कुमारी)\s+|(?<=\d)\s|(?<=[A-Z])\s)(?P<n>[{_DEV}]{{2,}}\s[{_DEV}]{{2,}})(?=\s(?:ने|से|को|का|की|के|जी)(?![{_DEV}]))")
@@ -228,35 +248,38 @@ def _number(t: str, m: re.Match, add) -> None:  # noqa: ANN001
 
 
 def _names(t: str, add) -> None:  # noqa: ANN001
-    at = 0
+    at, low = 0, None
     while m := _LATIN.search(t, at):
         a, b = m.span()
-        first = re.split(r"[\s\-.]", m.group(), maxsplit=1)[0]
+        words = re.split(r"[\s\-]", m.group())
+        first, last = words[0].rstrip("."), words[-1]
+        step = re.search(r"\s", m.group())
+        later = step and _LATIN.match(t, a + step.end())
+        given = later and re.split(r"[\s\-.]", later.group(), maxsplit=1)[0].title() in GIVEN  # the name begins there
+        if last in NOT_A_NAME or len(first) > 1 and (first in NOT_A_NAME or given and first.title() not in GIVEN):
+            at = a + (step.end() if step else 1)  # the first word may be no part of a name: go on at the next
+            continue
         left, right = t[max(0, a - 32) : a].replace("\n", " "), t[b : b + 18].replace("\n", " ")
-        initial = len(first) == 1
-        known = first.title() in GIVEN
+        initial, known = len(first) == 1, first.title() in GIVEN
         title, cue = bool(_TITLE_LEFT.search(left)), bool(_NAME_LEFT.search(left))
-        sure = bool(_NAME_STRONG_LEFT.search(left)) or bool(_NAME_STRONG_RIGHT.search(right)) and not initial
-        if not (known or title or sure or (initial and (cue or _NAME_RIGHT.search(right)))):
-            # the first word may be no part of a name: go on at the next word
-            step = re.search(r"\s", m.group())
+        if initial and not (title or cue or _NAME_RIGHT.search(right)):
             at = a + (step.end() if step else 1)
             continue
-        last = re.split(r"\s", m.group())[-1]
-        if last in NOT_A_NAME or (first in NOT_A_NAME and not initial and not title):
-            at = a + re.search(r"\s", m.group()).end()
-            continue
-        company = bool(re.match(rf"\s(?:{COMPANY})\b", right))
-        add(a, b, "NAME", (1, int(known), int(title or cue or sure), int(bool(_NAME_RIGHT.search(right))), 0, -int(company)), "initial" if initial else "latin")
+        if low is None:
+            low = frozenset(re.findall(r"(?<![\w])[a-zß-öø-ÿ]{3,}", t))
+        noun = any(w.lower() in low or _NOUN.search(w.lower()) for w in words)
+        company = last in COMPANY.split("|") or bool(re.match(rf"\s(?:{COMPANY})\b", right))
+        left_vote = 1 if title or _NAME_SURE_LEFT.search(left) or _NAME_SURE_RIGHT.search(right) else 0
+        add(a, b, "NAME", (int(known or left_vote or initial), int(known), left_vote, int(bool(_NAME_RIGHT.search(right)) or cue), -int(noun and not known), -int(company)), "initial" if initial else "latin" if known or left_vote else "open")
         at = b
     spots = set()
     for m in _ZH_AFTER.finditer(t):
-        if m.group()[-1] in "：:为是人息名系改事里叫做 \n" or t[m.end() - 1] in "为：":
+        if m.lastgroup == "cue":
             spots.add(m.end())
         else:
-            for a in range(m.start(), m.end() - 1):
-                spots.add(a)
-    for a in sorted(spots):
+            spots |= set(range(m.start(), m.end() - 1))
+    loose = {m.start() for m in _ZH_START.finditer(t)} - spots
+    for a in sorted(spots | loose):
         m = _ZH_NAME.match(t, a)
         if not m:
             continue
@@ -265,7 +288,7 @@ def _names(t: str, add) -> None:  # noqa: ANN001
         base = 2 if re.match(DOUBLE_SURNAMES, m.group()) else 1
         best = None
         for n in (base + 2, base + 1):
-            if len(t) < a + n or not re.fullmatch(rf"[{_ZH}]+", t[a : a + n]):
+            if len(t) < a + n or not re.fullmatch(rf"[{_ZH}]+", t[a : a + n]) or t[a + n - 1] in NO_NAME_ENDS:
                 continue
             rest = t[a + n : a + n + 8]
             cue, stop = bool(_ZH_NAME_RIGHT.search(rest)), bool(_ZH_STOP.search(rest))
@@ -274,14 +297,17 @@ def _names(t: str, add) -> None:  # noqa: ANN001
                 break
         if best is None and strong:
             best = (m.end(), False, False)
-        if best and (strong or (weak and best[1])):
+        if best and (strong or best[1] or t[a - 1 : a] in ("：", ":")):
             b, cue, stop = best
             if t[b - 1] in ROLE_ENDS or t[b : b + 1] in set(ROLE_ENDS):  # a team or a role, as in 管理员
                 continue
-            add(a, b, "NAME", (1, 1, int(strong), int(cue or stop), 0, 0), "zh")
-    if "様" in t or "さん" in t or "氏" in t or "殿" in t or "の" in t:
+            named = strong or a in spots
+            add(a, b, "NAME", (int(named), 1, int(strong or t[a - 1 : a] in ("：", ":")), int(cue or stop and (strong or weak)), 0, 0), "zh" if named else "zh open")
+    if _KANA.search(t):
         for m in _JA_NAME.finditer(t):
             add(*m.span(), "NAME", (1, 0, 0, 1 if _JA_RIGHT.match(t, m.end()) or _JA_RIGHT.search(t[m.end() : m.end() + 8]) else 0, 0, -int(t[m.end() - 1] in ROLE_ENDS)), "ja")
+        for m in _JA_LISTED.finditer(t):
+            add(*m.span(), "NAME", (0, 1, 0, 0, 0, -int(t[m.end() - 1] in ROLE_ENDS)), "ja listed")
     for pattern, kind in ((_HI_NAME, "hi"), (_AR_NAME, "ar"), (_TH_NAME, "th")):
         for m in pattern.finditer(t):
             a = m.start("n")
@@ -307,6 +333,7 @@ _FOUND = ArrayType(
             StructField("end_pos", IntegerType()),
             StructField("pii_type", StringType()),
             StructField("votes", StringType()),
+            StructField("said", StringType()),
             StructField("features", ArrayType(IntegerType())),
         ]
     )
@@ -318,17 +345,18 @@ def proposed(text: Column) -> Column:
 
     @F.arrow_udf(_FOUND)
     def run(column: pa.Array) -> pa.Array:
-        size, start, end, kind, votes, feats = [0], [], [], [], [], []
+        size, start, end, kind, votes, said, feats = [0], [], [], [], [], [], []
         for t in column.to_pylist():
             for a, b, k, v, s in candidates(t) if t else ():
                 start.append(a)
                 end.append(b)
                 kind.append(k)
                 votes.append(",".join(map(str, v)))
+                said.append(t[a:b] if k == "NAME" else None)
                 feats.append(features(t, a, b, k, v, s))
             size.append(len(start))
-        parts = [pa.array(start, pa.int32()), pa.array(end, pa.int32()), pa.array(kind, pa.string()), pa.array(votes, pa.string()), pa.array(feats, pa.list_(pa.int32()))]
-        return pa.ListArray.from_arrays(pa.array(size, pa.int32()), pa.StructArray.from_arrays(parts, ["start_pos", "end_pos", "pii_type", "votes", "features"]))
+        parts = [pa.array(start, pa.int32()), pa.array(end, pa.int32()), pa.array(kind, pa.string()), pa.array(votes, pa.string()), pa.array(said, pa.string()), pa.array(feats, pa.list_(pa.int32()))]
+        return pa.ListArray.from_arrays(pa.array(size, pa.int32()), pa.StructArray.from_arrays(parts, ["start_pos", "end_pos", "pii_type", "votes", "said", "features"]))
 
     return run(text)
 
@@ -388,29 +416,84 @@ def chance(feats: Column, weights: np.ndarray) -> Column:
     return run(feats)
 
 
-def mentions(texts: DataFrame) -> DataFrame:
-    """(src, row_id, start_pos, end_pos, pii_type) of every mention in texts (src, row_id, text).
+_OFTEN, _RARE = zlib.crc32(b"frequent") % WIDTH, zlib.crc32(b"rare") % WIDTH
 
-    Null and empty texts have none; repeated rows each give theirs.  Positions are code points, end exclusive.
-    """
-    p = cut(texts.filter(F.length("text") > 0).select("src", "row_id", F.explode(proposed(F.col("text"))).alias("c")).select("src", "row_id", "c.*"))
-    counts = [(r.pii_type, r.votes, r["count"]) for r in p.groupBy("pii_type", "votes").count().collect()]
+
+def _frequent(p: DataFrame) -> DataFrame:
+    """(said): words that were proposed as a name in many rows.  Names are rare, so what stands in FREQUENT_SHARE of all
+    rows is most likely a common word.  There are no more of them than candidates over the bound."""
+    said = p.select(F.explode("c.said").alias("said")).filter("said is not null")
+    return cut(said.groupBy("said").agg(F.count("*").alias("n")).filter(F.col("n") >= max(FREQUENT, FREQUENT_SHARE * p.count())).select("said"))
+
+
+def _judged(p: DataFrame, often: DataFrame) -> DataFrame:
+    """Candidates of p (src, row_id, c), one row each, with all votes and features."""
+    each = p.select("src", "row_id", F.explode("c").alias("c")).select("src", "row_id", "c.*")
+    few = F.broadcast(often) if often.limit(SMALL + 1).count() <= SMALL else often
+    each = each.join(few.withColumn("often", F.lit(True)), "said", "left").withColumn("often", F.coalesce("often", F.lit(False)))
+    votes, mark = F.concat("votes", F.when(F.col("often"), ",-1").otherwise(",0")), F.when(F.col("often"), _OFTEN).otherwise(_RARE).cast("int")
+    return each.select("src", "row_id", "start_pos", "end_pos", "pii_type", votes.alias("votes"), F.array_append("features", mark).alias("features"))
+
+
+def _weights(each: DataFrame) -> np.ndarray:
+    counts = [(r.pii_type, r.votes, r["count"]) for r in each.groupBy("pii_type", "votes").count().collect()]
     true = likelihoods(sorted(counts))
     total = max(1, sum(n for _, _, n in counts))
     # a hash below a share of its range picks about FIT_ROWS candidates without sorting them
     near = F.shiftrightunsigned(F.xxhash64("src", "row_id", "start_pos", "end_pos"), 1) < min(2**63 - 1, int(FIT_ROWS / total * 2**63))
-    sample = sorted(p.filter(near).select("pii_type", "votes", "features").limit(2 * FIT_ROWS).collect())
-    weights = fit([r.features for r in sample], np.array([true[r.pii_type, r.votes] for r in sample]))
-    return p.filter(chance(F.col("features"), weights) >= 0.5).select("src", "row_id", "start_pos", "end_pos", "pii_type")
+    sample = sorted(each.filter(near).select("pii_type", "votes", "features").limit(2 * FIT_ROWS).collect())
+    return fit([r.features for r in sample], np.array([true[r.pii_type, r.votes] for r in sample]))
+
+
+def mentions(texts: DataFrame) -> DataFrame:
+    """(src, row_id, start_pos, end_pos, pii_type) of every mention in texts (src, row_id, text).
+
+    Null and empty texts have none; repeated rows each give theirs.  Positions are code points, end exclusive.
+    """
+    p = cut(texts.filter(F.length("text") > 0).select("src", "row_id", proposed(F.col("text")).alias("c")))  # the patterns run once
+    each = cut(_judged(p, _frequent(p)))
+    return each.filter(chance(F.col("features"), _weights(each)) >= 0.5).select("src", "row_id", "start_pos", "end_pos", "pii_type")
+
+
+def _kept(found: Column, weights: np.ndarray, often: frozenset[str]) -> Column:
+    """The mentions among a row's candidates, in order."""
+    w = weights.astype(np.float32)
+
+    @F.arrow_udf("array<struct<start_pos:int,end_pos:int,pii_type:string>>")
+    def run(column: pa.Array) -> pa.Array:
+        flat = column.flatten()
+        size = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+        good = np.zeros(len(flat), dtype=bool)
+        if len(flat):
+            x = flat.field("features").flatten().to_numpy().reshape(len(flat), -1)
+            mark = w[[_OFTEN if s in often else _RARE for s in flat.field("said").to_pylist()]]
+            good = w[x].sum(axis=1, dtype=np.float64) + mark >= 0
+        ends_at = np.concatenate([[0], np.cumsum(good)])[np.concatenate([[0], np.cumsum(size)])]
+        left = flat.filter(pa.array(good))
+        parts = [left.field(n) for n in ("start_pos", "end_pos", "pii_type")]
+        return pa.ListArray.from_arrays(pa.array(ends_at, pa.int32()), pa.StructArray.from_arrays(parts, ["start_pos", "end_pos", "pii_type"]))
+
+    return run(found)
 
 
 def redacted(texts: DataFrame) -> DataFrame:
     """(src, row_id, text, mentions) of all texts: each mention replaced by its type in angle brackets.
 
-    Null texts stay null.  (src, row_id) is the key; rows repeated under one key get the key's mentions once.
+    Null texts stay null; repeated rows each come out.  The texts are written once, with their candidates, to the shared
+    folder and never exchanged.  (More than SMALL frequent words would not be told to the tasks; the candidates are then
+    judged in a table of their own and joined by (src, row_id), which must be a key.)
     """
-    found = mentions(texts).distinct().groupBy("src", "row_id").agg(F.sort_array(F.collect_list(F.struct("start_pos", "end_pos", "pii_type"))).alias("s"))
-    joined = texts.select("src", "row_id", "text").join(found, ["src", "row_id"], "left")
+    p = cut(texts.select("src", "row_id", "text", F.when(F.length("text") > 0, proposed(F.col("text"))).alias("c")))
+    slim = p.select("src", "row_id", "c").filter(F.size("c") > 0)
+    often = _frequent(slim)
+    each = _judged(slim, often)
+    words = [r.said for r in often.limit(SMALL + 1).collect()]
+    weights = _weights(each)
+    if len(words) <= SMALL:
+        joined = p.withColumn("s", F.when(F.col("c").isNotNull(), _kept(F.coalesce("c", F.array().cast(p.schema["c"].dataType)), weights, frozenset(words))))
+    else:
+        found = each.filter(chance(F.col("features"), weights) >= 0.5).groupBy("src", "row_id").agg(F.sort_array(F.collect_list(F.struct("start_pos", "end_pos", "pii_type"))).alias("s"))
+        joined = p.select("src", "row_id", "text").join(found, ["src", "row_id"], "left")
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def step(acc: Column, m: Column) -> Column:
@@ -418,5 +501,5 @@ def redacted(texts: DataFrame) -> DataFrame:
         return F.struct(m["end_pos"].alias("at"), F.concat(acc["out"], kept, F.lit("<"), m["pii_type"], F.lit(">")).alias("out"))
 
     done = F.aggregate("s", start, step)
-    clean = F.when(F.col("s").isNull(), F.col("text")).otherwise(F.concat(done["out"], F.substring(F.col("text"), done["at"] + 1, F.length("text"))))
-    return joined.select("src", "row_id", clean.alias("text"), F.coalesce(F.size("s"), F.lit(0)).alias("mentions"))
+    clean = F.when(F.coalesce(F.size("s"), F.lit(0)) <= 0, F.col("text")).otherwise(F.concat(done["out"], F.substring(F.col("text"), done["at"] + 1, F.length("text"))))
+    return joined.select("src", "row_id", clean.alias("text"), F.greatest(F.coalesce(F.size("s"), F.lit(0)), F.lit(0)).alias("mentions"))

@@ -272,9 +272,9 @@ def test_digits_and_types_leave_no_name_out(spark):
 
 
 def test_initials_meet_similar_surnames(spark):
-    rows = [("Agnes Sadonujo",), ("A. Sadonjo",), ("Vera Lonemil",), ("Viktor Lonemil",), ("V. Lonemil",)]
+    rows = [("Agnes Sadonujo",), ("A. Sadnujo",), ("Vera Lonemil",), ("Viktor Lonemil",), ("V. Lonemil",)]
     got = {(x.name_a, x.name_b) for x in names.same_pairs(spark.createDataFrame(rows, "entity_name string")).collect()}
-    assert got == {("A. Sadonjo", "Agnes Sadonujo")}
+    assert got == {("A. Sadnujo", "Agnes Sadonujo")}
 
 
 @pytest.mark.parametrize("seed", range(3))

@@ -204,6 +204,28 @@ def test_redaction_keeps_the_rest(spark):
     assert got[len(SAID) - 1] == SAID[-1][0]
 
 
+# written after the cues were chosen, without a look at any table
+FREE = [
+    ("Nobody expected Lindiwe Mahlangu to resign.", {"Lindiwe Mahlangu"}), ("The award was presented by Sergio Castellanos.", {"Sergio Castellanos"}), ("Ewa Nowicka joined the board in spring.", {"Ewa Nowicka"}), ("Please contact Hans Grubermann for a key.", {"Hans Grubermann"}),
+    ("Mrs. Eleanor Whitcombe paid the deposit.", {"Eleanor Whitcombe"}), ("A reply from Nikhil Bhattacharya is due.", {"Nikhil Bhattacharya"}), ("Charlotte Ferris and her team moved out.", {"Charlotte Ferris"}), ("I told Robert Vance about the delay.", {"Robert Vance"}),
+    ("Der Vertrag wurde von Jutta Hoffmeister geprüft.", {"Jutta Hoffmeister"}), ("刘建军表示同意。", {"刘建军"}), ("请联系何雨桐，她在二楼。", {"何雨桐"}), ("赵立新提交了申请。", {"赵立新"}), ("鈴木一郎は欠席です。", {"鈴木一郎"}), ("山本美咲様へ送ります。", {"山本美咲"}),
+    ("The Grand Canal runs past the Old Market Hall.", set()), ("Quality Assurance checks every Release Candidate.", set()), ("常用的命令见附录。", set()), ("平台已经恢复。", set()), ("Our Privacy Policy was updated.", set()),
+]
+
+
+def test_names_in_free_sentences(spark, data):
+    known = spark.read.parquet(f"{data}/doc_chunks.parquet").select(F.lit("t").alias("src"), F.col("id").alias("row_id"), F.col("chunk_text").alias("text"))
+    free = spark.createDataFrame([("free", i, t) for i, (t, _) in enumerate(FREE)], "src string, row_id long, text string")
+    found = {}
+    for r in pii.mentions(known.unionByName(free)).filter("src = 'free' and pii_type = 'NAME'").collect():
+        found.setdefault(r.row_id, set()).add(FREE[r.row_id][0][r.start_pos : r.end_pos])
+    want = [(i, n) for i, (_, names) in enumerate(FREE) for n in names]
+    got = [(i, n) for i, names in found.items() for n in names]
+    right = len(set(want) & set(got))
+    print(f"free sentences: {right} of {len(want)} names, {len(got)} found", sorted(set(want) ^ set(got)))
+    assert right >= 0.6 * len(want) and right >= 0.7 * len(got)
+
+
 def test_mentions_of_odd_rows(spark):
     df = texts(spark, ODD).select(F.lit("s").alias("src"), F.col("id").alias("row_id"), "text", F.lit(1).alias("votes"))
     assert pii.mentions(df).count() == 0

@@ -23,6 +23,15 @@ RANGE = 20_000
 TILT = 0.5
 
 
+#: Rows up to which a list of sources is broadcast.
+SOURCES = 10_000
+
+
+def _few(listed: DataFrame) -> DataFrame:
+    """A table of one row per source, to be broadcast if a count shows that it is small."""
+    return F.broadcast(listed) if listed.limit(SOURCES + 1).count() <= SOURCES else listed
+
+
 def label(c: Column | str) -> Column:
     return F.lower(F.trim(F.regexp_replace(c, r"(?U)^\s+|\s+$", "")))
 
@@ -75,7 +84,7 @@ def _running(docs: DataFrame) -> DataFrame:
     """docs with `before`: tokens of the source's documents that precede in hash order."""
     size = docs.groupBy("source").agg(F.greatest(F.ceil(F.count("*") / RANGE), F.lit(1)).alias("parts"))
     h = F.shiftrightunsigned(F.xxhash64("doc_id"), 1)
-    d = docs.withColumn("h", h).join(F.broadcast(size), "source").withColumn("part", F.floor(F.col("h") / F.lit(2.0**63) * F.col("parts")))
+    d = docs.withColumn("h", h).join(_few(size), "source").withColumn("part", F.floor(F.col("h") / F.lit(2.0**63) * F.col("parts")))
     sums = d.groupBy("source", "part").agg(F.sum("n_tokens").alias("s"))
     ahead = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.select("source", "part", F.coalesce(F.sum("s").over(ahead), F.lit(0)).alias("earlier"))
@@ -95,9 +104,9 @@ def chosen(docs: DataFrame, targets: DataFrame, total_tokens: int | None = None)
     copy.  docs is (doc_id, source, n_tokens).  Ties in hash order go by id; a repeated id counts as a document."""
     # targets are one row per source of a hand-written list; what is grouped by their sources is as small
     listed = targets.select(label("source").alias("source")).distinct()
-    docs = docs.join(F.broadcast(listed), "source", "left_semi")
+    docs = docs.join(_few(listed), "source", "left_semi")
     p = plan(docs, targets, total_tokens).select("source", "have", "demand", "slope", "max_repeats")
-    d = _running(docs).join(F.broadcast(p), "source").filter("demand > 0")
+    d = _running(docs).join(_few(p), "source").filter("demand > 0")
     middle = F.col("before") + F.col("n_tokens") / 2
     # copy number c is in if the middle of the document, c whole passes on, lies within the demand
     copies = F.least(F.col("max_repeats").cast("long"), F.greatest(F.lit(0), F.ceil((F.col("demand") - middle) / F.col("have"))))
@@ -113,15 +122,25 @@ def ordered(picked: DataFrame) -> DataFrame:
     return each.select("doc_id", "source", "n_tokens", "copy", at.alias("position")).orderBy("position", "doc_id", "copy")
 
 
-def shares(picked: DataFrame, targets: DataFrame) -> DataFrame:
-    """One row per target and per used source: target_share, actual_share, tokens, docs, copies."""
-    used = picked.groupBy("source").agg(F.sum(F.col("n_tokens").cast("long") * F.col("repeats")).alias("tokens"), F.count("*").alias("docs"), F.sum("repeats").alias("copies"))
-    t = targets.select(label("source").alias("source"), "target_share").groupBy("source").agg(F.sum("target_share").alias("target_share"))
-    all_ = t.join(used, "source", "full").fillna(0, ["tokens", "docs", "copies", "target_share"])
+def shares(picked: DataFrame, targets: DataFrame, docs: DataFrame, total_tokens: int | None = None) -> DataFrame:
+    """One row per target and per used source: target_share, actual_share, tokens, docs, copies; have and unused, the tokens
+    of all its documents and of those that were not chosen; binding: all copies it may give are used up, so that it sets
+    the size of the mixture or falls short of its share.  docs is (doc_id, source, n_tokens)."""
+    used = picked.groupBy("source").agg(F.sum(F.col("n_tokens").cast("long") * F.col("repeats")).alias("tokens"), F.sum("n_tokens").alias("once"), F.count("*").alias("docs"), F.sum("repeats").alias("copies"))
+    planned = plan(docs, targets, total_tokens)
+    binding = (F.col("demand") > 0) & (F.col("demand") >= F.col("have") * F.col("max_repeats") * (1 - 1e-9))
+    t = planned.select("source", "target_share", F.col("have").cast("long").alias("have"), binding.alias("binding"))
+    all_ = t.join(used, "source", "left").fillna(0, ["tokens", "once", "docs", "copies"])
     total = F.sum("tokens").over(Window.partitionBy())
-    return all_.select("source", "target_share", F.when(total > 0, F.col("tokens") / total).otherwise(0.0).alias("actual_share"), "tokens", "docs", "copies")
+    share = F.when(total > 0, F.col("tokens") / total).otherwise(0.0)
+    return all_.select("source", "target_share", share.alias("actual_share"), "tokens", "docs", "copies", "have", (F.col("have") - F.col("once")).alias("unused"), "binding")
 
 
 def mixture(docs: DataFrame, targets: DataFrame, total_tokens: int | None = None, path: str | None = None) -> DataFrame:
     """`chosen` from raw documents (doc_id, text, source); tokens are counted once and kept in the shared folder."""
-    return chosen(cut(sized(docs, path=path)), targets, total_tokens)
+    return chosen(counted(docs, path), targets, total_tokens)
+
+
+def counted(docs: DataFrame, path: str | None = None) -> DataFrame:
+    """`sized`, kept in the shared folder."""
+    return cut(sized(docs, path=path))

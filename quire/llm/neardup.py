@@ -26,8 +26,8 @@ SHINGLE = 5
 HASHES, BUCKETS = 4, 64
 REGISTERS = HASHES * BUCKETS
 MANTISSA = 4
-#: 42 bands of 6 registers: a pair at 0.75 is missed with a chance of about 0.0003.
-BANDS, ROWS = 42, 6
+#: Chance with which a pair at the threshold may share no band.
+MISSED = 0.0005
 #: Standard errors below the threshold at which the estimate drops a candidate.
 SLACK = 5.0
 #: Longest run of one band value that is paired outright; longer ones go through blocks.
@@ -86,13 +86,23 @@ def registers(texts: list[str], seed: int = 0) -> np.ndarray:
     return reg
 
 
-def band_values(reg: np.ndarray) -> np.ndarray:
-    """One 64-bit value per band; the band's number is part of it."""
-    r = reg[:, : BANDS * ROWS].reshape(len(reg), BANDS, ROWS).astype(np.uint64)
+def rows_for(threshold: float) -> int:
+    """Registers to a band: as many as let a pair at the threshold share a band but for a chance of MISSED; 6 at 0.75, 7 at
+    0.8.  A threshold that not even single registers reach raises."""
+    for rows in range(7, 0, -1):
+        if (1 - threshold**rows) ** (REGISTERS // rows) <= MISSED:
+            return rows
+    raise ValueError(f"{REGISTERS} registers cannot find pairs at {threshold}")
+
+
+def band_values(reg: np.ndarray, rows: int = 6) -> np.ndarray:
+    """One 64-bit value per band of so many registers; the band's number is part of it."""
+    count = REGISTERS // rows
+    r = reg[:, : count * rows].reshape(len(reg), count, rows).astype(np.uint64)
     packed = np.zeros(r.shape[:2], dtype=np.uint64)
-    for k in range(ROWS):
+    for k in range(rows):
         packed = packed << np.uint64(8) | r[:, :, k]
-    return mixed(packed * np.uint64(64) + np.arange(BANDS, dtype=np.uint64), 7).view(np.int64)
+    return mixed(packed * np.uint64(REGISTERS) + np.arange(count, dtype=np.uint64), 7).view(np.int64)
 
 
 def estimate(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -134,11 +144,11 @@ def matrix(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint8).reshape(len(column), REGISTERS)
 
 
-def bands(regs: Column) -> Column:
+def bands(regs: Column, rows: int) -> Column:
     @F.arrow_udf(ArrayType(LongType()))
     def run(column: pa.Array) -> pa.Array:
-        v = band_values(matrix(column))
-        return pa.ListArray.from_arrays(pa.array(np.arange(len(v) + 1) * BANDS, pa.int32()), pa.array(v.ravel()))
+        v = band_values(matrix(column), rows)
+        return pa.ListArray.from_arrays(pa.array(np.arange(len(v) + 1) * v.shape[1], pa.int32()), pa.array(v.ravel()))
 
     return run(regs)
 
@@ -228,7 +238,7 @@ def similar_classes(docs: DataFrame, threshold: float = 0.8, least_chars: int =
     member, reps = classes(docs, least_chars)
     reps = cut(reps)
     least = threshold - SLACK * (threshold * (1 - threshold) / REGISTERS) ** 0.5
-    banded = reps.filter(F.col("regs") != F.lit(bytearray(REGISTERS))).select("id", F.explode(bands(F.col("regs"))).alias("band"))
+    banded = reps.filter(F.col("regs") != F.lit(bytearray(REGISTERS))).select("id", F.explode(bands(F.col("regs"), rows_for(threshold))).alias("band"))
     raw = banded.repartition("band").sortWithinPartitions("band").mapInArrow(_paired, "id_a long, id_b long, hot long")
     raw = cut(raw.distinct())
     a, b = reps.select(F.col("id").alias("id_a"), F.col("regs").alias("ra")), reps.select(F.col("id").alias("id_b"), F.col("regs").alias("rb"))

@@ -154,9 +154,11 @@ def p7_ids(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.encode_corpus(documents(spark, folder, "doc_id", "text"))
 
 
-def _mixture(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+def _mixture(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Chosen documents, targets and sizes of all documents."""
     targets = table(spark, folder, "mix_targets")
-    return mix.mixture(documents(spark, folder, "doc_id", "text", "source"), targets), targets
+    sizes = mix.counted(documents(spark, folder, "doc_id", "text", "source"))
+    return mix.chosen(sizes, targets), targets, sizes
 
 
 @query
@@ -167,6 +169,7 @@ def p8_mix(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def p8_shares(spark: SparkSession, folder: str) -> DataFrame:
+    """The actual shares, what each source has and leaves unused, and which one binds."""
     return mix.shares(*_mixture(spark, folder))
 
 

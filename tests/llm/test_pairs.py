@@ -200,6 +200,16 @@ def _paired_short(batches):
 _REAL = neardup._paired
 
 
+def test_bands_follow_from_the_threshold(spark):
+    assert [neardup.rows_for(x) for x in (0.75, 0.8, 0.5)] == [6, 7, 3]
+    with pytest.raises(ValueError, match="registers"):
+        neardup.rows_for(0.01)
+    texts = corpus(4)[:60]
+    got = {(r.id_a, r.id_b) for r in neardup.similar_pairs(text_rows(spark, texts), 0.45, 200).collect()}
+    want = {(i, j) for i, a in enumerate(texts) for j in range(i + 1, len(texts)) if len(a) >= 200 and len(texts[j]) >= 200 and neardup.jaccard(a, texts[j]) >= 0.45}
+    assert got == want
+
+
 def test_estimate_is_unbiased():
     r = random.Random(3)
     a = "".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(3000))
@@ -308,11 +318,13 @@ def test_shares_hold_and_repeats_are_capped(spark):
     d = sized(spark, {"wiki": [r.randrange(1, 90) for _ in range(900)], "pdf": [r.randrange(1, 90) for _ in range(300)], "faq": [r.randrange(1, 90) for _ in range(60)], "lost": [50] * 10})
     t = targets(spark, [(" Wiki", 0.5, 1), ("pdf", 0.3, 2), ("faq", 0.2, 4), ("none", 0.1, 3)])
     picked = mix.chosen(d, t)
-    s = {x.source: x for x in mix.shares(picked, t).collect()}
+    s = {x.source: x for x in mix.shares(picked, t, d).collect()}
     for name, want in (("wiki", 0.5), ("pdf", 0.3), ("faq", 0.2)):
         assert abs(s[name].actual_share - want) < 0.02
     assert s["none"].actual_share == 0 and "lost" not in s
     assert picked.groupBy("source").agg(F.max("repeats").alias("m"), F.min("repeats").alias("l")).filter("source = 'faq'").first()[1:] == (4, 4) or s["faq"].copies <= 240
+    assert [n for n, x in s.items() if x.binding] == ["faq"] or sum(x.binding for x in s.values()) == 1
+    assert all(x.unused == x.have - sum(r.n_tokens for r in picked.collect() if r.source == n) for n, x in s.items())
     o = mix.ordered(picked).collect()
     assert len(o) == sum(x.copies for x in s.values())
     assert all(a.position <= b.position for a, b in zip(o, o[1:])) and 0 <= o[0].position and o[-1].position <= 1

@@ -19,10 +19,11 @@ import hashlib
 import itertools
 import math
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, DoubleType, LongType, StructField, StructType
 
@@ -307,6 +308,28 @@ def most_similar(
     its k + 7 best by code, and a row's `rerank` best are ranked exactly.  Rows with a null id or an unusable vector take
     no part.  Ties go to the smaller id of a class's representative; a repeated id counts once.
     """
+    with _small_batches(vectors.sparkSession):
+        member, scored = _searched(vectors, k, cosine, queries, dims, bucket_rows, probes, least_tables, rerank)
+    return _expanded(member, scored, k)
+
+
+@contextmanager
+def _small_batches(spark: SparkSession, rows: int = 2000) -> Iterator[None]:
+    """Arrow batches of so many rows at most for what is run inside: ten thousand pairs of vectors are 40 MB, several
+    times over in a task."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(min(rows, int(old)) if int(old) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
+
+
+def _searched(
+    vectors: DataFrame, k: int, cosine: float | None, queries: Column | None, dims: int, bucket_rows: int, probes: int, least_tables: int, rerank: int
+) -> tuple[DataFrame, DataFrame]:
+    """Membership (id, asked, rep) and the similarities (a, b) of representatives, both kept in the shared folder."""
     asked = F.coalesce(queries, F.lit(False)) if queries is not None else F.lit(True)
     units = vectors.filter("id is not null").select("id", asked.alias("asked"), unit(F.col("embedding"), dims).alias("u")).filter("u is not null")
     rows = vectors.filter("id is not null and embedding is not null").count()
@@ -339,11 +362,11 @@ def most_similar(
     left = (used.filter("asked") if cosine is None else used).select(F.col("id").alias("a"), F.col("u").alias("ua")).dropDuplicates(["a"])
     right = used.select(F.col("id").alias("b"), F.col("u").alias("ub")).dropDuplicates(["b"])
     scored = found.join(left.hint("merge"), "a").join(right.hint("merge"), "b")
-    scored = scored.select("a", "b", exact(F.col("ua"), F.col("ub"), dims).alias("similarity"))
+    scored = cut(scored.select("a", "b", exact(F.col("ua"), F.col("ub"), dims).alias("similarity")))
     if cosine is not None:
         scored = scored.filter(F.col("similarity") >= cosine)
         scored = scored.unionByName(scored.select(F.col("b").alias("a"), F.col("a").alias("b"), "similarity"))
-    return _expanded(member, scored, k)
+    return member, scored
 
 
 def _in_blocks(visits: DataFrame, hot: DataFrame) -> DataFrame:

@@ -358,7 +358,7 @@ def _searched(
         met = met.groupBy("a", "b").agg(F.max("near").alias("near"))
         best = Window.partitionBy("a").orderBy(F.desc("near"), "b")
         found = cut(met.withColumn("n", F.row_number().over(best)).filter(F.col("n") <= max(rerank, k)).select("a", "b"))
-    used = units.select("id", "asked", "u") if cosine is None else _only(units.select("id", "asked", "u"), found.select(F.col("a").alias("id")).union(found.select(F.col("b").alias("id"))))
+    used = _only(units.select("id", "asked", "u"), found.select(F.col("a").alias("id")).union(found.select(F.col("b").alias("id"))))
     left = (used.filter("asked") if cosine is None else used).select(F.col("id").alias("a"), F.col("u").alias("ua")).dropDuplicates(["a"])
     right = used.select(F.col("id").alias("b"), F.col("u").alias("ub")).dropDuplicates(["b"])
     scored = found.join(left.hint("merge"), "a").join(right.hint("merge"), "b")

@@ -95,7 +95,7 @@ def p2_topk(spark: SparkSession, folder: str) -> DataFrame:
     def of(name: str) -> DataFrame:
         v = spread(table(spark, folder, name).select("id", "embedding"))
         asked = F.col("id") % 20 == 0
-        best = nearest.most_similar(v, k=5, queries=asked, bucket_rows=8000, probes=12, least_tables=2)
+        best = nearest.most_similar(v, k=5, queries=asked, bucket_rows=8000, probes=12, least_tables=3, rerank=12)
         return best.select(F.lit(name).alias("src"), "id", "other", "similarity")
 
     return of(VECTORS[0]).unionByName(of(VECTORS[1]))

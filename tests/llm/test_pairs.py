@@ -57,7 +57,7 @@ def test_topk_recall_on_the_tables(spark, data, name, buckets):
     asked, as few are there."""
     v = spark.read.parquet(f"{data}/{name}.parquet").select("id", "embedding")
     rows = [(r.id, r.embedding) for r in v.collect() if r.embedding is not None and len(r.embedding) == 512 and np.isfinite(r.embedding).all() and np.any(r.embedding)]
-    got = nearest.most_similar(v, 5, bucket_rows=len(rows) // buckets, probes=12, least_tables=2)
+    got = nearest.most_similar(v, 5, bucket_rows=len(rows) // buckets, probes=12, least_tables=3, rerank=12)
     mine = {}
     for r in got.collect():
         mine.setdefault(r.id, []).append(r.similarity)
